@@ -8,13 +8,6 @@ MODULES = (
     "ordering",
     "scalars",
     "preparation",
-    "commerce",
-    "claims",
-    "activity",
-    "news",
-    "streams",
-    "storage",
-    "models",
 )
 
 
