@@ -8,6 +8,10 @@ MODULES = (
     "ordering",
     "scalars",
     "preparation",
+    "commerce",
+    "claims",
+    "activity",
+    "news",
 )
 
 

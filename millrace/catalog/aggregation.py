@@ -8,7 +8,6 @@ from millrace.catalog.views import over
 from millrace.operators import aggregates as agg
 from millrace.operators.quantiles import quantiles
 from millrace.plans import readings
-from millrace.functions.text import with_top_keywords, joined_text
 from millrace.registry import query
 from millrace.sources import tables as t
 

@@ -6,13 +6,16 @@ split over shuffles and no Python runs per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TAG = r"<[^>]+>"
 
 # White space as understood by Unicode text splitting.
-SPACE_CLASS = r"\s\x0B\x1C-\x1F\x85\xA0  -     　"
+SPACES = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Common English stop words, followed by words frequent in news.
 STOP_WORDS = (
@@ -55,42 +58,52 @@ def joined_text(*columns: str) -> Column:
 
 def keyword_tokens(text: Column, longer_than: int = 3, stop_words=tuple(STOP_WORDS)) -> Column:
     """Lower-case words of letters a-z, longer than a length and not stop words, in order."""
-    letters = F.regexp_replace(F.lower(text), f"[^a-z{SPACE_CLASS}]", "")
-    parts = F.split(letters, f"[{SPACE_CLASS}]+")
+    # White space becomes plain spaces first, which keeps the pattern short and fast.
+    spaced = F.translate(F.lower(text), SPACES, " " * len(SPACES))
+    parts = F.split(F.regexp_replace(spaced, "[^a-z ]+", ""), " ")
     return F.filter(parts, lambda w: (F.length(w) > longer_than) & ~w.isin(list(stop_words)))
 
 
-def with_top_keywords(df: DataFrame, text: Column, name: str = "keywords", top_n: int = 10) -> DataFrame:
-    """Add the most frequent tokens of a text, ties by first appearance.
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row.
+
+    A value named as a column can be written back into its users by the
+    optimizer; inside another array function it would then be computed per
+    element. A lambda variable cannot.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def top_keywords(text: Column, top_n: int = 10) -> Column:
+    """The most frequent tokens of a text, ties by first appearance.
 
     Tokens are sorted with their position; the starts of equal runs then give
     each word's count and first position. Linear after the sort, however long
     the text.
     """
-    marked = df.withColumn("_tokens", keyword_tokens(text)).withColumn(
-        "_sorted",
-        F.array_sort(F.transform("_tokens", lambda w, i: F.struct(w.alias("w"), i.alias("i")))),
-    )
-    # Run starts: places whose word differs from the word before.
-    runs = marked.withColumn(
-        "_starts",
-        F.filter(
-            F.when(F.size("_sorted") > 0, F.sequence(F.lit(1), F.size("_sorted"))).otherwise(
-                F.array().cast("array<int>")
+
+    def run_starts(ordered: Column) -> Column:
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))).otherwise(
+            F.array().cast("array<int>")
+        )
+        return F.filter(
+            places,
+            lambda p: (p == 1) | (F.element_at(ordered, p)["w"] != F.get(ordered, p - 2)["w"]),
+        )
+
+    def ranked(ordered: Column, starts: Column) -> Column:
+        counted = F.transform(
+            starts,
+            lambda p, k: F.struct(
+                (p - F.coalesce(F.get(starts, k + 1), F.size(ordered) + 1)).alias("minus_count"),
+                F.element_at(ordered, p)["i"].alias("first"),
+                F.element_at(ordered, p)["w"].alias("word"),
             ),
-            lambda p: (p == 1)
-            | (F.element_at(F.col("_sorted"), p)["w"] != F.get(F.col("_sorted"), p - 2)["w"]),
-        ),
-    )
-    counted = F.transform(
-        "_starts",
-        lambda p, k: F.struct(
-            (p - F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_sorted") + 1)).alias("minus_count"),
-            F.element_at(F.col("_sorted"), p)["i"].alias("first"),
-            F.element_at(F.col("_sorted"), p)["w"].alias("word"),
-        ),
-    )
-    ranked = F.slice(F.array_sort(counted), 1, top_n)
-    return runs.withColumn(name, F.transform(ranked, lambda e: e["word"])).drop(
-        "_tokens", "_sorted", "_starts"
+        )
+        return F.transform(F.slice(F.sort_array(counted), 1, top_n), lambda e: e["word"])
+
+    marked = F.transform(keyword_tokens(text), lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    return bind(
+        F.sort_array(marked),
+        lambda ordered: bind(run_starts(ordered), lambda starts: ranked(ordered, starts)),
     )

@@ -187,16 +187,22 @@ def mark_fraud(claims: DataFrame, alerts: DataFrame) -> DataFrame:
 
 # --- summaries and scores --------------------------------------------------
 
+
+def cents(total: Column) -> Column:
+    """A money sum, free of the noise that depends on the order of summing; 0 when empty."""
+    return F.round(F.coalesce(total, F.lit(0.0)), 2)
+
 def daily_summary(claims: DataFrame, day: str | None = None) -> DataFrame:
     """Six measures per claim date, for one day or all days."""
     rows = on_day(claims, "claim_date", day) if day else claims
+    amount = cents(F.sum("claim_amount"))
     return rows.groupBy(F.to_date("claim_date").alias("summary_date")).agg(
         F.count(F.lit(1)).alias("total_claims"),
-        F.coalesce(F.sum("claim_amount"), F.lit(0.0)).alias("total_amount"),
+        amount.alias("total_amount"),
         F.count_if(F.col("insurance_status") == "APPROVED").alias("approved_claims"),
         F.count_if(F.col("insurance_status") == "DENIED").alias("denied_claims"),
         F.count_if(F.col("is_fraud")).alias("fraud_detected"),
-        F.coalesce(F.avg("claim_amount"), F.lit(0.0)).alias("avg_claim_amount"),
+        F.coalesce(amount / F.count("claim_amount"), F.lit(0.0)).alias("avg_claim_amount"),
     )
 
 
@@ -265,7 +271,7 @@ def hospital_ranking(hospitals: DataFrame, claims: DataFrame, limit: int = 20) -
     """Hospitals by score with their claim totals; claims are summed before the join."""
     totals = claims.groupBy("hospital_id").agg(
         F.count("claim_id").alias("total_claims"),
-        F.sum("claim_amount").alias("total_amount"),
+        cents(F.sum("claim_amount")).alias("total_amount"),
         F.sum(F.col("is_fraud").cast("int")).alias("fraud_count"),
     )
     return (
@@ -288,7 +294,7 @@ def breakdown(claims: DataFrame, key: str, limit: int | None = None) -> DataFram
     """Claims and amount per value of a column, largest group first."""
     out = (
         claims.groupBy(key)
-        .agg(F.count("claim_id").alias("n"), F.coalesce(F.sum("claim_amount"), F.lit(0.0)).alias("total_amount"))
+        .agg(F.count("claim_id").alias("n"), cents(F.sum("claim_amount")).alias("total_amount"))
         .orderBy(F.desc("n"), F.asc(key))
     )
     return out if limit is None else out.limit(limit)
@@ -318,6 +324,21 @@ def alert_stats(alerts: DataFrame) -> DataFrame:
     )
 
 
+def alert_groups(alerts: DataFrame) -> DataFrame:
+    """Alerts per severity and per type, from one pass over the alerts."""
+    pairs = F.explode(
+        F.array(
+            F.struct(F.lit("severity").alias("kind"), F.col("severity").alias("value")),
+            F.struct(F.lit("type").alias("kind"), F.col("alert_type").alias("value")),
+        )
+    )
+    return (
+        alerts.select(pairs.alias("g"))
+        .groupBy("g.kind", "g.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def weekly_totals(summary: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """Totals over the last days of the daily summary."""
     return summary.filter(F.expr(f"summary_date >= DATE'{as_of}' - INTERVAL {days} DAYS")).agg(
@@ -338,7 +359,7 @@ def busiest_hospitals(claims: DataFrame, hospitals: DataFrame, as_of: str, windo
     return (
         per_id.join(hospitals.select("hospital_id", "hospital_name"), "hospital_id")
         .groupBy("hospital_name")
-        .agg(F.sum("n").alias("claim_count"), F.sum("amount").alias("total"))
+        .agg(F.sum("n").alias("claim_count"), cents(F.sum("amount")).alias("total"))
         .orderBy(F.desc("claim_count"), F.asc("hospital_name"))
         .limit(k)
     )

@@ -7,7 +7,7 @@ and counting orders becomes counting those rows' keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.projections import tier
@@ -140,7 +140,7 @@ def top_customers(orders: DataFrame, items: DataFrame, customers: DataFrame, k:
             "customer_state",
             "total_orders",
             F.round("total_spent", 4).alias("total_spent"),
-            F.round("total_spent", 4) / F.col("lines").alias("avg_order_value"),
+            (F.round("total_spent", 4) / F.col("lines")).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_spent"), F.asc("customer_id"))
         .limit(k)
@@ -202,7 +202,7 @@ def category_performance_etl(orders: DataFrame, items: DataFrame, products: Data
             F.count_distinct("product_id").alias("unique_products"),
             F.count_distinct("order_id").alias("total_orders"),
             F.round(F.sum("total_order_value"), 4).alias("total_revenue"),
-            F.round(F.sum("price"), 4) / F.count("price").alias("avg_product_price"),
+            (F.round(F.sum("price"), 4) / F.count("price")).alias("avg_product_price"),
             F.avg("delivery_days").alias("avg_delivery_days"),
         )
         .orderBy(F.desc("total_revenue"), F.asc("category"))
@@ -250,8 +250,19 @@ def customer_segments(
         "customer_state",
         "total_orders",
         spent.alias("total_spent"),
-        F.round("total_spent", 4) / F.col("lines").alias("avg_order_value"),
+        (F.round("total_spent", 4) / F.col("lines")).alias("avg_order_value"),
         "first_order_date",
         "last_order_date",
         tier(spent, [(high, "High Value"), (medium, "Medium Value")], "Low Value").alias("customer_segment"),
     )
+
+
+def progress_report(topics: DataFrame) -> DataFrame:
+    """Topics per (period, module, status), with the module's completed share.
+
+    The window runs over the counted rows, at most one per status.
+    """
+    counted = topics.groupBy("period", "module", "status").agg(F.count(F.lit(1)).alias("topics"))
+    module = Window.partitionBy("period", "module")
+    done = F.sum(F.when(F.col("status") == "Completed", F.col("topics")).otherwise(0)).over(module)
+    return counted.withColumn("completion", done / F.sum("topics").over(module))

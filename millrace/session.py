@@ -74,3 +74,15 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give costly per-row work at least one partition per core.
+
+    A table read from many files already has them and is left alone; one small
+    file would otherwise be a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
