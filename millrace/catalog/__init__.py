@@ -12,6 +12,8 @@ MODULES = (
     "claims",
     "activity",
     "news",
+    "streams",
+    "storage",
 )
 
 

@@ -78,10 +78,15 @@ HOSPITAL_TYPES = ["GENERAL", "SPECIALTY", "TEACHING", "CRITICAL_ACCESS"]
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_claims(table(spark, sf_dir, "orders"))
+
+
+def as_claims(order_rows: DataFrame) -> DataFrame:
+    """Orders (batch or stream) as insurance claims."""
     key = F.col("o_orderkey")
     status = F.col("o_orderstatus")
     hospital = key % 10
-    return table(spark, sf_dir, "orders").select(
+    return order_rows.select(
         key.alias("claim_id"),
         F.col("o_custkey").alias("patient_id"),
         hospital.alias("hospital_id"),
