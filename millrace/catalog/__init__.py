@@ -14,6 +14,7 @@ MODULES = (
     "news",
     "streams",
     "storage",
+    "models",
 )
 
 

@@ -133,6 +133,25 @@ def snk08(spark, sf):
     return store.agg(F.count(F.lit(1)).alias("total_records")).filter(F.col("total_records") == total)
 
 
+@query(
+    "job30_reading_reports",
+    """WITH r AS (SELECT user_id, event_id // 24 AS record, ts,
+                        CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events),
+            s AS (SELECT user_id, record, strftime(min(ts), '%Y-%m-%d') AS date, round(min(value), 2) AS min_value,
+                         round(max(value), 2) AS max_value, count(value) AS total_readings
+                  FROM r GROUP BY user_id, record HAVING count(value) > 0)
+       SELECT *, (SELECT count(*) FROM s) AS total_records FROM s""",
+)
+def job30(spark, sf):
+    """Reports of all records appended to the store, read back with the store's total."""
+    path = run_dir(spark, "job30")
+    reports = readings.report(readings.as_records(t.table(spark, sf, "events"))).select(
+        "user_id", "record", "date", "min_value", "max_value", "total_readings"
+    )
+    total = out.append_ndjson(reports, path)
+    return spark.read.schema(reports.schema).json(path).withColumn("total_records", F.lit(total).cast("long"))
+
+
 @query(
     "snk09_merge_insert_new",
     """WITH a AS (SELECT md5(text) AS id, min(doc_id) AS doc_id FROM documents WHERE doc_id % 2 = 0 GROUP BY 1),
