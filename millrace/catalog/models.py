@@ -9,7 +9,7 @@ from millrace.catalog.views import over
 from millrace.ml import churn, features, fraud, simple, topics
 from millrace.plans import commerce
 from millrace.registry import query
-from millrace.session import run_dir
+from millrace.session import run_dir, spread
 from millrace.sinks.files import write_parquet
 from millrace.sources import tables as t
 
@@ -182,16 +182,16 @@ def ml12(spark, sf):
 
 @query("txt03_topic_clusters")
 def txt03(spark, sf):
-    articles = t.articles(spark, sf)
+    articles = spread(t.articles(spark, sf))
     return topics.assign(articles, topics.fit(articles)).select("doc_id", "cluster")
 
 
 @query("txt04_cluster_terms")
 def txt04(spark, sf):
-    return topics.cluster_terms(topics.fit(t.articles(spark, sf)), spark)
+    return topics.cluster_terms(topics.fit(spread(t.articles(spark, sf))), spark)
 
 
 @query("txt05_projection")
 def txt05(spark, sf):
-    articles = t.articles(spark, sf)
+    articles = spread(t.articles(spark, sf))
     return topics.projection(topics.assign(articles, topics.fit(articles, starts=1)), ["doc_id"])

@@ -9,10 +9,16 @@ from millrace.catalog.views import over
 from millrace.functions import sentiment as lex
 from millrace.plans import news
 from millrace.registry import query
+from millrace.session import spread, stage_table
 from millrace.sources import feeds, pages
 from millrace.sources import tables as t
 
 
+def articles(spark, sf):
+    """Articles for text work, spread over the cores."""
+    return spread(t.articles(spark, sf))
+
+
 def _pairs(values: dict[str, float]) -> str:
     return ", ".join(f"('{w}', {v}::DOUBLE)" for w, v in values.items())
 
@@ -86,7 +92,7 @@ KEYWORDS_SQL = f"""kw AS (SELECT doc_id, {TOKENS_SQL.format(body="title || ' ' |
     over("articles_v", sentiment_sql("SELECT doc_id, label, compound, positive, negative, neutral FROM scored")),
 )
 def txt01(spark, sf):
-    return news.article_sentiment(t.articles(spark, sf)).select("doc_id", "sentiment.*")
+    return news.article_sentiment(articles(spark, sf)).select("doc_id", "sentiment.*")
 
 
 @query(
@@ -99,7 +105,7 @@ def txt01(spark, sf):
     ),
 )
 def txt02(spark, sf):
-    return news.article_keywords(t.articles(spark, sf)).select("doc_id", F.array_join("keywords", " ").alias("keywords"))
+    return news.article_keywords(articles(spark, sf)).select("doc_id", F.array_join("keywords", " ").alias("keywords"))
 
 
 @query(
@@ -118,9 +124,9 @@ def txt06(spark, sf):
     """New articles (first per id), enriched with sentiment and keywords."""
     from millrace.operators.sets import new_by_key
 
-    articles = t.articles(spark, sf)
-    keepers = new_by_key(articles.select("id", "doc_id"), "id", [F.asc("doc_id")]).select("doc_id")
-    fresh = articles.join(keepers, "doc_id", "left_semi")
+    everything = articles(spark, sf)
+    keepers = new_by_key(t.articles(spark, sf).select("id", "doc_id"), "id", [F.asc("doc_id")]).select("doc_id")
+    fresh = everything.join(keepers, "doc_id", "left_semi")
     return news.enrich(fresh).select(
         "id", "doc_id", "sentiment.label", "sentiment.compound", F.array_join("keywords", " ").alias("keywords")
     )
@@ -131,7 +137,7 @@ def txt06(spark, sf):
     over("articles_v", sentiment_sql("SELECT label AS sentiment_label, count(*) AS n FROM scored GROUP BY label")),
 )
 def txt07(spark, sf):
-    return news.sentiment_distribution(news.article_sentiment(t.articles(spark, sf)))
+    return news.sentiment_distribution(news.article_sentiment(articles(spark, sf)))
 
 
 @query(
@@ -144,7 +150,7 @@ def txt07(spark, sf):
     ),
 )
 def agg20_keywords(spark, sf):
-    return news.all_time_keywords(news.article_keywords(t.articles(spark, sf)))
+    return news.all_time_keywords(news.article_keywords(articles(spark, sf)))
 
 
 @query(
@@ -163,10 +169,12 @@ def agg20_keywords(spark, sf):
     ),
 )
 def win05_keywords(spark, sf):
-    tagged = news.article_keywords(t.articles(spark, sf)).withColumn(
+    tagged = news.article_keywords(articles(spark, sf)).withColumn(
         "at", F.to_timestamp_ntz("published_at")
     )
-    return news.trending(news.keyword_trend(tagged, "at"))
+    # The counts are read for the trend and for its latest window, so they are stored once.
+    counts = stage_table(news.keyword_counts(tagged, "at"), "keyword_counts")
+    return news.trending(news.keyword_trend(counts))
 
 
 @query(

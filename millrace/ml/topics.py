@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import joined_text
 from millrace.ml.simple import kmeans_fit
-from millrace.session import spread
 
 CLUSTERS = 8
 TERMS = 500
@@ -43,7 +42,7 @@ def text_pipeline(terms: int = TERMS) -> Pipeline:
 
 
 def with_body(articles: DataFrame) -> DataFrame:
-    return spread(articles).withColumn("body", joined_text("title", "description"))
+    return articles.withColumn("body", joined_text("title", "description"))
 
 
 def fit(articles: DataFrame, k: int = CLUSTERS, starts: int = 10, terms: int = TERMS) -> tuple[PipelineModel, KMeansModel] | None:

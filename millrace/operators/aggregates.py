@@ -174,7 +174,7 @@ def group_rate(df: DataFrame, keys: list[str], flag: str, name: str) -> DataFram
 def unnest_count(df: DataFrame, array: str, name: str = "keyword", longer_than: int = 2) -> DataFrame:
     """Frequency of array elements that are non-empty and longer than a length."""
     return (
-        df.select(F.explode(array).alias(name))
+        df.select(F.explode_outer(array).alias(name))
         .filter((F.col(name) != "") & (F.length(name) > longer_than))
         .groupBy(name)
         .agg(F.count(F.lit(1)).alias("n"))

@@ -38,9 +38,9 @@ def quantiles(
     by = by or []
     present = df.dropna(subset=[column, *by]).select(*by, F.col(column).cast("double").alias("_v"))
     if _largest_group(present, "_v", by) <= in_memory:
-        return present.groupBy(*by).agg(
-            *[F.percentile("_v", F.lit(p)).alias(label_of(p)) for p in probs]
-        )
+        # One aggregate for all probabilities: each one would hold its own copy of the values.
+        found = present.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, probs))).alias("_q"))
+        return found.select(*by, *[F.get("_q", i).alias(label_of(p)) for i, p in enumerate(probs)])
     return _sorted_quantiles(present, probs, by)
 
 

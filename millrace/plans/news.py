@@ -9,7 +9,6 @@ from millrace.functions.sentiment import sentiment
 from millrace.functions.text import joined_text, strip_markup, top_keywords
 from millrace.operators.aggregates import group_count, unnest_count
 from millrace.operators.windows import window_counts, window_delta
-from millrace.session import spread
 
 TREND_MINUTES = 60
 
@@ -23,12 +22,12 @@ def clean_articles(df: DataFrame) -> DataFrame:
 
 def article_sentiment(df: DataFrame, lexicon: dict[str, float] | None = None) -> DataFrame:
     """Sentiment of title and description."""
-    return spread(df).withColumn("sentiment", sentiment(joined_text("title", "description"), lexicon))
+    return df.withColumn("sentiment", sentiment(joined_text("title", "description"), lexicon))
 
 
 def article_keywords(df: DataFrame, top_n: int = 10) -> DataFrame:
     """Most frequent keywords of title, description and content."""
-    return spread(df).withColumn("keywords", top_keywords(joined_text("title", "description", "content"), top_n))
+    return df.withColumn("keywords", top_keywords(joined_text("title", "description", "content"), top_n))
 
 
 def enrich(df: DataFrame) -> DataFrame:
@@ -41,10 +40,17 @@ def sentiment_distribution(enriched: DataFrame) -> DataFrame:
     return group_count(labelled.filter(F.col("sentiment_label").isNotNull()), ["sentiment_label"])
 
 
-def keyword_trend(with_keywords: DataFrame, ts: str, minutes: int = TREND_MINUTES) -> DataFrame:
+def keyword_counts(with_keywords: DataFrame, ts: str, minutes: int = TREND_MINUTES) -> DataFrame:
+    """Keyword occurrences per window."""
+    # The outer form keeps the optimizer from testing the array's size first,
+    # which would compute the keywords twice.
+    exploded = with_keywords.select(F.col(ts).alias("at"), F.explode_outer("keywords").alias("keyword"))
+    return window_counts(exploded.filter(F.col("keyword").isNotNull()), "at", "keyword", minutes)
+
+
+def keyword_trend(counts: DataFrame, minutes: int = TREND_MINUTES) -> DataFrame:
     """Keyword counts per window against the window before."""
-    exploded = with_keywords.select(F.col(ts).alias("at"), F.explode("keywords").alias("keyword"))
-    return window_delta(window_counts(exploded, "at", "keyword", minutes), minutes)
+    return window_delta(counts, minutes)
 
 
 def trending(trend: DataFrame, top_n: int = 20) -> DataFrame:

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -76,13 +77,14 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give costly per-row work at least one partition per core.
+def spread(scan: DataFrame) -> DataFrame:
+    """Give costly per-row work over a table scan at least one partition per core.
 
-    A table read from many files already has them and is left alone; one small
-    file would otherwise be a single task.
+    A table of many files already has them and is left alone; one small file
+    would otherwise be a single task. Meant for plain scans: asking a shuffled
+    plan for its partitions would run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.isStreaming or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)
