@@ -140,12 +140,12 @@ def follow_edges(events: DataFrame) -> DataFrame:
     )
 
 
-def best_connected(edges: DataFrame, k: int = 1) -> DataFrame:
-    """The person with the most friends, as the one to make suggestions for."""
+def least_connected(edges: DataFrame, k: int = 1) -> DataFrame:
+    """The people with the fewest friends, the ones suggestions are most useful to."""
     return (
         edges.groupBy("src")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc("src"))
+        .orderBy(F.asc("n"), F.asc("src"))
         .limit(k)
         .select("src")
     )
