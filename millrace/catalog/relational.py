@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.catalog.views import over
 from millrace.operators import filters, joins, projections
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import salted_join, salted_outer_join
 from millrace.plans import claims as claim_plans
 from millrace.registry import query
 from millrace.sources import tables as t
@@ -430,6 +430,37 @@ def join03(spark, sf):
     )
 
 
+@query(
+    "join03_right_salted",
+    over(
+        "orders_v customers_v",
+        """SELECT customer_id, order_id, customer_state
+           FROM (SELECT order_id, customer_id FROM orders_v WHERE priority = '1-URGENT') o
+           RIGHT JOIN customers_v USING (customer_id)""",
+    ),
+)
+def join03_salted(spark, sf):
+    urgent = t.orders(spark, sf).filter("priority = '1-URGENT'").select("order_id", "customer_id")
+    people = t.customers(spark, sf).select("customer_id", "customer_state")
+    return salted_outer_join(urgent, people, ["customer_id"], salt_by=["order_id"], how="right")
+
+
+@query(
+    "join04_full_salted",
+    over(
+        "orders_v customers_v",
+        """SELECT coalesce(o.customer_id, c.customer_id) AS customer_id, order_id, customer_state
+           FROM (SELECT order_id, customer_id FROM orders_v WHERE customer_id % 7 <> 3) o
+           FULL JOIN (SELECT * FROM customers_v WHERE customer_id % 5 <> 2) c ON o.customer_id = c.customer_id""",
+    ),
+)
+def join04_salted(spark, sf):
+    """Two sides that each miss some customers."""
+    made = t.orders(spark, sf).filter("customer_id % 7 <> 3").select("order_id", "customer_id")
+    people = t.customers(spark, sf).filter("customer_id % 5 <> 2").select("customer_id", "customer_state")
+    return salted_outer_join(made, people, ["customer_id"], salt_by=["order_id"], how="full")
+
+
 @query(
     "join04_full",
     """SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality

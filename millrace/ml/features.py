@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.encode import per_level
+
 SEED = 42
 _BUCKETS = 1_000_000
 
@@ -39,7 +41,7 @@ def stratified_split(df: DataFrame, key: str, label: str, train: float = 0.8, se
     """As ``split``, with the share kept in every class: each class has its own cut on the hash."""
     marked = df.withColumn("_b", _bucket(key, seed))
     cuts = marked.groupBy(label).agg(F.percentile_approx("_b", train, 10_000).alias("_cut"))
-    joined = marked.join(cuts, label)
+    joined = per_level(marked, cuts, label)
     columns = df.columns
     return (
         joined.filter(F.col("_b") <= F.col("_cut")).select(*columns),
@@ -54,7 +56,7 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     weights = sizes.select(
         label, (F.sum("_n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("_n"))).alias(name)
     )
-    return df.join(weights, label)
+    return per_level(df, weights, label)
 
 
 def confusion(predictions: DataFrame, label: str = "label") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quantiles import quantiles
+from millrace.operators.skew import salted_join
 
 
 def group_count(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
@@ -134,10 +135,10 @@ def box_stats(df: DataFrame, column: str, by: list[str]) -> DataFrame:
         }
     )
     value = F.col(column)
-    # Rows are counted per (group, value) first, so a group with a third of the
-    # rows reaches the join as its distinct values only.
+    # Rows are counted per (group, value) first, and the values of a large group
+    # are spread over many tasks for the join with its fences.
     values = df.filter(value.isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_c"))
-    joined = values.join(fences, by)
+    joined = salted_join(values, fences, by, salt_by=[*by, column])
     inside = (value >= F.col("_low")) & (value <= F.col("_high"))
     spread = joined.groupBy(*by, "p25", "p50", "p75").agg(
         F.min(value).alias("min"),

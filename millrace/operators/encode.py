@@ -20,6 +20,19 @@ def levels(df: DataFrame, column: str) -> list:
     return sorted(found)
 
 
+def per_level(df: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Join a table with one row per level of a column.
+
+    The table is read to the driver within ``MAX_LEVELS`` rows, so Spark knows
+    it is small and never shuffles the rows by a column with few values.
+    """
+    found = table.limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
+    known = df.sparkSession.createDataFrame(found, table.schema)
+    return df.join(F.broadcast(known), column)
+
+
 def one_hot(df: DataFrame, columns: list[str], drop_first: bool = True) -> DataFrame:
     """A 0/1 column per level (alphabetical, first dropped); the source columns go."""
     for column in columns:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordinal import running_count
+from millrace.operators.skew import salted_join
 
 # Spark's percentile() keeps every distinct value of a group in one task.
 # Up to this many it is the cheaper way; beyond it the sorted way is used.
@@ -50,7 +51,11 @@ def _sorted_quantiles(present: DataFrame, probs: list[float], by: list[str]) ->
     ranked = running_count(counts, by, "_v", "_c", "_before")
     # The group's size travels with its last value's end rank.
     sizes = ranked.groupBy(*by).agg(F.max(F.col("_before") + F.col("_c")).alias("_n"))
-    joined = ranked.join(sizes, by) if by else ranked.withColumn("_n", sizes.scalar())
+    if by:
+        # A group may hold most of the values; its rows are spread over many tasks.
+        joined = salted_join(ranked, sizes, by, salt_by=[*by, "_v"])
+    else:
+        joined = ranked.withColumn("_n", sizes.scalar())
     before, end, n = F.col("_before"), F.col("_before") + F.col("_c"), F.col("_n")
 
     def value_at(position: Column) -> Column:

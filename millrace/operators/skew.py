@@ -51,3 +51,18 @@ def salted_join(
         ),
     )
     return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+
+
+def salted_outer_join(
+    left: DataFrame, right: DataFrame, on: list[str], salt_by: list[str], how: str, salts: int = 64, share: float = 0.001
+) -> DataFrame:
+    """Right or full outer join whose left side may have hot keys.
+
+    An outer join cannot split the side it does not keep, so the matched part is
+    a salted join and the right rows without a match are added by an anti join
+    against the distinct left keys.
+    """
+    kept = {"right": "inner", "full": "left"}[how]
+    matched = salted_join(left, right, on, salt_by, kept, salts, share)
+    unmatched = right.join(left.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

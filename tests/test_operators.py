@@ -12,7 +12,7 @@ from millrace.functions import dates, numbers
 from millrace.operators import aggregates, encode, filters, joins, projections, quality, sets, sorting, windows
 from millrace.operators.ordinal import with_ordinal
 from millrace.operators.quantiles import quantiles
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import salted_join, salted_outer_join
 from tests.conftest import rows
 
 
@@ -135,6 +135,17 @@ def test_salted_join_equals_plain_join_with_a_hot_key(spark, how):
     assert rows(salted.select(*plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["right", "full"])
+def test_salted_outer_join_equals_plain_join(spark, how):
+    big = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") == 1, None).otherwise(F.col("id")).alias("k"))
+    small = spark.range(50).select((F.col("id") * 30).alias("k"), F.col("id").alias("v")).unionByName(
+        spark.createDataFrame([(7, 1), (7, 2), (None, 3)], "k long, v long")
+    )
+    salted = salted_outer_join(big, small, ["k"], salt_by=["id"], how=how, salts=4, share=0.01)
+    plain = big.join(small, "k", how)
+    assert rows(salted.select(*plain.columns)) == rows(plain)
+
+
 def test_quantiles_match_numpy_in_both_ways(spark):
     values = [5.0, 1.0, 1.0, 9.0, 2.5, None, 4.0]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 3.0), (None, 8.0)], "g string, v double")
