@@ -195,3 +195,9 @@ def txt04(spark, sf):
 def txt05(spark, sf):
     articles = spread(t.articles(spark, sf))
     return topics.projection(topics.assign(articles, topics.fit(articles, starts=1)), ["doc_id"])
+
+
+@query("txt06_enrich_with_clusters")
+def txt06_clusters(spark, sf):
+    done = topics.enrich(spread(t.articles(spark, sf)), starts=1)
+    return done.select("id", "doc_id", "sentiment.label", F.array_join("keywords", " ").alias("keywords"), "cluster")

@@ -168,27 +168,29 @@ def set03_count(spark, sf):
     "set04_new_by_key",
     over(
         "articles_v",
-        """SELECT id, min(doc_id) AS doc_id FROM articles_v
-           WHERE id <> '' AND source <> 'src1'
-             AND id NOT IN (SELECT id FROM articles_v WHERE source = 'src1')
-           GROUP BY id""",
+        """WITH seen AS (SELECT DISTINCT id FROM articles_v JOIN labels USING (doc_id))
+           SELECT id, min(doc_id) AS doc_id FROM articles_v
+           WHERE id <> '' AND id NOT IN (SELECT id FROM seen) GROUP BY id""",
     ),
 )
 def set04(spark, sf):
-    feed = t.articles(spark, sf).select("id", "doc_id", "source")
-    seen = feed.filter("source = 'src1'")
-    fresh = sets.new_by_key(feed.filter("source <> 'src1'"), "id", [F.asc("doc_id")], seen)
-    return fresh.select("id", "doc_id")
+    """Articles whose text no labelled document has, first of each text."""
+    feed = t.articles(spark, sf).select("id", "doc_id")
+    seen = feed.join(t.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    return sets.new_by_key(feed, "id", [F.asc("doc_id")], seen).select("id", "doc_id")
 
 
 @query(
     "set05_snapshot_changes",
-    """WITH old AS (SELECT lang, md5(text) AS body FROM documents WHERE doc_id % 3 <> 0),
-            new AS (SELECT lang, md5(text) AS body FROM documents WHERE doc_id % 3 <> 1)
+    """WITH old AS (SELECT lang, md5(text) AS body FROM documents),
+            new AS (SELECT lang, md5(CASE WHEN source IN ('src3', 'src5') THEN text || '.' ELSE text END) AS body FROM documents)
        SELECT lang, body, 'added' AS change FROM (SELECT * FROM new EXCEPT SELECT * FROM old)
        UNION ALL SELECT lang, body, 'removed' FROM (SELECT * FROM old EXCEPT SELECT * FROM new)""",
 )
 def set05(spark, sf):
-    """Two snapshots of the documents, each missing a different third."""
-    docs = t.table(spark, sf, "documents").select("doc_id", "lang", F.md5("text").alias("body"))
-    return sets.snapshot_changes(docs.filter("doc_id % 3 <> 1"), docs.filter("doc_id % 3 <> 0"), ["lang", "body"])
+    """The documents before and after two sources changed their texts."""
+    docs = t.table(spark, sf, "documents")
+    edited = F.when(F.col("source").isin("src3", "src5"), F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    old = docs.select("lang", F.md5("text").alias("body"))
+    new = docs.select("lang", F.md5(edited).alias("body"))
+    return sets.snapshot_changes(new, old, ["lang", "body"])

@@ -450,14 +450,14 @@ def join03_salted(spark, sf):
     over(
         "orders_v customers_v",
         """SELECT coalesce(o.customer_id, c.customer_id) AS customer_id, order_id, customer_state
-           FROM (SELECT order_id, customer_id FROM orders_v WHERE customer_id % 7 <> 3) o
-           FULL JOIN (SELECT * FROM customers_v WHERE customer_id % 5 <> 2) c ON o.customer_id = c.customer_id""",
+           FROM (SELECT order_id, customer_id FROM orders_v WHERE order_status <> 'P') o
+           FULL JOIN (SELECT * FROM customers_v WHERE customer_city <> 'BUILDING') c ON o.customer_id = c.customer_id""",
     ),
 )
 def join04_salted(spark, sf):
-    """Two sides that each miss some customers."""
-    made = t.orders(spark, sf).filter("customer_id % 7 <> 3").select("order_id", "customer_id")
-    people = t.customers(spark, sf).filter("customer_id % 5 <> 2").select("customer_id", "customer_state")
+    """Orders without partial ones and customers outside one segment."""
+    made = t.orders(spark, sf).filter("order_status <> 'P'").select("order_id", "customer_id")
+    people = t.customers(spark, sf).filter("customer_city <> 'BUILDING'").select("customer_id", "customer_state")
     return salted_outer_join(made, people, ["customer_id"], salt_by=["order_id"], how="full")
 
 

@@ -39,9 +39,12 @@ def src02(spark, sf):
 @query(
     "src03_read_or_build",
     over(
-        "items_v orders_v",
-        """SELECT customer_id, count(DISTINCT order_id) AS total_orders, round(sum(price + freight_value), 4) AS total_spent
-           FROM orders_v JOIN items_v USING (order_id) WHERE order_status = 'F' GROUP BY customer_id""",
+        "items_v orders_v customers_v",
+        """SELECT customer_id, count(DISTINCT order_id) AS total_orders, round(sum(price), 4) AS total_spent,
+                  round(sum(price), 4) / count(*) AS avg_order_value, min(purchase_ts) AS first_order_date,
+                  max(purchase_ts) AS last_order_date, customer_city, customer_state
+           FROM orders_v JOIN items_v USING (order_id) LEFT JOIN customers_v USING (customer_id)
+           GROUP BY customer_id, customer_city, customer_state""",
     ),
 )
 def src03(spark, sf):
@@ -49,9 +52,7 @@ def src03(spark, sf):
     path = run_dir(spark, "src03")
 
     def build():
-        return commerce.customer_totals(t.orders(spark, sf), t.items(spark, sf)).select(
-            "customer_id", "total_orders", F.round("total_spent", 4).alias("total_spent")
-        )
+        return commerce.customer_features(t.orders(spark, sf), t.items(spark, sf), t.customers(spark, sf))
 
     out.write_parquet(src.read_or_build(spark, path, build), path)
     return src.read_or_build(spark, path, build)
@@ -154,17 +155,17 @@ def job30(spark, sf):
 
 @query(
     "snk09_merge_insert_new",
-    """WITH a AS (SELECT md5(text) AS id, min(doc_id) AS doc_id FROM documents WHERE doc_id % 2 = 0 GROUP BY 1),
-            b AS (SELECT md5(text) AS id, min(doc_id) AS doc_id FROM documents WHERE doc_id % 2 = 1 GROUP BY 1)
+    """WITH a AS (SELECT md5(text) AS id, min(doc_id) AS doc_id FROM documents JOIN labels USING (doc_id) GROUP BY 1),
+            b AS (SELECT md5(text) AS id, min(doc_id) AS doc_id FROM documents GROUP BY 1)
        SELECT * FROM a UNION ALL SELECT * FROM b WHERE id NOT IN (SELECT id FROM a)""",
 )
 def snk09(spark, sf):
-    """Odd documents merged into a store of the even ones; known texts are skipped."""
+    """All documents merged into a store of the labelled ones; known texts are skipped."""
     rows = t.articles(spark, sf).select("id", "doc_id")
     first = [F.asc("doc_id")]
-    empty = rows.limit(0)
-    store = sink.merge_insert_new(empty, rows.filter("doc_id % 2 = 0"), "id", first)
-    return sink.merge_insert_new(store, rows.filter("doc_id % 2 = 1"), "id", first)
+    labelled = rows.join(t.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select("id", "doc_id")
+    store = sink.merge_insert_new(rows.limit(0), labelled, "id", first)
+    return sink.merge_insert_new(store, rows, "id", first)
 
 
 @query(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import joined_text
 from millrace.ml.simple import kmeans_fit
+from millrace.plans import news
 
 CLUSTERS = 8
 TERMS = 500
@@ -63,6 +64,11 @@ def assign(articles: DataFrame, models: tuple[PipelineModel, KMeansModel] | None
     return clusters.transform(vectors).withColumnRenamed("prediction", "cluster")
 
 
+def enrich(articles: DataFrame, k: int = CLUSTERS, starts: int = 10) -> DataFrame:
+    """Sentiment, keywords and, when there are enough articles, a cluster."""
+    return news.enrich(assign(articles, fit(articles, k, starts)))
+
+
 def cluster_terms(models: tuple[PipelineModel, KMeansModel], spark, top_n: int = 5) -> DataFrame:
     """Heaviest terms of each centre: (cluster, rank, term, weight). Centres are clusters x terms in size."""
     text, clusters = models

@@ -129,6 +129,22 @@ def customer_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def customer_features(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customer features from raw tables: all orders, prices without freight."""
+    per_customer = (
+        orders.join(order_totals(items), "order_id")
+        .groupBy("customer_id")
+        .agg(
+            F.count_distinct("order_id").alias("total_orders"),
+            F.round(F.sum("price_sum"), 4).alias("total_spent"),
+            mean_of("price_sum").alias("avg_order_value"),
+            F.min("purchase_ts").alias("first_order_date"),
+            F.max("purchase_ts").alias("last_order_date"),
+        )
+    )
+    return per_customer.join(customers, "customer_id", "left")
+
+
 def top_customers(orders: DataFrame, items: DataFrame, customers: DataFrame, k: int = 10) -> DataFrame:
     """Customers by spend; orders are summed per customer before customers are joined."""
     return (
