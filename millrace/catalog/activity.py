@@ -8,6 +8,7 @@ from millrace.catalog.views import over
 from millrace.operators.joins import two_hops
 from millrace.plans import activity
 from millrace.registry import query
+from millrace.session import stage_table
 from millrace.sources import tables as t
 
 
@@ -139,5 +140,6 @@ def join11_edges(spark, sf):
     ),
 )
 def job29(spark, sf):
-    edges = activity.follow_edges(t.activity(spark, sf))
+    # Read for both hops, the known friends and the person asked about.
+    edges = stage_table(activity.follow_edges(t.activity(spark, sf)), "edges")
     return two_hops(edges, activity.least_connected(edges))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordinal import running_count
 from millrace.operators.skew import salted_join
+from millrace.session import stage_table
 
 # Spark's percentile() keeps every distinct value of a group in one task.
 # Up to this many it is the cheaper way; beyond it the sorted way is used.
@@ -29,26 +30,34 @@ def quantiles(
     probs: list[float],
     by: list[str] | None = None,
     in_memory: int = IN_MEMORY_VALUES,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with columns ``p25``, ``p50`` ... of a numeric column.
 
+    ``weight`` names a column saying how often a row's value occurs, for values
+    that are already counted.
+
     Null values and null groups are ignored. The number of distinct values is
     checked first and decides between the in-memory aggregate and the
     distributed sort.
     """
     by = by or []
-    present = df.dropna(subset=[column, *by]).select(*by, F.col(column).cast("double").alias("_v"))
+    times = F.col(weight) if weight else F.lit(1).cast("long")
+    present = df.dropna(subset=[column, *by]).select(
+        *by, F.col(column).cast("double").alias("_v"), times.alias("_c")
+    )
     if _largest_group(present, "_v", by) <= in_memory:
         # One aggregate for all probabilities: each one would hold its own copy of the values.
-        found = present.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, probs))).alias("_q"))
+        found = present.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, probs)), F.col("_c")).alias("_q"))
         return found.select(*by, *[F.get("_q", i).alias(label_of(p)) for i, p in enumerate(probs)])
     return _sorted_quantiles(present, probs, by)
 
 
 def _sorted_quantiles(present: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
     """Quantiles from ranks: values are counted, range-sorted and picked by position."""
-    counts = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_count(counts, by, "_v", "_c", "_before")
+    counts = present.groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
+    # Read for the sizes, the hot groups and the picks, so it is stored once.
+    ranked = stage_table(running_count(counts, by, "_v", "_c", "_before"), "ranked")
     # The group's size travels with its last value's end rank.
     sizes = ranked.groupBy(*by).agg(F.max(F.col("_before") + F.col("_c")).alias("_n"))
     if by:

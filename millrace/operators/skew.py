@@ -33,7 +33,8 @@ def salted_join(
     row id), so a recomputed task salts its rows the same way. Only rows of
     ``small`` with a hot key are repeated, at most ``salts / share`` times the
     rows such a key has. The result equals the plain join: each ``big`` row
-    meets every matching ``small`` row exactly once.
+    meets every matching ``small`` row exactly once. ``big`` is read again to
+    count its keys, so a costly one should be stored first.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} join cannot be salted on the left side")

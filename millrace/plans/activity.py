@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import conditional_counts, group_count
 from millrace.operators.ordinal import with_ordinal
+from millrace.operators.sets import union_all
 from millrace.operators.skew import salted_join
+from millrace.session import stage_table
 
 
 def user_summary(events: DataFrame) -> DataFrame:
@@ -48,6 +50,12 @@ def repeated_firings(events: DataFrame, bucket: str = "hour", is_test: Column |
     )
 
 
+def _step_count(reached: DataFrame, position: int, name: str) -> DataFrame:
+    return reached.agg(
+        F.lit(position).alias("step"), F.lit(name).alias("name"), F.count(F.lit(1)).alias("users")
+    )
+
+
 def funnel(events: DataFrame, steps: list[str], within: str = "24 HOURS") -> DataFrame:
     """Users reaching each step after the previous one, within a time limit.
 
@@ -56,28 +64,31 @@ def funnel(events: DataFrame, steps: list[str], within: str = "24 HOURS") -> Dat
     events in a salted join, so one user with a large share of the events does
     not end up in one task.
     """
-    events = events.select("event_id", "user_id", "event_type", "event_time").filter(F.col("user_id").isNotNull())
-    reached = (
-        events.filter(F.col("event_type") == steps[0])
-        .groupBy("user_id")
-        .agg(F.min("event_time").alias("at"))
+    # The steps' events and each step's users are read several times, so they are stored.
+    events = stage_table(
+        events.filter(F.col("user_id").isNotNull() & F.col("event_type").isin(steps)).select(
+            "event_id", "user_id", "event_type", "event_time"
+        ),
+        "funnel_events",
     )
-    counts = [reached.agg(F.lit(1).alias("step"), F.lit(steps[0]).alias("name"), F.count(F.lit(1)).alias("users"))]
+    reached = stage_table(
+        events.filter(F.col("event_type") == steps[0]).groupBy("user_id").agg(F.min("event_time").alias("at")),
+        "funnel_step",
+    )
+    counts = [_step_count(reached, 1, steps[0])]
     for position, step in enumerate(steps[1:], start=2):
-        candidates = events.filter(F.col("event_type") == step)
-        joined = salted_join(candidates, reached, ["user_id"], salt_by=["event_id"])
+        joined = salted_join(
+            events.filter(F.col("event_type") == step), reached, ["user_id"], salt_by=["event_id"]
+        )
         later = (F.col("event_time") > F.col("at")) & (
             F.col("event_time") <= F.col("at") + F.expr(f"INTERVAL {within}")
         )
-        reached = joined.filter(later).groupBy("user_id").agg(F.min("event_time").alias("at"))
-        counts.append(
-            reached.agg(F.lit(position).alias("step"), F.lit(step).alias("name"), F.count(F.lit(1)).alias("users"))
+        reached = stage_table(
+            joined.filter(later).groupBy("user_id").agg(F.min("event_time").alias("at")), "funnel_step"
         )
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
+        counts.append(_step_count(reached, position, step))
     first = counts[0].select("users").scalar()
-    return out.withColumn("conversion", F.col("users") / F.greatest(first, F.lit(1)))
+    return union_all(*counts).withColumn("conversion", F.col("users") / F.greatest(first, F.lit(1)))
 
 
 def retention(events: DataFrame, days: list[int], action: str, action_within: int = 1) -> DataFrame:
