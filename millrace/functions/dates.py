@@ -50,6 +50,11 @@ def epoch_to_iso(seconds: Column) -> Column:
     ).otherwise(F.lit(""))
 
 
+def truncated(unit: str, ts: Column) -> Column:
+    """Start of the hour, day, week ... as a timestamp without zone."""
+    return F.date_trunc(unit, ts).cast("timestamp_ntz")
+
+
 def years_since(day: Column, as_of: str) -> Column:
     """Whole days since a date over 365, one decimal."""
     return F.round(F.datediff(F.lit(as_of).cast("date"), day) / F.lit(365.0), 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import truncated
 from millrace.operators.aggregates import conditional_counts, group_count
 from millrace.operators.ordinal import with_ordinal
 from millrace.operators.sets import union_all
@@ -44,7 +45,7 @@ def repeated_firings(events: DataFrame, bucket: str = "hour", is_test: Column |
     """Same user and event type fired more than once in a time bucket; test traffic left out."""
     real = events if is_test is None else events.filter(~F.coalesce(is_test, F.lit(False)))
     return (
-        real.groupBy("user_id", "event_type", F.date_trunc(bucket, "event_time").alias("bucket"))
+        real.groupBy("user_id", "event_type", truncated(bucket, F.col("event_time")).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("firings"))
         .filter(F.col("firings") > 1)
     )
@@ -119,14 +120,14 @@ def retention(events: DataFrame, days: list[int], action: str, action_within: in
 
 def adoption(events: DataFrame, feature: str = "event_type", extra: list[str] | None = None) -> DataFrame:
     """Uses and distinct users of each feature per week, optionally split further."""
-    keys = [F.date_trunc("week", "event_time").alias("week"), F.col(feature), *(extra or [])]
+    keys = [truncated("week", F.col("event_time")).alias("week"), F.col(feature), *(extra or [])]
     return events.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("uses"), F.count_distinct("user_id").alias("users")
     )
 
 
 def active_users(events: DataFrame, period: str = "week") -> DataFrame:
-    return events.groupBy(F.date_trunc(period, "event_time").alias("period")).agg(
+    return events.groupBy(truncated(period, F.col("event_time")).alias("period")).agg(
         F.count_distinct("user_id").alias("active_users")
     )
 

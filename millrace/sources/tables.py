@@ -179,7 +179,7 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as news articles: the first line is the title, the rest the description."""
     title = F.substring_index("text", "\n", 1)
-    published = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60)
+    published = F.expr("TIMESTAMP_NTZ'2024-01-01'") + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.md5("text").alias("id"),
@@ -189,6 +189,6 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source",
         "lang",
         "n_chars",
-        F.date_format(F.to_timestamp_ntz(published.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss")
+        F.date_format(published, "yyyy-MM-dd'T'HH:mm:ss")
         .alias("published_at"),
     )
