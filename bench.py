@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
-cores. Each query runs once to warm up, then three times; the median counts.
+cores. Each query runs once to warm up, then twice more (BENCH_REPEATS); the median counts.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-    repeats = int(os.environ.get("BENCH_REPEATS", 3))
+    repeats = int(os.environ.get("BENCH_REPEATS", 2))
     spark = build_session("bench", f"local[{cpus}]", cpus, **{"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import years_since
-from millrace.operators.quantiles import quantiles
+from millrace.operators.quantiles import IN_MEMORY_VALUES, quantiles
+from millrace.operators.sets import union_all
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -41,10 +42,18 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
 
 
-def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column."""
+def describe(df: DataFrame, columns: list[str] | None = None, in_memory: int = IN_MEMORY_VALUES) -> DataFrame:
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column.
+
+    One pass estimates the distinct values and one computes everything; only
+    columns with too many values for one task get their quartiles by sorting.
+    """
     columns = columns or numeric_columns(df)
-    basic = df.agg(
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    many = [c for c in columns if sizes[c] > in_memory]
+    probs = [0.25, 0.5, 0.75]
+    no_quartiles = F.lit(None).cast("array<double>")
+    row = df.agg(
         *[
             F.struct(
                 F.count(c).alias("count"),
@@ -52,16 +61,28 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                 F.stddev_samp(c).alias("std"),
                 F.min(c).cast("double").alias("min"),
                 F.max(c).cast("double").alias("max"),
+                (
+                    no_quartiles
+                    if c in many
+                    else F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs)))
+                ).alias("q"),
             ).alias(c)
             for c in columns
         ]
     )
-    stats = _per_column(basic, columns, "s").select("column", "s.*")
-    quartiles = None
-    for c in columns:
-        one = quantiles(df, c, [0.25, 0.5, 0.75]).withColumn("column", F.lit(c))
-        quartiles = one if quartiles is None else quartiles.unionByName(one)
-    return stats.join(quartiles, "column").select(
+    stats = _per_column(row, columns, "s").select("column", "s.*")
+    if many:
+        sorted_way = union_all(
+            *[
+                quantiles(df, c, probs, in_memory=0).select(
+                    F.lit(c).alias("column"), F.array("p25", "p50", "p75").alias("sorted_q")
+                )
+                for c in many
+            ]
+        )
+        stats = stats.join(sorted_way, "column", "left").withColumn("q", F.coalesce("q", "sorted_q"))
+    quartile = {f"p{p}": F.get("q", i) for i, p in enumerate((25, 50, 75))}
+    return stats.withColumns(quartile).select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 

@@ -34,11 +34,14 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def new_by_key(batch: DataFrame, key: str, order: list[Column], seen: DataFrame | None = None) -> DataFrame:
-    """First row of each non-blank key that is not among the seen keys."""
+    """First row of each non-blank key that is not among the seen keys.
+
+    Copies are reduced to one row before the join with the seen keys, so a key
+    with many copies is a single row in it.
+    """
     usable = batch.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-    if seen is not None:
-        usable = usable.join(seen.select(key).distinct(), key, "left_anti")
-    return first_per_key(usable, [key], order)
+    first = first_per_key(usable, [key], order)
+    return first if seen is None else first.join(seen.select(key).distinct(), key, "left_anti")
 
 
 def snapshot_changes(new: DataFrame, old: DataFrame, columns: list[str]) -> DataFrame:

@@ -38,8 +38,8 @@ def switch_table(df: DataFrame, name: str) -> None:
 
 def merge_insert_new(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Target plus the batch's first row of each key the target does not have."""
-    fresh = batch.join(target.select(key), key, "left_anti")
-    return target.unionByName(first_per_key(fresh, [key], order).select(*target.columns))
+    fresh = first_per_key(batch, [key], order).join(target.select(key), key, "left_anti")
+    return target.unionByName(fresh.select(*target.columns))
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -291,5 +291,7 @@ def test_column_profiles(spark):
     assert rows(quality.any_null(df)) == [("a", False), ("b", True)]
     assert rows(quality.shape(df)) == [(2, 2)]
     assert rows(quality.column_types(df)) == [("a", "int"), ("b", "string")]
+    wide = spark.range(1, 10).select(F.col("id").alias("a"), (F.col("id") * F.col("id")).alias("b"))
+    assert rows(quality.describe(wide)) == rows(quality.describe(wide, in_memory=0))
     described = quality.describe(df).first()
     assert (described["count"], described["p50"]) == (2, 1.5)
