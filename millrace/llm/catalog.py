@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import sentencepiece_bpe
+from millrace.llm import packing, sentencepiece_bpe
 
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -18,5 +19,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest(_documents(spark, sf_dir), PIECES)
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), WORDS)
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}

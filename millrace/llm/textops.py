@@ -6,7 +6,7 @@ are whole characters, so words can be cut from the bytes without decoding.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,8 +115,18 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words_of(text: pa.Array, lower: bool = False) -> Words:
-    """Cut the words and hash each to 64 bits (``lower``: A-Z count as a-z)."""
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)  # ASCII that is neither letter, digit, space nor control
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+
+
+def words_of(text: pa.Array, lower: bool = False, cut_marks: bool = False) -> Words:
+    """Cut the words and hash each to 64 bits.
+
+    ``lower``: A-Z count as a-z. ``cut_marks``: a word also ends where an ASCII
+    mark follows an ASCII letter.
+    """
     raw, offsets = buffer_of(text)
     n = len(raw)
     inside = np.zeros(n + 2, bool)
@@ -132,6 +142,10 @@ def words_of(text: pa.Array, lower: bool = False) -> Words:
     cut = cut[inside[cut] & inside[cut + 1]]
     starts[cut] = True
     ends[cut] = True
+    if cut_marks and n:
+        cut = np.flatnonzero(_LETTER[raw[:-1]] & _MARK[raw[1:]]) + 1
+        starts[cut] = True
+        ends[cut] = True
     start, end = np.flatnonzero(starts), np.flatnonzero(ends)
     first = np.searchsorted(start, offsets)
     return Words(raw, offsets, start, end, first, span_hashes(raw, start, end, lower))
@@ -180,3 +194,38 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+class WordIds:
+    """Token ids of words by their hash, in sorted arrays; forgotten when over ``most`` words."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int) -> None:
+        self.encode, self.most = encode, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.hash, self.slot = np.zeros(0, U64), np.zeros(0, np.int64)
+        self.ids, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def of(self, words: Words, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, number of ids of each word)."""
+        if len(self.hash) > self.most:
+            self.clear()
+        found, at, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hash, found)
+        known = np.zeros(len(found), bool)
+        inside = place < len(self.hash)
+        known[inside] = self.hash[place[inside]] == found[inside]
+        if not known.all():
+            new = np.flatnonzero(~known)
+            raw = words.raw.tobytes()
+            raw = raw.lower() if lower else raw
+            spans = zip(words.start[at[new]].tolist(), words.end[at[new]].tolist(), strict=True)
+            ids, counts = self.encode([raw[a:b].decode() for a, b in spans])
+            self.slot = np.insert(self.slot, place[new], len(self.start) - 1 + np.arange(len(new)))
+            self.hash = np.insert(self.hash, place[new], found[new])
+            self.ids = np.append(self.ids, ids.astype(np.int32))
+            self.start = np.append(self.start, self.start[-1] + np.cumsum(counts))
+        slot = self.slot[np.searchsorted(self.hash, found)][inverse]
+        lengths = self.start[slot + 1] - self.start[slot]
+        return self.ids[gather(self.start[slot], lengths)], lengths
