@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, sentencepiece_bpe
+from millrace.llm import packing, sentencepiece_bpe, substrings
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -23,5 +23,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), WORDS)
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op10_packing": op10_packing}
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_documents(spark, sf_dir), with_text=False)
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op8_substrings": op8_substrings, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
