@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, sentencepiece_bpe, substrings, suffixes
+from millrace.llm import jaccard, packing, sentencepiece_bpe, substrings, suffixes
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,5 +31,9 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_documents(spark, sf_dir))
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_documents(spark, sf_dir), size=3, percent=90)
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
