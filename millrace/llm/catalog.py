@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import jaccard, language, packing, sentencepiece_bpe, substrings, suffixes
+from millrace.llm import jaccard, language, packing, quality, sentencepiece_bpe, substrings, suffixes
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,6 +31,10 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_documents(spark, sf_dir))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
@@ -39,5 +43,5 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_documents(spark, sf_dir), size=3, percent=90)
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op3_language": op3_language, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality": op2_quality, "op3_language": op3_language, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
