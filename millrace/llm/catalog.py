@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import jaccard, language, neighbours, packing, quality, sentencepiece_bpe, substrings, suffixes
+from millrace.llm import jaccard, language, neighbours, packing, pages, quality, sentencepiece_bpe, substrings, suffixes
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,9 +46,13 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"), k=5, relax=RELAX)
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_documents(spark, sf_dir), size=3, percent=90)
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality": op2_quality, "op3_language": op3_language, "op5_neighbours": op5_neighbours, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality": op2_quality, "op3_language": op3_language, "op5_neighbours": op5_neighbours, "op6_pages": op6_pages, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
