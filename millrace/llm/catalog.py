@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import jaccard, language, neighbours, packing, pages, quality, sentencepiece_bpe, substrings, suffixes
+from millrace.llm import jaccard, language, neighbours, packing, pages, personal, quality, sentencepiece_bpe, substrings, suffixes
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -41,6 +41,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+def op4_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(_documents(spark, sf_dir))
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"), k=5, relax=RELAX)
@@ -54,5 +58,5 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_documents(spark, sf_dir), size=3, percent=90)
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality": op2_quality, "op3_language": op3_language, "op5_neighbours": op5_neighbours, "op6_pages": op6_pages, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality": op2_quality, "op3_language": op3_language, "op4_personal": op4_personal, "op5_neighbours": op5_neighbours, "op6_pages": op6_pages, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
