@@ -11,9 +11,10 @@ _MOMENT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's file as a streaming source with the batch schema."""
+    """The table as a streaming source with the batch schema, be it one file or a folder of part files."""
     schema = t.table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # A pattern is read like a folder: it matches the one path, and part files below it.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _message(df: DataFrame, key: str, fields: list) -> DataFrame:

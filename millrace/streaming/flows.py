@@ -66,6 +66,26 @@ def first_seen(rows: DataFrame, key: str, ts: str, lateness: str) -> DataFrame:
     )
 
 
+def start_new_keys(rows: DataFrame, key: str, path: str, checkpoint: str, trigger: str | None = "10 seconds") -> StreamingQuery:
+    """Write each non-blank key once, whenever it comes again.
+
+    Keys written so far are a table, one folder for each batch; a batch is joined
+    against the folders of the batches before it, so nothing expires and a
+    replayed batch finds what it found the first time.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.filter(F.col(key).isNotNull() & (F.col(key) != "")).dropDuplicates([key])
+        before = [f"{path}/batch_id={i}" for i in range(batch_id)]
+        if before:
+            seen = spark.read.schema(fresh.schema).option("ignoreMissingFiles", True).parquet(*before)
+            fresh = fresh.join(seen.select(key), key, "left_anti").select(*fresh.columns)
+        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return streams.start_batches(rows, write, checkpoint, trigger)
+
+
 def keyword_counts(rows: DataFrame, ts: str, keyword: str, minutes: int, lateness: str) -> DataFrame:
     """Occurrences per fixed window and keyword, emitted when the window closes."""
     return (

@@ -4,9 +4,11 @@ import json
 
 from pyspark.sql import functions as F
 
+from millrace.registry import all_queries
 from millrace.sinks import streams
 from millrace.streaming import flows
 from tests.conftest import rows
+from tools.check import TABLES
 
 MESSAGE = "key string, value string"
 
@@ -85,6 +87,33 @@ def test_a_replayed_batch_does_not_repeat_rows(spark, tmp_path):
     assert not (tmp_path / "out/claims/batch_id=1").exists()
 
 
+def as_folders(spark, sf, tmp_path):
+    """Every table as a folder of four part files."""
+    for name in TABLES:
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(4).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_streams_read_tables_in_folders(spark, sf, tmp_path):
+    queries = {n: q for n, q in all_queries().items() if n.startswith("str") or n == "snk06_foreach_batch"}
+    assert len(queries) >= 9
+    folders = as_folders(spark, sf, tmp_path)
+    for name, q in queries.items():
+        if name != "str01_watermark":
+            want = q.run(spark, sf).count()
+            assert q.run(spark, folders).count() == want > 0, name
+    assert rows(queries["str01_watermark"].run(spark, folders)) == rows(queries["str01_watermark"].run(spark, sf))
+
+
+def test_new_keys_over_several_batches(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    keys = lambda: source(spark, inbox).select(F.col("key").alias("id"))
+    for name, ids in (("1", ["a", "b", "a", ""]), ("2", ["b", "c"]), ("3", ["a", "c", "d"])):
+        put(spark, inbox, name, [{"id": i} for i in ids])
+        flows.start_new_keys(keys(), "id", out, state, trigger=None).awaitTermination()
+    assert rows(spark.read.parquet(out).select("id")) == [("a",), ("b",), ("c",), ("d",)]
+
+
 def test_console_sink_prints_and_stops(spark, tmp_path):
     inbox = str(tmp_path / "in")
     put(spark, inbox, "1", [event("u", "purchase", "00:01")])
