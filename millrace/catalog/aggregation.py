@@ -238,7 +238,7 @@ def agg14(spark, sf):
 )
 def agg14_sorted(spark, sf):
     """The distributed way, as taken when a group has too many values for one task."""
-    out = quantiles(t.table(spark, sf, "events"), "value", [0.1, 0.5, 0.99], ["event_type"], in_memory=0)
+    out = quantiles(t.table(spark, sf, "events"), "value", [0.1, 0.5, 0.99], ["event_type"])
     return out.withColumns({p: F.round(p, 6) for p in ("p10", "p50", "p99")})
 
 

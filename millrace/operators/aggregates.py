@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quantiles import quantiles
-from millrace.operators.skew import salted_join
-from millrace.session import stage_table
 
 
 def group_count(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
@@ -130,26 +128,22 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def box_stats(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     """Five-number summary per group, with whiskers at the last points inside the 1.5 IQR fences."""
     value = F.col(column)
-    # Rows are counted per (group, value) and stored, as the counts are read for
-    # the quantiles, the large groups and the join. The values of a large group
-    # are spread over many tasks for the join with its fences.
-    values = stage_table(
-        df.filter(value.isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_c")), "box_values"
-    )
-    fences = quantiles(values, column, [0.25, 0.5, 0.75], by, weight="_c").withColumns(
+    present = df.filter(value.isNotNull()).select(*by, column)
+    fences = quantiles(present, column, [0.25, 0.5, 0.75], by).withColumns(
         {
             "_low": F.col("p25") - 1.5 * (F.col("p75") - F.col("p25")),
             "_high": F.col("p75") + 1.5 * (F.col("p75") - F.col("p25")),
         }
     )
-    joined = salted_join(values, fences, by, salt_by=[*by, column])
+    # One row for each group: Spark broadcasts it if it is small and splits hot groups if not.
+    joined = present.join(fences, by)
     inside = (value >= F.col("_low")) & (value <= F.col("_high"))
     spread = joined.groupBy(*by, "p25", "p50", "p75").agg(
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.min(F.when(inside, value)).alias("whisker_low"),
         F.max(F.when(inside, value)).alias("whisker_high"),
-        F.sum(F.when(~inside, F.col("_c")).otherwise(0)).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
     return spread.select(
         *by, "min", "whisker_low", "p25", "p50", "p75", "whisker_high", "max", "outliers"

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import years_since
-from millrace.operators.quantiles import IN_MEMORY_VALUES, quantiles
-from millrace.operators.sets import union_all
+from millrace.operators.quantiles import column_quantiles, median_of, quantile_structs
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -42,17 +41,12 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, in_memory: int = IN_MEMORY_VALUES) -> DataFrame:
+def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column.
 
-    One pass estimates the distinct values and one computes everything; only
-    columns with too many values for one task get their quartiles by sorting.
+    One pass sums up all columns, and one run sorts the values of all columns for the quartiles.
     """
     columns = columns or numeric_columns(df)
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    many = [c for c in columns if sizes[c] > in_memory]
-    probs = [0.25, 0.5, 0.75]
-    no_quartiles = F.lit(None).cast("array<double>")
     row = df.agg(
         *[
             F.struct(
@@ -61,28 +55,13 @@ def describe(df: DataFrame, columns: list[str] | None = None, in_memory: int = I
                 F.stddev_samp(c).alias("std"),
                 F.min(c).cast("double").alias("min"),
                 F.max(c).cast("double").alias("max"),
-                (
-                    no_quartiles
-                    if c in many
-                    else F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs)))
-                ).alias("q"),
             ).alias(c)
             for c in columns
         ]
     )
     stats = _per_column(row, columns, "s").select("column", "s.*")
-    if many:
-        sorted_way = union_all(
-            *[
-                quantiles(df, c, probs, in_memory=0).select(
-                    F.lit(c).alias("column"), F.array("p25", "p50", "p75").alias("sorted_q")
-                )
-                for c in many
-            ]
-        )
-        stats = stats.join(sorted_way, "column", "left").withColumn("q", F.coalesce("q", "sorted_q"))
-    quartile = {f"p{p}": F.get("q", i) for i, p in enumerate((25, 50, 75))}
-    return stats.withColumns(quartile).select(
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75])
+    return stats.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
@@ -100,18 +79,15 @@ def fill_constants(df: DataFrame, values: dict, blank_is_null: tuple[str, ...] =
 
 
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Fill nulls with the column's exact median."""
-    return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), quantiles(df, c, [0.5]).scalar()) for c in columns}
-    )
+    """Fill nulls with the column's exact median; all medians come from one run."""
+    found = quantile_structs(df, columns, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), found.getField(c).getField("p50")) for c in columns})
 
 
 def impute_median_date(df: DataFrame, column: str) -> DataFrame:
     """Fill missing dates with the median date (the middle day, whole days)."""
     days = df.select(F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).alias("d"))
-    middle = F.date_add(
-        F.lit("1970-01-01").cast("date"), F.floor(quantiles(days, "d", [0.5]).scalar()).cast("int")
-    )
+    middle = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(median_of(days, "d")).cast("int"))
     return df.withColumn(column, F.coalesce(F.col(column), middle))
 
 
@@ -122,39 +98,37 @@ def impute_mode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), mode_value(df, column).select(column).scalar()))
 
 
-def iqr_fences(df: DataFrame, column: str, k: float = 1.5) -> tuple[Column, Column]:
-    """Lower and upper fence as scalar subqueries."""
-    q = quantiles(df, column, [0.25, 0.75])
-    spread = (F.col("p75") - F.col("p25")) * k
-    fences = q.select(F.struct((F.col("p25") - spread).alias("low"), (F.col("p75") + spread).alias("high")).alias("f"))
-    fence = fences.scalar()
-    return fence.getField("low"), fence.getField("high")
+def iqr_fences(df: DataFrame, column: str, k: float = 1.5) -> tuple[Column, Column, Column]:
+    """Lower fence, upper fence and median as scalar subqueries of one run."""
+    q = quantile_structs(df, [column], [0.25, 0.5, 0.75]).getField(column)
+    low, high = q.getField("p25"), q.getField("p75")
+    spread = (high - low) * k
+    return low - spread, high + spread, q.getField("p50")
 
 
 def outliers(df: DataFrame, column: str) -> DataFrame:
     """Rows outside the fences."""
-    low, high = iqr_fences(df, column)
+    low, high, _ = iqr_fences(df, column)
     return df.filter((F.col(column) < low) | (F.col(column) > high))
 
 
 def remove_outliers(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows inside the fences, column by column; each fence is taken from the rows still left."""
     for column in columns:
-        low, high = iqr_fences(df, column)
+        low, high, _ = iqr_fences(df, column)
         df = df.filter((F.col(column) >= low) & (F.col(column) <= high))
     return df
 
 
 def outliers_to_median(df: DataFrame, column: str) -> DataFrame:
-    low, high = iqr_fences(df, column)
+    low, high, middle = iqr_fences(df, column)
     value = F.col(column)
-    middle = quantiles(df, column, [0.5]).scalar()
     return df.withColumn(column, F.when((value < low) | (value > high), middle).otherwise(value))
 
 
 def winsorise(df: DataFrame, column: str) -> DataFrame:
     """Cap at the fences; nulls stay null."""
-    low, high = iqr_fences(df, column)
+    low, high, _ = iqr_fences(df, column)
     value = F.col(column)
     return df.withColumn(
         column, F.when(value > high, high).when(value < low, low).otherwise(value)

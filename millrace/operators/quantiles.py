@@ -6,65 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordinal import running_count
-from millrace.operators.skew import salted_join
-from millrace.session import stage_table
-
-# Spark's percentile() keeps every distinct value of a group in one task.
-# Up to this many it is the cheaper way; beyond it the sorted way is used.
-IN_MEMORY_VALUES = 1_000_000
 
 
 def label_of(p: float) -> str:
     return f"p{round(p * 100):02d}"
 
 
-def _largest_group(df: DataFrame, column: str, by: list[str]) -> int:
-    """Estimated distinct values in the largest group (HyperLogLog, combined map-side)."""
-    per_group = df.groupBy(*by).agg(F.approx_count_distinct(column).alias("n"))
-    return per_group.agg(F.max("n")).first()[0] or 0
-
-
-def quantiles(
-    df: DataFrame,
-    column: str,
-    probs: list[float],
-    by: list[str] | None = None,
-    in_memory: int = IN_MEMORY_VALUES,
-    weight: str | None = None,
+def column_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None, weight: str | None = None
 ) -> DataFrame:
-    """One row per group with columns ``p25``, ``p50`` ... of a numeric column.
+    """One row per group and column: the groups, ``column``, and ``p25``, ``p50`` ...
 
-    ``weight`` names a column saying how often a row's value occurs, for values
-    that are already counted.
+    ``weight`` names a column saying how often a row's values occur, for values
+    that are already counted. Null values and null groups are ignored; a column
+    without values has no row.
 
-    Null values and null groups are ignored. The number of distinct values is
-    checked first and decides between the in-memory aggregate and the
-    distributed sort.
+    Values are counted, range-sorted and picked by position, all columns in one
+    run. A group's values lie in as many sorted pieces as they need, so no task
+    holds a whole group.
     """
     by = by or []
+    keys = [*by, "column"]
     times = F.col(weight) if weight else F.lit(1).cast("long")
-    present = df.dropna(subset=[column, *by]).select(
-        *by, F.col(column).cast("double").alias("_v"), times.alias("_c")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns])
+    present = (
+        df.dropna(subset=by)
+        .select(*by, times.alias("_c"), F.explode(cells).alias("_cell"))
+        .select(*by, "_c", "_cell.column", "_cell._v")
+        .filter(F.col("_v").isNotNull())
     )
-    if _largest_group(present, "_v", by) <= in_memory:
-        # One aggregate for all probabilities: each one would hold its own copy of the values.
-        found = present.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, probs)), F.col("_c")).alias("_q"))
-        return found.select(*by, *[F.get("_q", i).alias(label_of(p)) for i, p in enumerate(probs)])
-    return _sorted_quantiles(present, probs, by)
-
-
-def _sorted_quantiles(present: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
-    """Quantiles from ranks: values are counted, range-sorted and picked by position."""
-    counts = present.groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
-    # Read for the sizes, the hot groups and the picks, so it is stored once.
-    ranked = stage_table(running_count(counts, by, "_v", "_c", "_before"), "ranked")
+    counts = present.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
+    ranked = running_count(counts, keys, "_v", "_c", "_before")
     # The group's size travels with its last value's end rank.
-    sizes = ranked.groupBy(*by).agg(F.max(F.col("_before") + F.col("_c")).alias("_n"))
-    if by:
-        # A group may hold most of the values; its rows are spread over many tasks.
-        joined = salted_join(ranked, sizes, by, salt_by=[*by, "_v"])
-    else:
-        joined = ranked.withColumn("_n", sizes.scalar())
+    sizes = ranked.groupBy(*keys).agg(F.max(F.col("_before") + F.col("_c")).alias("_n"))
     before, end, n = F.col("_before"), F.col("_before") + F.col("_c"), F.col("_n")
 
     def value_at(position: Column) -> Column:
@@ -78,9 +52,9 @@ def _sorted_quantiles(present: DataFrame, probs: list[float], by: list[str]) ->
             value_at(F.ceil(place)).alias(f"_hi{i}"),
             F.max(place - F.floor(place)).alias(f"_f{i}"),
         ]
-    out = joined.groupBy(*by).agg(*picks)
+    out = ranked.join(sizes, keys).groupBy(*keys).agg(*picks)
     return out.select(
-        *by,
+        *keys,
         *[
             (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(label_of(p))
             for i, p in enumerate(probs)
@@ -88,6 +62,21 @@ def _sorted_quantiles(present: DataFrame, probs: list[float], by: list[str]) ->
     )
 
 
+def quantiles(
+    df: DataFrame, column: str, probs: list[float], by: list[str] | None = None, weight: str | None = None
+) -> DataFrame:
+    """One row per group with columns ``p25``, ``p50`` ... of a numeric column."""
+    return column_quantiles(df, [column], probs, by, weight).drop("column")
+
+
+def quantile_structs(df: DataFrame, columns: list[str], probs: list[float]) -> Column:
+    """All columns' quantiles as one scalar subquery: a struct of ``p25``, ``p50`` ... for each column."""
+    labels = [label_of(p) for p in probs]
+    found = column_quantiles(df, columns, probs)
+    of = {c: F.max(F.when(F.col("column") == c, F.struct(*labels))).alias(c) for c in columns}
+    return found.agg(F.struct(*of.values()).alias("q")).scalar()
+
+
 def median_of(df: DataFrame, column: str) -> Column:
     """The column's exact median as a scalar subquery."""
     return quantiles(df, column, [0.5]).scalar()
