@@ -9,7 +9,7 @@ from millrace.catalog.views import over
 from millrace.ml import churn, features, fraud, simple, topics
 from millrace.plans import commerce
 from millrace.registry import query
-from millrace.session import run_dir, spread
+from millrace.session import run_dir
 from millrace.sinks.files import write_parquet
 from millrace.sources import tables as t
 
@@ -75,6 +75,20 @@ def ml03(spark, sf):
     return out
 
 
+@query(
+    "ml03_split_totals",
+    over(
+        "orders_v items_v customers_v",
+        f"""WITH {SEGMENTS_SQL},
+            c AS (SELECT CASE WHEN total_orders < 2 OR total_spent < 1000000 THEN 1 ELSE 0 END AS is_churn FROM seg)
+            SELECT kind, is_churn, count(*) AS n FROM c, (VALUES ('plain'), ('stratified')) k(kind) GROUP BY kind, is_churn""",
+    ),
+)
+def ml03_totals(spark, sf):
+    """No class gains or loses rows by either split."""
+    return ml03(spark, sf).groupBy("kind", "is_churn").agg(F.sum("n").alias("n"))
+
+
 def _churn_split(spark, sf):
     return features.split(churn_rows(spark, sf), "customer_id")
 
@@ -104,6 +118,19 @@ def ml06(spark, sf):
     return features.class_report(matrix)
 
 
+@query("ml06_overall")
+def ml06_overall(spark, sf):
+    """Accuracy, area under the curve and the confusion counts on unseen customers."""
+    train, test = _churn_split(spark, sf)
+    (model,) = churn.fit(train, churn.random_forest())
+    with features.kept(model.transform(test).withColumn("label", F.col("is_churn").cast("double"))) as scored:
+        found = features.metrics(scored)
+        cells = features.confusion(scored).collect()  # one row for each pair of classes
+    rows = [("accuracy", found["accuracy"]), ("area under the curve", found["auc"])]
+    rows += [(f"{int(r['label'])} predicted as {int(r['prediction'])}", float(r["n"])) for r in cells]
+    return spark.createDataFrame(rows, "measure string, value double")
+
+
 @query("ml07_feature_importance")
 def ml07(spark, sf):
     (model,) = churn.fit(_churn_split(spark, sf)[0], churn.random_forest())
@@ -129,10 +156,17 @@ def ml08(spark, sf):
 
 @query("ml09_fraud_scores")
 def ml09(spark, sf):
-    claims = t.claims(spark, sf)
-    train, _ = features.stratified_split(claims, "claim_id", "is_fraud")
-    model = fraud.train(train)
-    return fraud.score(claims, model).select("claim_id", "is_fraud", "fraud_probability")
+    """Scores of the claims that the model has not seen."""
+    train, test = features.stratified_split(t.claims(spark, sf), "claim_id", "is_fraud")
+    return fraud.score(test, fraud.train(train)).select("claim_id", "is_fraud", "fraud_probability")
+
+
+@query("ml09_fraud_evaluation")
+def ml09_evaluation(spark, sf):
+    """Precision, recall and F1 of each class on the claims that the model has not seen."""
+    train, test = features.stratified_split(t.claims(spark, sf), "claim_id", "is_fraud")
+    scored = fraud.score(test.filter("is_fraud IS NOT NULL"), fraud.train(train))
+    return features.class_report(features.confusion(scored.select(F.col("is_fraud").cast("double").alias("label"), "prediction")))
 
 
 @query(
@@ -174,7 +208,7 @@ def ml12(spark, sf):
         DIMENSIONS,
     )
     train, test = features.stratified_split(vectors, "vec_id", "species")
-    model = simple.multiclass_pipeline([f"e{i}" for i in range(DIMENSIONS)], "species", trees=20).fit(train)
+    model = simple.multiclass_pipeline([f"e{i}" for i in range(DIMENSIONS)], "species").fit(train)
     scored = model.transform(test).select("vec_id", "label", "prediction")
     accuracy = scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
     return scored.withColumn("accuracy", accuracy)
@@ -182,22 +216,22 @@ def ml12(spark, sf):
 
 @query("txt03_topic_clusters")
 def txt03(spark, sf):
-    articles = spread(t.articles(spark, sf))
+    articles = t.articles(spark, sf)
     return topics.assign(articles, topics.fit(articles)).select("doc_id", "cluster")
 
 
 @query("txt04_cluster_terms")
 def txt04(spark, sf):
-    return topics.cluster_terms(topics.fit(spread(t.articles(spark, sf))), spark)
+    return topics.cluster_terms(topics.fit(t.articles(spark, sf)), spark)
 
 
 @query("txt05_projection")
 def txt05(spark, sf):
-    articles = spread(t.articles(spark, sf))
-    return topics.projection(topics.assign(articles, topics.fit(articles, starts=1)), ["doc_id"])
+    articles = t.articles(spark, sf)
+    return topics.projection(topics.assign(articles, topics.fit(articles)), ["doc_id"])
 
 
 @query("txt06_enrich_with_clusters")
 def txt06_clusters(spark, sf):
-    done = topics.enrich(spread(t.articles(spark, sf)), starts=1)
+    done = topics.enrich(t.articles(spark, sf))
     return done.select("id", "doc_id", "sentiment.label", F.array_join("keywords", " ").alias("keywords"), "cluster")

@@ -302,7 +302,8 @@ def dq13(spark, sf):
               CAST(c_mktsegment = 'MACHINERY' AS INTEGER) AS "c_mktsegment_MACHINERY" FROM customer""",
 )
 def dq14(spark, sf):
-    return encode.one_hot(t.table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"])
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    return encode.one_hot(t.table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), {"c_mktsegment": segments})
 
 
 @query(

@@ -11,8 +11,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.encode import per_level
-
 SEED = 42
 _BUCKETS = 1_000_000
 
@@ -38,10 +36,13 @@ def split(df: DataFrame, key: str, train: float = 0.8, seed: int = SEED) -> tupl
 
 
 def stratified_split(df: DataFrame, key: str, label: str, train: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """As ``split``, with the share kept in every class: each class has its own cut on the hash."""
+    """As ``split``, with the share kept in every class: each class has its own cut on the hash.
+
+    Rows without a label are a class of their own, so every row is on one side.
+    """
     marked = df.withColumn("_b", _bucket(key, seed))
-    cuts = marked.groupBy(label).agg(F.percentile_approx("_b", train, 10_000).alias("_cut"))
-    joined = per_level(marked, cuts, label)
+    cuts = marked.groupBy(F.col(label).alias("_label")).agg(F.percentile_approx("_b", train, 10_000).alias("_cut"))
+    joined = marked.join(cuts, F.col(label).eqNullSafe(F.col("_label")))
     columns = df.columns
     return (
         joined.filter(F.col("_b") <= F.col("_cut")).select(*columns),
@@ -50,13 +51,14 @@ def stratified_split(df: DataFrame, key: str, label: str, train: float = 0.8, se
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Weight n / (classes * class size) per row."""
+    """Weight n / (classes * class size) per row; rows without a label are left out, as nothing can be learnt from them."""
+    df = df.filter(F.col(label).isNotNull())
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     everything = Window.partitionBy()  # one row per class
     weights = sizes.select(
         label, (F.sum("_n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("_n"))).alias(name)
     )
-    return per_level(df, weights, label)
+    return df.join(weights, label)
 
 
 def confusion(predictions: DataFrame, label: str = "label") -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import joined_text
+from millrace.ml.features import kept
 from millrace.ml.simple import kmeans_fit
 from millrace.plans import news
 
@@ -27,19 +28,23 @@ CLUSTERS = 8
 TERMS = 500
 
 
-def text_pipeline(terms: int = TERMS) -> Pipeline:
-    """Words and word pairs in one vocabulary of the most frequent terms, weighted and normalised."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol="body", outputCol="tokens", pattern=r"(?U)\b\w\w+\b", gaps=False),
-            StopWordsRemover(inputCol="tokens", outputCol="kept_tokens"),
-            NGram(inputCol="kept_tokens", outputCol="pairs", n=2),
-            SQLTransformer(statement="SELECT *, concat(kept_tokens, pairs) AS terms FROM __THIS__"),
-            CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=terms),
-            IDF(inputCol="counts", outputCol="weighted"),
-            Normalizer(inputCol="weighted", outputCol="features"),
-        ]
-    )
+def term_stages() -> list:
+    """Words and word pairs of each text; nothing is fitted."""
+    return [
+        RegexTokenizer(inputCol="body", outputCol="tokens", pattern=r"(?U)\b\w\w+\b", gaps=False),
+        StopWordsRemover(inputCol="tokens", outputCol="kept_tokens"),
+        NGram(inputCol="kept_tokens", outputCol="pairs", n=2),
+        SQLTransformer(statement="SELECT *, concat(kept_tokens, pairs) AS terms FROM __THIS__"),
+    ]
+
+
+def weight_stages(terms: int = TERMS) -> list:
+    """The most frequent terms as one vocabulary, weighted and normalised."""
+    return [
+        CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=terms),
+        IDF(inputCol="counts", outputCol="weighted"),
+        Normalizer(inputCol="weighted", outputCol="features"),
+    ]
 
 
 def with_body(articles: DataFrame) -> DataFrame:
@@ -50,9 +55,12 @@ def fit(articles: DataFrame, k: int = CLUSTERS, starts: int = 10, terms: int = T
     """Text and cluster models, or None when there are fewer articles than clusters."""
     if articles.limit(k).count() < k:
         return None
-    bodies = with_body(articles)
-    text = text_pipeline(terms).fit(bodies)
-    return text, kmeans_fit(text.transform(bodies), k, starts)
+    split = PipelineModel(term_stages())
+    # The vocabulary, the weights and every start of the clusters read the terms.
+    with kept(split.transform(with_body(articles)).select("terms")) as held:
+        weights = Pipeline(stages=weight_stages(terms)).fit(held)
+        clusters = kmeans_fit(weights.transform(held), k, starts)
+    return PipelineModel([*split.stages, *weights.stages]), clusters
 
 
 def assign(articles: DataFrame, models: tuple[PipelineModel, KMeansModel] | None) -> DataFrame:

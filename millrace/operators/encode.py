@@ -2,53 +2,45 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A one-hot column per level only makes sense for few levels.
-MAX_LEVELS = 1000
+from millrace.operators.ordinal import with_ordinal
 
+def one_hot(df: DataFrame, levels: dict[str, list], drop_first: bool = True) -> DataFrame:
+    """A 0/1 column per listed level of each column (the first one dropped); the source columns go.
 
-def levels(df: DataFrame, column: str) -> list:
-    """Distinct non-null values in order; refuses a column with too many."""
-    found = [
-        r[0]
-        for r in df.filter(F.col(column).isNotNull()).select(column).distinct().limit(MAX_LEVELS + 1).collect()
-    ]
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
-    return sorted(found)
-
-
-def per_level(df: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """Join a table with one row per level of a column.
-
-    The table is read to the driver within ``MAX_LEVELS`` rows, so Spark knows
-    it is small and never shuffles the rows by a column with few values.
+    A column per level only makes sense for levels that are known beforehand, so
+    the caller lists them; any other value gives 0 throughout. For levels found in
+    the data use ``one_hot_vector``.
     """
-    found = table.limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
-    known = df.sparkSession.createDataFrame(found, table.schema)
-    return df.join(F.broadcast(known), column)
-
-
-def one_hot(df: DataFrame, columns: list[str], drop_first: bool = True) -> DataFrame:
-    """A 0/1 column per level (alphabetical, first dropped); the source columns go."""
-    for column in columns:
-        kept = levels(df, column)[1 if drop_first else 0 :]
+    for column, known in levels.items():
+        kept = known[1 if drop_first else 0 :]
         df = df.withColumns(
             {f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in kept}
         ).drop(column)
     return df
 
 
+def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
+    """A sparse 0/1 vector over all levels in the data, however many; null and unseen values are all 0."""
+    stages = [
+        StringIndexer(inputCol=column, outputCol="_level", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCol="_level", outputCol=name),
+    ]
+    return Pipeline(stages=stages).fit(df).transform(df).drop("_level")
+
+
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Alphabetical position of each level; the levels form a small table joined by value."""
-    known = levels(df, column)
-    kind = dict(df.dtypes)[column]
-    lookup = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(known)], f"`{column}` {kind}, `{name}` int")
-    return df.join(F.broadcast(lookup), column, "left")
+    """Alphabetical position of each level from 0; null stays null.
+
+    The levels are numbered as a table, so there may be any number of them.
+    """
+    known = df.filter(F.col(column).isNotNull()).select(column).distinct()
+    numbered = with_ordinal(known, [column], name).withColumn(name, (F.col(name) - 1).cast("int"))
+    return df.join(numbered, column, "left")
 
 
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:

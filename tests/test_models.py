@@ -27,6 +27,29 @@ def test_stratified_split_keeps_class_shares(spark):
     assert abs(share[1] / 150 - 0.8) < 0.02 and abs(share[0] / 2850 - 0.8) < 0.02
 
 
+def test_split_and_weights_with_missing_labels_and_many_classes(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 4 > 0, F.col("id") % 3).alias("y"))
+    train, test = features.stratified_split(df, "k", "y")
+    assert train.count() + test.count() == 1000
+    missing = train.filter("y IS NULL").count()
+    assert abs(missing / 250 - 0.8) < 0.02
+    # Rows without a label are left out of the weights.
+    assert features.balanced_weights(df, "y").count() == 750
+    classes = spark.range(10_000).select(F.col("id").alias("k"), (F.col("id") % 5000).alias("y"))
+    assert features.balanced_weights(classes, "y").filter("weight = 1").count() == 10_000
+    train, test = features.stratified_split(classes, "k", "y")
+    assert train.count() + test.count() == 10_000
+
+
+def test_forest_takes_any_number_of_states(spark):
+    df = spark.range(800).selectExpr(
+        "id AS customer_id", "id % 5 AS total_orders", "id * 1.5 AS total_spent", "id * 0.5 AS avg_order_value",
+        "concat('s', id % 200) AS customer_state", "CAST(id % 5 < 2 AS INT) AS is_churn",
+    )
+    (model,) = churn.fit(df, churn.random_forest())
+    assert model.transform(df).filter("prediction = is_churn").count() > 700
+
+
 def test_balanced_weights_sum_to_the_rows(spark):
     df = spark.createDataFrame([(i, int(i < 10)) for i in range(100)], "k int, label int")
     weighted = features.balanced_weights(df, "label")
