@@ -9,14 +9,13 @@ from millrace.catalog.views import over
 from millrace.functions import sentiment as lex
 from millrace.plans import news
 from millrace.registry import query
-from millrace.session import spread, stage_table
+from millrace.session import stage_table
 from millrace.sources import feeds, pages
 from millrace.sources import tables as t
 
 
 def articles(spark, sf):
-    """Articles for text work, spread over the cores."""
-    return spread(t.articles(spark, sf))
+    return t.articles(spark, sf)
 
 
 def _pairs(values: dict[str, float]) -> str:
@@ -235,10 +234,9 @@ def src10(spark, sf):
 @query("src09_page_entries")
 def src09(spark, sf):
     """Text blocks that begin with one of these words, by page."""
-    found = pages.entries(
+    return pages.entries(
         t.table(spark, sf, "pages"),
         "2024-02-01 00:00:00",
         labels=("The", "And", "Of", "To", "De", "La", "En", "Der", "Und"),
         aliases={"Die": "Der", "Las": "La"},
     )
-    return found.dropDuplicates(["page_id", "label"])

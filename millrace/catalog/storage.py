@@ -220,7 +220,7 @@ def snk11(spark, sf):
 def snk12(spark, sf):
     path = run_dir(spark, "snk12")
     checked = claim_plans.validate_claims(t.claims(spark, sf), ceiling=400_000)
-    good = out.quarantine(checked, "reason", path)
+    good = out.quarantine(checked, "reason", path, run_id="first")
     both = good.select("reason").unionByName(spark.read.parquet(path).select("reason"))
     return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 

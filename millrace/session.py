@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Text work is costly for its bytes: smaller scan tasks keep every core busy.
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
 
@@ -54,9 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
+    local = context.master.startswith("local")
+    if named and named.startswith("file:") and not local:
+        raise ValueError(f"{named} is a folder of one machine; set spark.checkpoint.dir to a folder shared by all executors")
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="millrace-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -78,16 +83,3 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give costly per-row work over a table scan at least one partition per core.
-
-    A table of many files already has them and is left alone; one small file
-    would otherwise be a single task. Meant for plain scans: asking a shuffled
-    plan for its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.isStreaming or scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import stage_table
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace the path's content; partition fact tables by day so that date filters prune files."""
@@ -13,8 +15,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
-    """Headered CSV. ``single`` makes one file, for small aggregates only: it is written by one task."""
-    out = df.coalesce(1) if single else df
+    """Headered CSV. ``single`` makes one file, for small results only: one task writes it, many still compute it."""
+    out = df.repartition(1) if single else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -35,8 +37,13 @@ def latest_history(df: DataFrame, run_ts: str = "run_ts") -> DataFrame:
     return df.filter(F.col(run_ts) == last)
 
 
-def quarantine(df: DataFrame, reason: str, path: str, ok: str = "OK") -> DataFrame:
-    """Write failed rows with their reason aside and return the good ones."""
+def quarantine(df: DataFrame, reason: str, path: str, run_id: str, ok: str = "OK") -> DataFrame:
+    """Write failed rows with their reason aside and return the good ones.
+
+    Each run has its own folder below ``path``, so repeating a run replaces its
+    rows. The checked rows are stored once, as both sides read them.
+    """
     failed = F.coalesce(F.col(reason), F.lit("unknown")) != ok
-    df.filter(failed).write.mode("append").parquet(path)
-    return df.filter(~failed)
+    checked = stage_table(df, "checked")
+    checked.filter(failed).write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    return checked.filter(~failed)

@@ -37,7 +37,12 @@ def switch_table(df: DataFrame, name: str) -> None:
 
 
 def merge_insert_new(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Target plus the batch's first row of each key the target does not have."""
+    """Target plus the batch's first row of each key the target does not have.
+
+    Batch rows without a key cannot be told apart and are left out; set them aside
+    first with ``files.quarantine``.
+    """
+    batch = batch.filter(F.col(key).isNotNull())
     fresh = first_per_key(batch, [key], order).join(target.select(key), key, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
@@ -46,9 +51,13 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Colu
     """Insert or update: batch rows replace target rows of the same key, column by column.
 
     A row present in the batch gives all its columns, nulls included. Both sides
-    have one row per key, so the outer join cannot meet a hot key.
+    have one row per key, so the outer join cannot meet a hot key. Batch rows
+    without a key are left out, as in ``merge_insert_new``; target rows without one
+    stay as they are, beside the join.
     """
-    latest = first_per_key(batch, [key], order)
+    unkeyed = target.filter(F.col(key).isNull())
+    target = target.filter(F.col(key).isNotNull())
+    latest = first_per_key(batch.filter(F.col(key).isNotNull()), [key], order)
     values = [c for c in target.columns if c != key]
     new = latest.select(key, F.lit(True).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in values])
     merged = target.join(new, key, "full")
@@ -57,7 +66,7 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Colu
             F.col(c) if c == key else F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             for c in target.columns
         ]
-    )
+    ).unionByName(unkeyed)
 
 
 def delete_older_than(df: DataFrame, ts: Column, as_of: str, days: int, extra: Column | None = None) -> DataFrame:

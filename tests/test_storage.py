@@ -100,6 +100,17 @@ def test_upsert_replaces_whole_rows_and_survives_rerun(spark):
     assert rows(sink.merge_upsert(once, batch, "id", [F.asc("n")])) == rows(once)
 
 
+def test_merges_leave_out_rows_without_a_key(spark):
+    target = spark.createDataFrame([("a", 1), (None, 8)], "id string, n int")
+    batch = spark.createDataFrame([("b", 3), (None, 4), (None, 5)], "id string, n int")
+    once = sink.merge_insert_new(target, batch, "id", [F.asc("n")])
+    assert rows(once) == rows(sink.merge_insert_new(once, batch, "id", [F.asc("n")]))
+    assert once.filter("id IS NULL").count() == 1 and once.count() == 3
+    merged = sink.merge_upsert(target, batch, "id", [F.asc("n")])
+    assert merged.filter("id IS NULL").count() == 1 and merged.count() == 3
+    assert rows(sink.merge_upsert(merged, batch, "id", [F.asc("n")])) == rows(merged)
+
+
 def test_switch_table_reads_and_replaces_itself(spark):
     sink.switch_table(spark.range(3).withColumn("v", F.lit(1)), "switched")
     sink.switch_table(spark.table("switched").filter("id > 0"), "switched")
@@ -114,7 +125,8 @@ def test_retention_keeps_unreadable_times(spark):
 
 def test_quarantine_splits_without_losing_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, "OK"), (2, "bad"), (3, None)], "k int, reason string")
-    good = out.quarantine(df, "reason", str(tmp_path / "q"))
+    for _ in range(2):  # a repeated run replaces its rows
+        good = out.quarantine(df, "reason", str(tmp_path / "q"), run_id="r1")
     assert rows(good.select("k")) == [(1,)]
     assert spark.read.parquet(str(tmp_path / "q")).count() == 2
 
