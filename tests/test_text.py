@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions import text
 from millrace.functions.sentiment import sentiment
 from millrace.plans import news
-from millrace.sources import feeds, pages
+from millrace.sources import feeds, pages, tables
+from millrace.sources.pages import extract_entries
 from tests.conftest import rows
 
 
@@ -140,3 +141,49 @@ def test_feeds_share_one_schema(spark):
     assert two.count() == 1
     assert story.url == "https://news.ycombinator.com/item?id=7" and story.published_at == "2023-11-14T22:13:20"
     assert (story.score, story.comments) == (5, 0)
+
+
+def deep(levels, text):
+    return "<div>" * levels + text + "</div>" * levels
+
+
+def test_entries_of_deeply_nested_pages_take_linear_time():
+    import time
+
+    def seconds(levels):
+        page = deep(levels, "".join(f"<p>Word {i} of the page</p>" for i in range(levels)) + "<p>The rest of the story goes here</p>")
+        start = time.process_time()
+        assert extract_entries(page, ("The",), {}) == [("The", "rest of the story goes here")]
+        return time.process_time() - start
+
+    small, large = seconds(500), seconds(2000)
+    assert large < 12 * max(small, 0.02)
+
+
+def brute_entries(html, labels, aliases):
+    """Every block's whole text against every label."""
+    import re
+
+    found = {}
+    blocks = re.findall(r"<p>([^<]*)</p>", html)
+    for text in (" ".join(b.split("\n")).strip() for b in blocks):
+        for label in (*labels, *aliases):
+            name = aliases.get(label, label)
+            if text.startswith(label) and len(text) > len(label) + 10 and name not in found:
+                found[name] = text[len(label) :].strip(" :-")
+                break
+    return found
+
+
+def test_opening_blocks_match_a_plain_reading():
+    labels, aliases = ("The", "Th", "Of"), {"Das": "The"}
+    html = "".join(f"<p>{t}</p>" for t in ("Das ist ein langer Satz", "Off the record, as they say", "Of it", "The second sentence is here", "Of course it is so"))
+    assert dict(extract_entries(html, labels, aliases)) == brute_entries(html, labels, aliases)
+
+
+def test_articles_of_large_ids(spark, tmp_path):
+    spark.createDataFrame([(3_000_000_000, "a\nb", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    row = tables.articles(spark, str(tmp_path)).first()
+    assert row.doc_id == 3_000_000_000 and row.published_at.startswith("2")
