@@ -133,13 +133,14 @@ def join11_edges(spark, sf):
     "job29_friend_suggestions",
     over(
         "activity_v",
-        f"""WITH {EDGES_SQL}, me AS (SELECT src FROM friends_v GROUP BY src ORDER BY count(*), src LIMIT 1)
+        f"""WITH {EDGES_SQL}, me AS (SELECT src FROM friends_v GROUP BY src ORDER BY count(*), src LIMIT 25)
             SELECT DISTINCT a.src, b.dst AS suggested FROM friends_v a JOIN friends_v b ON a.dst = b.src
             WHERE a.src IN (SELECT src FROM me) AND b.dst <> a.src
               AND NOT EXISTS (SELECT 1 FROM friends_v d WHERE d.src = a.src AND d.dst = b.dst)""",
     ),
 )
 def job29(spark, sf):
-    # Read for both hops, the known friends and the person asked about.
+    """For the 25 people with the fewest friends."""
+    # Read for both hops, the known friends and the people asked about.
     edges = stage_table(activity.follow_edges(t.activity(spark, sf)), "edges")
-    return two_hops(edges, activity.least_connected(edges))
+    return two_hops(edges, activity.least_connected(edges, 25))

@@ -425,7 +425,7 @@ def join02(spark, sf):
 )
 def join03(spark, sf):
     urgent = t.orders(spark, sf).filter("priority = '1-URGENT'").select("order_id", "customer_id")
-    return joins.right_outer(urgent, t.customers(spark, sf), "customer_id").select(
+    return joins.right_outer(urgent, t.customers(spark, sf), ["customer_id"], salt_by=["order_id"]).select(
         "customer_id", "order_id", "customer_state"
     )
 

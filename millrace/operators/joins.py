@@ -1,4 +1,4 @@
-"""Join shapes. Strategy is left to AQE; only fixed-size tables are broadcast by hint."""
+"""Join shapes. Strategy is left to Spark's sizes and AQE."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordinal import with_ordinal
+from millrace.operators.skew import salted_join, salted_outer_join
 
 
 def inner(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -16,13 +17,14 @@ def left_outer(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left")
 
 
-def right_outer(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    return left.join(right, on, "right")
+def right_outer(left: DataFrame, right: DataFrame, on: list[str], salt_by: list[str] | None = None) -> DataFrame:
+    """The right side kept. Spark cannot split hot keys of the left side here: name its row id in ``salt_by`` to spread them."""
+    return salted_outer_join(left, right, on, salt_by, "right") if salt_by else left.join(right, on, "right")
 
 
-def full_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Both sides kept; joining by name coalesces the key columns."""
-    return left.join(right, on, "full")
+def full_outer(left: DataFrame, right: DataFrame, on: list[str], salt_by: list[str] | None = None) -> DataFrame:
+    """Both sides kept; joining by name coalesces the key columns. ``salt_by`` as in ``right_outer``."""
+    return salted_outer_join(left, right, on, salt_by, "full") if salt_by else left.join(right, on, "full")
 
 
 def star(fact: DataFrame, dimensions: list[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -33,8 +35,8 @@ def star(fact: DataFrame, dimensions: list[tuple[DataFrame, str, str]]) -> DataF
 
 
 def lookup_literal(fact: DataFrame, literal: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Join to a dimension written in code; its size is fixed, so it is broadcast."""
-    return fact.join(F.broadcast(literal), on, how)
+    """Join to a dimension written in code; Spark knows its size and broadcasts it if it is small."""
+    return fact.join(literal, on, how)
 
 
 def having_match(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -76,16 +78,18 @@ def beside(left: DataFrame, right: DataFrame, left_order: list[str], right_order
 def two_hops(edges: DataFrame, people: DataFrame) -> DataFrame:
     """For each asked person, the friends of friends who are not yet friends.
 
-    ``edges`` has (src, dst); ``people`` has (src). Starting from the asked
-    people keeps the path join to their own neighbourhoods instead of joining
-    every pair of edges in the graph. Paths are reduced to distinct pairs before
-    the anti join.
+    ``edges`` has (src, dst); ``people`` has (src), any number of them. Only the
+    lists of people that an asked person knows are met, and the list of one who is
+    known to many, or knows many, is spread over many tasks. Paths are reduced to
+    distinct pairs before the anti join. ``edges`` is read several times, so store
+    costly ones first.
     """
     links = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
-    first = links.join(people.select("src"), "src", "left_semi")
+    first = links.join(people.select("src").distinct(), "src", "left_semi")
     hop = links.select(F.col("src").alias("dst"), F.col("dst").alias("suggested"))
+    hop = hop.join(first.select("dst").distinct(), "dst", "left_semi")
     paths = (
-        first.join(hop, "dst")
+        salted_join(hop, first, ["dst"], salt_by=["suggested"])
         .filter(F.col("suggested") != F.col("src"))
         .select("src", "suggested")
         .distinct()

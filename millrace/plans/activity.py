@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import truncated
@@ -103,8 +103,9 @@ def retention(events: DataFrame, days: list[int], action: str, action_within: in
         .groupBy("user_id", F.to_date("event_time").alias("day"))
         .agg(F.bool_or(F.col("event_type") == action).alias("acted"))
     )
-    first = daily.groupBy("user_id").agg(F.min("day").alias("first_day"))
-    aged = daily.join(first, "user_id").withColumn("age", F.datediff("day", "first_day"))
+    # The user's days already lie together, so the first day costs no further shuffle.
+    first_day = F.min("day").over(Window.partitionBy("user_id"))
+    aged = daily.withColumn("age", F.datediff("day", first_day))
     per_user = aged.groupBy("user_id").agg(
         F.bool_or(F.col("acted") & (F.col("age") < action_within)).alias("did_action"),
         *[F.bool_or(F.col("age") == d).alias(f"d{d}") for d in days],

@@ -208,18 +208,34 @@ def category_performance(items: DataFrame, products: DataFrame, k: int = 20) ->
 
 
 def category_performance_etl(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """Delivered-only variant with the mean delivery days."""
+    """Delivered-only variant with the mean delivery days.
+
+    Lines shrink to one row for each order of a category, so that orders are rows
+    to count; sold products are counted from their own distinct pairs.
+    """
     known = products.filter(F.col("category").isNotNull()).select("product_id", "category")
     joined = orders.filter(F.col("order_status") == "F").join(items, "order_id").join(known, "product_id")
+    lines = order_enrich(joined)
+    per_order = lines.groupBy("category", "order_id").agg(
+        F.sum("total_order_value").alias("value"),
+        F.sum("price").alias("price"),
+        F.count("price").alias("lines"),
+        F.sum("delivery_days").alias("days"),
+        F.count("delivery_days").alias("delivered"),
+    )
+    sold = per_order.groupBy("category").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        F.round(F.sum("value"), 4).alias("total_revenue"),
+        (F.round(F.sum("price"), 4) / F.sum("lines")).alias("avg_product_price"),
+        (F.sum("days") / F.sum("delivered")).alias("avg_delivery_days"),
+    )
+    products_sold = (
+        lines.select("category", "product_id").distinct().groupBy("category").agg(F.count(F.lit(1)).alias("unique_products"))
+    )
     return (
-        order_enrich(joined)
-        .groupBy("category")
-        .agg(
-            F.count_distinct("product_id").alias("unique_products"),
-            F.count_distinct("order_id").alias("total_orders"),
-            F.round(F.sum("total_order_value"), 4).alias("total_revenue"),
-            (F.round(F.sum("price"), 4) / F.count("price")).alias("avg_product_price"),
-            F.avg("delivery_days").alias("avg_delivery_days"),
+        products_sold.join(sold, "category")
+        .select(
+            "category", "unique_products", "total_orders", "total_revenue", "avg_product_price", "avg_delivery_days"
         )
         .orderBy(F.desc("total_revenue"), F.asc("category"))
     )
