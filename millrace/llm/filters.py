@@ -71,13 +71,13 @@ def _rows(hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())], ["segment", "hashes"])
 
 
-def build(docs: DataFrame, columns: list[str], hashes: Callable[[pa.RecordBatch], np.ndarray], expected: float) -> tuple[BitFilter, BitFilter]:
-    """(seen once, seen twice) of what ``hashes`` finds in each slice of the text in ``columns[-1]``."""
+def build(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expected: float, text: str | None = None) -> tuple[BitFilter, BitFilter]:
+    """(seen once, seen twice) of what ``hashes`` finds in each batch of rows, or in each slice of their ``text``."""
     power = power_for(expected)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in tx.slices(batches, columns[-1]):
+        for batch in tx.slices(batches, text) if text else batches:
             held.append(hashes(batch))
             n += len(held[-1])
             if n >= FLUSH:
@@ -108,17 +108,16 @@ def build(docs: DataFrame, columns: list[str], hashes: Callable[[pa.RecordBatch]
         packed = [pa.array([np.packbits(x[k], bitorder="little").tobytes() for k in keys], pa.binary()) for x in (once, twice)]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *packed], names)
 
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     parts = max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = (
-        docs.select(*columns)
-        .mapInArrow(emit, _SCHEMA)
+    packed = (
+        rows.mapInArrow(emit, _SCHEMA)
         .repartition(min(parts, SEGMENTS), "segment")
         .mapInArrow(gather, "segment int, once binary, twice binary")
     )
     size = 1 << (power - 3)
     one, two = (np.zeros(SEGMENTS * size, np.uint8) for _ in range(2))
-    for row in rows.toLocalIterator():
+    for row in packed.toLocalIterator():
         at = slice(row["segment"] * size, (row["segment"] + 1) * size)
         one[at] = np.frombuffer(row["once"], np.uint8)
         two[at] = np.frombuffer(row["twice"], np.uint8)

@@ -91,7 +91,7 @@ def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
         h = Sets(batch.column("text"), size).hash
         return tx.mix(h[h <= top])
 
-    twice = docs.sparkSession.sparkContext.broadcast(filters.build(docs, ["text"], sampled, total / 6 * share)[1])
+    twice = docs.sparkSession.sparkContext.broadcast(filters.build(docs.select("text"), sampled, total / 6 * share, "text")[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):
@@ -249,7 +249,7 @@ def _links(docs: DataFrame, described: DataFrame, groups: DataFrame, size: int,
         "doc_id", "class", "group", (F.col("block") > F.col("other")).cast("int").alias("side"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
     wanted = spark.sparkContext.broadcast(
-        filters.build(members.select(F.col("doc_id").cast("string").alias("text")), ["text"], lambda b: tx.mix(np.array([int(x) for x in b.column(0).to_pylist()], np.int64).view(U64)), float(members.count()))[0]
+        filters.build(members.select("doc_id"), lambda b: tx.mix(b.column("doc_id").to_numpy().view(U64)), float(members.count()))[0]
     )
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

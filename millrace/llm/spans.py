@@ -6,14 +6,20 @@ so millions of spans cost thousands of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.llm import filters
 from millrace.llm import textops as tx
+from millrace.session import stage_table
+
+Cut = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 PACKED = "bucket long, docs binary, tags binary, counts binary, starts binary, ends binary"
 NAMES = [f.split()[0] for f in PACKED.split(", ")]
@@ -119,9 +125,40 @@ def buckets_for(size: float, each: float = 8e6) -> int:
     return int(max(64, size // each))
 
 
-def attach(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Every document with its spans (null: none)."""
-    return docs.join(spans, ["doc_id", "tag"], "left")
+def key_of(batch: pa.RecordBatch, doc: str, tag: str) -> np.ndarray:
+    ids, tags = (pc.fill_null(batch.column(c), 0).to_numpy(zero_copy_only=False).view(np.uint64) for c in (doc, tag))
+    return tx.mix(ids ^ tx.mix(tags))
+
+
+def filter_of(rows: DataFrame, doc: str, tag: str) -> filters.BitFilter:
+    """A bit filter of the documents of stored rows."""
+    return filters.build(rows.select(doc, tag), lambda b: key_of(b, doc, tag), float(max(1, rows.count())))[0]
+
+
+def with_spans(docs: DataFrame, found: DataFrame, cut: Cut, schema: str | T.StructType, doc: str = "doc_id", tag: str = "tag") -> DataFrame:
+    """``cut`` over every row of ``docs``, given the columns _starts and _ends of its spans (null: none).
+
+    Only rows that a bit filter says may have spans are shuffled to meet them; all
+    others go straight through.
+    """
+    found = found.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
+    found = stage_table(found, "spans")
+    known = docs.sparkSession.sparkContext.broadcast(filter_of(found, "_doc", "_tag"))
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~known.value.has(key_of(batch, doc, tag))))
+            nothing = pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nothing, nothing], [*batch.schema.names, "_starts", "_ends"])
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(known.value.has(key_of(batch, doc, tag))))
+
+    rest = docs.mapInArrow(lambda batches: cut(untouched(batches)), schema)
+    some = docs.mapInArrow(touched, docs.schema)
+    some = some.join(found, (F.col(doc) == F.col("_doc")) & (F.col(tag) == F.col("_tag")), "left").drop("_doc", "_tag")
+    return rest.union(some.mapInArrow(cut, schema))
 
 
 def removed_mask(n: int, starts: bytes | None, ends: bytes | None) -> np.ndarray | None:
@@ -132,7 +169,3 @@ def removed_mask(n: int, starts: bytes | None, ends: bytes | None) -> np.ndarray
     np.add.at(step, np.frombuffer(starts, np.int64), 1)
     np.add.at(step, np.frombuffer(ends, np.int64), -1)
     return np.cumsum(step[:-1]) > 0
-
-
-def batches_of(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    return tx.slices(batches, text)

@@ -155,13 +155,26 @@ def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool
     """A 64-bit hash of each byte span, from one running sum over the slice."""
     if not len(start):
         return np.zeros(0, U64)
+    total = running_sum(raw, lower)
+    h = (total[end] - total[start]) * inverse_powers(len(raw))[start]
+    return mix(h + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
+def running_sum(raw: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Sums of bytes times powers: differences, times the inverse power of their start, are hashes of spans."""
     n = len(raw)
+    values = (_LOWER if lower else _BYTE)[raw]
+    values *= _UP.upto(n)
     total = np.zeros(n + 1, U64)
-    np.cumsum((_LOWER if lower else _BYTE)[raw] * _UP.upto(n), out=total[1:])
-    h = (total[end] - total[start]) * _DOWN.upto(n)[start]
+    np.cumsum(values, out=total[1:])
     _UP.trim()
+    return total
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    out = _DOWN.upto(n)
     _DOWN.trim()
-    return mix(h + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+    return out
 
 
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
