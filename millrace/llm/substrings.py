@@ -83,7 +83,7 @@ def repeated_spans(docs: DataFrame, size: float, window: int = WINDOW) -> DataFr
         h, _, own = _blocks(tx.words_of(batch.column("text")), size_of_block)
         return h[own]
 
-    once, twice = filters.build(known, ["text"], own_blocks, size / 40)
+    once, twice = filters.build(known.select("text"), own_blocks, size / 40, "text")
     index = sc.broadcast((once, twice))
 
     def met_blocks(batch: pa.RecordBatch) -> np.ndarray:
@@ -91,7 +91,7 @@ def repeated_spans(docs: DataFrame, size: float, window: int = WINDOW) -> DataFr
         h = h[~own]
         return h[index.value[0].has(h)]
 
-    met = sc.broadcast(filters.build(known, ["text"], met_blocks, size / 40)[0])
+    met = sc.broadcast(filters.build(known.select("text"), met_blocks, size / 40, "text")[0])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -148,7 +148,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             raw, offsets = tx.buffer_of(batch.column("text"))
             whole = raw.tobytes()
             n_words, n_removed, sha, kept = [], [], [], []
-            marks = zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), strict=True)
+            marks = zip(batch.column("_starts").to_pylist(), batch.column("_ends").to_pylist(), strict=True)
             for a, b, (starts, ends) in zip(offsets[:-1].tolist(), offsets[1:].tolist(), marks, strict=True):
                 words = whole[a:b].split()
                 n_words.append(len(words))
@@ -162,4 +162,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     kept.append(left.decode())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), *([pa.array(kept, pa.string())] * with_text)], names)
 
-    return spans.attach(source, found).mapInArrow(cut, schema)
+    return spans.with_spans(source, found, cut, schema)
