@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import jaccard, language, neighbours, packing, pages, personal, quality, sentencepiece_bpe, substrings, suffixes
 
-WORDS = public_tokenizers.path("word_bpe_49k.json")
+WORDS = corpus_pipeline.WORDS
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 RELAX = 1.1  # recall against brute force is in the README
@@ -34,7 +35,8 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    docs = _documents(spark, sf_dir)
+    return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,5 +60,19 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_documents(spark, sf_dir), size=3, percent=90)
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality": op2_quality, "op3_language": op3_language, "op4_personal": op4_personal, "op5_neighbours": op5_neighbours, "op6_pages": op6_pages, "op7_jaccard": op7_jaccard, "op8_substrings": op8_substrings, "op9_suffixes": op9_suffixes, "op10_packing": op10_packing}
+QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality": op2_quality,
+    "op3_language": op3_language,
+    "op4_personal": op4_personal,
+    "op5_neighbours": op5_neighbours,
+    "op6_pages": op6_pages,
+    "op7_jaccard": op7_jaccard,
+    "op8_substrings": op8_substrings,
+    "op9_suffixes": op9_suffixes,
+    "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
+}
 ORACLE_SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -18,9 +18,9 @@ from millrace.llm import textops as tx
 
 U64 = np.uint64
 SEGMENTS = 256  # by the top 8 bits of a hash
-BITS_EACH = 12  # bits for each expected hash
+BITS_EACH = 8  # bits for each expected hash
 MOST_BITS = 22  # of a segment, as a power of two: 128 MB for the whole filter
-FLUSH = 4_000_000  # hashes a task gathers before it sends them
+FLUSH = 2_000_000  # hashes a task gathers before it sends them
 _SCHEMA = "segment int, hashes binary"
 
 

@@ -199,33 +199,42 @@ def learn(labelled: DataFrame, most_rules: int = 8, most_conditions: int = 3, pr
     return rules
 
 
-def training_rows(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
-    """Labelled documents that the base rules leave, with features, ``bad`` and ``part``."""
-    known = labels.filter(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max((F.col(label) == 0).cast("int")).alias("bad"))
-    part = F.pmod(F.xxhash64(doc_id), F.lit(3)).cast("int").alias("part")
-    rows = stats.filter(~base_failed()).join(known, F.col(doc_id) == F.col("_id"))
-    return rows.select("bad", part, *[_feature(f).alias(f) for f in FEATURES])
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", most_labelled: int = 20_000) -> list[Rule]:
+    """Rules from at most ``most_labelled`` labelled documents, those of the smallest id hashes.
+
+    A document labelled more than once is bad if any label says so; documents that
+    fail the base rules teach nothing. Without labels there are no rules.
+    """
+    known = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max((F.col(label) == 0).cast("int")).alias("bad"))
+    known = known.orderBy(F.xxhash64("_id"), "_id").limit(most_labelled)
+    rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text")).join(F.broadcast(known), F.col("_doc") == F.col("_id"))
+    part = F.pmod(F.xxhash64("_doc"), F.lit(3)).cast("int").alias("part")
+    stats = statistics(rows.select("_doc", "bad", "text"), ["_doc", "bad"]).filter(~base_failed())
+    return learn(stage_table(stats.select("bad", part, *[_feature(f).alias(f) for f in FEATURES]), "labelled"))
 
 
 def verdict(rules: list[Rule]) -> Column:
     """The number of the first rule that marks a row (from 1), or null."""
     out = F.when(F.lit(False), F.lit(0))
     for i, rule in enumerate(rules, 1):
-        out = out.when(reduce(lambda a, b: a & b, ((_feature(c.feature) > c.threshold) if c.above else (_feature(c.feature) <= c.threshold) for c in rule)), F.lit(i))
+        marks = ((_feature(c.feature) > c.threshold) if c.above else (_feature(c.feature) <= c.threshold) for c in rule)
+        out = out.when(reduce(lambda a, b: a & b, marks), F.lit(i))
     return out
 
 
-def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, rules: list[Rule], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, the base counts, base_failed, rule (first that marks the row, or null) and kept.
 
-    Counts are stored once, as learning and judging both read them. A null or empty
-    text has no word and fails the base rules. Repeated rows get the same verdict; a
-    document labelled more than once is bad if any label says so. Without labels the
-    base rules decide alone. Other columns are ignored.
+    A null or empty text has no word and fails the base rules. Rows are judged one
+    by one, so repeated rows get the same verdict. Other columns are ignored.
     """
-    stats = stage_table(statistics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ["doc_id"]), "quality")
-    rules = learn(stage_table(training_rows(stats, labels.select(F.col("doc_id"), F.col("quality"))), "labelled"))
-    failed = base_failed()
-    return stats.select(
-        "doc_id", *STATS, failed.alias("base_failed"), verdict(rules).alias("rule")
-    ).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    stats = statistics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t")), ["doc_id"], "_t")
+    return stats.select("doc_id", *STATS, base_failed().alias("base_failed"), verdict(rules).alias("rule")).withColumn(
+        "kept", ~F.col("base_failed") & F.col("rule").isNull()
+    )
+
+
+def keep_good(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that neither the base rules nor the list reject."""
+    stats = statistics(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_t")), ["_row"], "_t")
+    return stats.filter(~base_failed() & verdict(rules).isNull()).select("_row.*")

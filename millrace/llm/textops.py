@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20  # text handled at once; one longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # text handled at once; one longer text is a slice of its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
