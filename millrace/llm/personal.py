@@ -2,7 +2,8 @@
 
 1. Base patterns find seeds: e-mail and IP addresses, card and phone numbers.
 2. The one and two words before a seed are lexical patterns. Those seen before
-   enough different values go on, through a bit filter.
+   enough different values, and not mostly before ordinary words in the parts of the
+   corpus where the seeds are, go on through a bit filter.
 3. A second reading meets these patterns everywhere: before seeds, before other
    words that look like identifiers, and before ordinary words, which speak against
    them.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -131,16 +132,44 @@ def _seeds(source: DataFrame) -> DataFrame:
                 w = tx.words_of(pa.array(words, pa.large_string()), lower=True)
                 one, two = _pattern_hashes(w.hash)
                 ends = w.first[1:] - 1
+                against = _ordinary(batch, np.unique(np.concatenate([one[ends], two[ends]])))
                 for j, ((i, kind, n, plain), v) in enumerate(zip(where, _value_hash(values).view(np.int64).tolist(), strict=True)):
                     for h in (one, two)[:n]:
-                        patterns[i].append({"pattern": int(h[ends[j]].view(np.int64)), "value": v, "kind": kind, "plain": plain})
-            kind = pa.list_(pa.struct([("pattern", pa.int64()), ("value", pa.int64()), ("kind", pa.int32()), ("plain", pa.bool_())]))
+                        p = int(h[ends[j]].view(np.int64))
+                        # The slice's ordinary words after a pattern are told once.
+                        patterns[i].append({"pattern": p, "value": v, "kind": kind, "plain": plain, "against": against.pop(p, 0)})
+            kind = pa.list_(pa.struct([("pattern", pa.int64()), ("value", pa.int64()), ("kind", pa.int32()), ("plain", pa.bool_()), ("against", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(found, pa.binary()), pa.array(patterns, kind)], ["doc_id", "tag", "base", "seeds"])
 
-    schema = "doc_id long, tag long, base binary, seeds array<struct<pattern: long, value: long, kind: int, plain: boolean>>"
+    schema = "doc_id long, tag long, base binary, seeds array<struct<pattern: long, value: long, kind: int, plain: boolean, against: long>>"
     return stage_table(source.mapInArrow(run, schema), "personal")
 
 
+def _followed(w: tx.Words, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, pattern before it, does the word look like an identifier) wherever a wanted pattern stands before a word."""
+    one, two = _pattern_hashes(w.hash)
+    place = np.arange(len(w.hash)) - w.first[w.doc]  # word number in its document
+    words, patterns = [], []
+    for least, h in ((1, one), (2, two)):
+        at = np.flatnonzero(place >= least)
+        at = at[wanted(h[at - 1])]
+        words.append(at)
+        patterns.append(h[at - 1])
+    word, pattern = np.concatenate(words), np.concatenate(patterns)
+    digits = np.append(0, np.cumsum((w.raw >= 0x30) & (w.raw <= 0x39)))
+    signs = np.append(0, np.cumsum(w.raw == 0x40))
+    a, b = w.start[word], w.end[word]
+    return word, pattern, (digits[b] - digits[a] >= 4) | (signs[b] > signs[a])
+
+
+def _ordinary(batch: pa.RecordBatch, patterns: np.ndarray) -> dict[int, int]:
+    """How often ordinary words follow each of some sorted patterns in this slice."""
+    inside = lambda h: patterns[np.minimum(np.searchsorted(patterns, h), len(patterns) - 1)] == h
+    _, pattern, looks = _followed(tx.words_of(batch.column("text"), lower=True), inside)
+    h, n = np.unique(pattern[~looks], return_counts=True)
+    return dict(zip(h.view(np.int64).tolist(), n.tolist(), strict=True))
+
+
 def _meet(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
     """What follows the patterns: candidate identifiers one by one, ordinary words as counts."""
     shared = source.sparkSession.sparkContext.broadcast(wanted)
@@ -149,16 +178,7 @@ def _meet(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):
             w = tx.words_of(batch.column("text"), lower=True)
-            one, two = _pattern_hashes(w.hash)
-            place = np.arange(len(w.hash)) - w.first[w.doc]  # word number in its document
-            at = np.flatnonzero(place >= 1)
-            known = [(at[hit], one[at[hit] - 1]) for hit in [shared.value.has(one[at - 1])]]
-            at = np.flatnonzero(place >= 2)
-            known += [(at[hit], two[at[hit] - 1]) for hit in [shared.value.has(two[at - 1])]]
-            word, pattern = (np.concatenate(x) for x in zip(*known, strict=True))
-            digits = np.append(0, np.cumsum((w.raw >= 0x30) & (w.raw <= 0x39)))
-            signs = np.append(0, np.cumsum(w.raw == 0x40))
-            looks = (digits[w.end[word]] - digits[w.start[word]] >= 4) | (signs[w.end[word]] > signs[w.start[word]])
+            word, pattern, looks = _followed(w, shared.value.has)
             # Ordinary words, counted by pattern.
             h, n = np.unique(pattern[~looks], return_counts=True)
             if len(h):
@@ -228,7 +248,12 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: i
     source = spans.tagged(docs, doc_id, text)
     base = _seeds(source)
     seeds = base.select(F.explode("seeds").alias("s")).select("s.*")
-    chosen = stage_table(seeds.groupBy("pattern").agg(F.count_distinct("value").alias("n")).filter(F.col("n") >= support).select("pattern"), "patterns")
+    evidence = seeds.groupBy("pattern").agg(
+        F.count_distinct("value").alias("values"), F.count(F.lit(1)).alias("good"), F.sum(F.col("against") - (~F.col("plain")).cast("long")).alias("against")
+    )
+    # The first reading already met ordinary words after a pattern, where its seeds are.
+    precise = F.col("good") >= (F.col("good") + F.greatest("against", F.lit(0)) + 1) * F.lit(worth / 2)
+    chosen = stage_table(evidence.filter((F.col("values") >= support) & precise).select("pattern"), "patterns")
     n = chosen.count()
     out = base.select("doc_id", "tag", "base")
     if not n:
