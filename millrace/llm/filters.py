@@ -109,7 +109,8 @@ def build(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expec
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *packed], names)
 
     spark = rows.sparkSession
-    parts = max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A task unpacks both filters of its segments: 64 MB at most.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (SEGMENTS * 2 << power) >> 26)
     packed = (
         rows.mapInArrow(emit, _SCHEMA)
         .repartition(min(parts, SEGMENTS), "segment")

@@ -36,7 +36,7 @@ from millrace.llm.spans import heads
 from millrace.session import stage_table
 
 CELLS = 64
-BLOCK = 4096  # members of one group that meet in one task
+BLOCK = 512  # members of one group that meet in one task
 U64 = np.uint64
 
 
