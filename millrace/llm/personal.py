@@ -315,19 +315,19 @@ def masked(text: str, found: list[tuple[int, int, int]]) -> str:
 
 def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns, with personal data in ``text`` replaced by its kind; null texts stay null."""
-    names, order = docs.columns, docs.schema
-    found = find(docs, doc_id, text).filter("base IS NOT NULL OR added IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("base").alias("_base"), F.col("added").alias("_added"))
+    found = find(docs, doc_id, text).filter("base IS NOT NULL OR added IS NOT NULL")
     # Repeated rows have equal spans.
-    found = found.groupBy("_id", "_tag").agg(F.first("_base").alias("_base"), F.first("_added").alias("_added"))
-    both = docs.withColumn("_of", F.xxhash64(text)).join(found, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_tag")), "left")
+    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.first("base").alias("base"), F.first("added").alias("added"))
+    rows = spans.boxed(docs, doc_id, text)
+    schema = rows.select("row", "text").schema
+    both = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tx.slices(batches, text):
+        for batch in tx.slices(batches, "text"):
             new = []
-            for value, base, added in zip(batch.column(text).to_pylist(), batch.column("_base").to_pylist(), batch.column("_added").to_pylist(), strict=True):
+            for value, base, added in zip(*(batch.column(c).to_pylist() for c in ("text", "base", "added")), strict=True):
                 own = _triples(base) + _triples(added)
                 new.append(masked(value, own) if value is not None and own else value)
-            columns = [pa.array(new, batch.column(n).type) if n == text else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], ["row", "text"])
 
-    return both.select(*names, "_base", "_added").mapInArrow(run, order)
+    return spans.unboxed(both.select("row", "text", "base", "added").mapInArrow(run, schema), docs.columns, text)

@@ -120,6 +120,17 @@ def tagged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).alias("text"))
 
 
+def boxed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """As ``tagged``, with all other columns in one struct, so that their names clash with none of ours."""
+    rest = F.struct(*[c for c in docs.columns if c != text]).alias("row")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tag"), rest, F.col(text).alias("text"))
+
+
+def unboxed(rows: DataFrame, names: list[str], text: str) -> DataFrame:
+    """The columns that ``boxed`` put away, in their order, with the text beside them."""
+    return rows.select(*[F.col("text").alias(n) if n == text else F.col("row").getField(n).alias(n) for n in names])
+
+
 def buckets_for(size: float, each: float = 8e6) -> int:
     """Buckets of about ``each`` bytes of text."""
     return int(max(64, size // each))
