@@ -73,6 +73,21 @@ QUERIES = {
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {}
+# The others learn, search approximately, decode markup or follow links, which SQL cannot express; tests/llm holds
+# them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op8_substrings": r"""
+        WITH words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        starts AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM words WHERE len(w) >= 13),
+        windows AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS k FROM starts),
+        firsts AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM windows JOIN firsts USING (k) WHERE low < doc_id),
+        places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text FROM places ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)""",
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

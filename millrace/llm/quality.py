@@ -106,6 +106,15 @@ def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
     return step.select(*keep, *rest, found.alias("n_repeat_words"))
 
 
+def _where(stats: DataFrame, condition: Column) -> DataFrame:
+    """Rows whose counts meet a condition, which Spark must not work out again below the counts.
+
+    A filter is not pushed below a projection that numbers rows.
+    """
+    numbered = stats.withColumn("_at", F.monotonically_increasing_id())
+    return numbered.filter((F.col("_at") >= 0) & condition).drop("_at")
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
@@ -209,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(most_labelled)
     rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text")).join(F.broadcast(known), F.col("_doc") == F.col("_id"))
     part = F.pmod(F.xxhash64("_doc"), F.lit(3)).cast("int").alias("part")
-    stats = statistics(rows.select("_doc", "bad", "text"), ["_doc", "bad"]).filter(~base_failed())
+    stats = _where(statistics(rows.select("_doc", "bad", "text"), ["_doc", "bad"]), ~base_failed())
     return learn(stage_table(stats.select("bad", part, *[_feature(f).alias(f) for f in FEATURES]), "labelled"))
 
 
@@ -237,4 +246,4 @@ def judge(docs: DataFrame, rules: list[Rule], doc_id: str = "doc_id", text: str
 def keep_good(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """The rows, with all their columns, that neither the base rules nor the list reject."""
     stats = statistics(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_t")), ["_row"], "_t")
-    return stats.filter(~base_failed() & verdict(rules).isNull()).select("_row.*")
+    return _where(stats, ~base_failed() & verdict(rules).isNull()).select("_row.*")
