@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import bind
 
-# The built-in word valences (-4..4). Pass ``lexicon`` for a larger list.
+# The built-in word valences (-4..4), for use without a lexicon table.
 LEXICON = {
     "good": 1.9, "great": 3.1, "excellent": 2.7, "amazing": 2.8, "wonderful": 2.7, "best": 3.2,
     "better": 1.9, "love": 3.2, "loved": 2.9, "like": 1.5, "happy": 2.7, "joy": 2.8, "glad": 2.0,
@@ -100,9 +100,9 @@ def _emphasis(body: Column) -> Column:
     ).when(questions > 1, questions * PER_QUESTION).otherwise(0.0)
 
 
-def _hit_scores(raw: Column, words: Column, lexicon: dict[str, float]) -> Column:
+def _hit_scores(raw: Column, words: Column, valences: Column) -> Column:
     """Scores of the words with a valence, after capitals, intensifiers, negations and "but"."""
-    valences, boosters = _literal_map(lexicon), _literal_map(BOOSTERS)
+    boosters = _literal_map(BOOSTERS)
 
     def scores(mixed: Column, but: Column) -> Column:
         def one_back(score: Column, place: Column, distance: Column) -> Column:
@@ -117,7 +117,7 @@ def _hit_scores(raw: Column, words: Column, lexicon: dict[str, float]) -> Column
             weight = F.element_at(F.array(*[F.lit(w) for w in DISTANCE_WEIGHT]), distance)
             moved = score + (boost + loud) * weight
             negated = F.when(before.isin(NEGATIONS), moved * NEGATE).otherwise(moved)
-            return F.when(before.isNull() | before.isin(list(lexicon)), score).otherwise(negated)
+            return F.when(before.isNull() | F.map_contains_key(valences, before), score).otherwise(negated)
 
         def score_of(hit: Column) -> Column:
             own = F.element_at(valences, hit["w"])
@@ -132,7 +132,7 @@ def _hit_scores(raw: Column, words: Column, lexicon: dict[str, float]) -> Column
 
         hits = F.filter(
             F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-            lambda h: h["w"].isin(list(lexicon)),
+            lambda h: F.map_contains_key(valences, h["w"]),
         )
         return F.transform(hits, score_of)
 
@@ -142,9 +142,19 @@ def _hit_scores(raw: Column, words: Column, lexicon: dict[str, float]) -> Column
     return bind(F.struct(mixed.alias("m"), but.alias("b")), lambda c: scores(c["m"], c["b"]))
 
 
-def sentiment(text: Column, lexicon: dict[str, float] | None = None) -> Column:
-    """A struct of label, compound, positive, negative and neutral shares of a text."""
-    lexicon = lexicon or LEXICON
+def distinct_words(text: Column) -> Column:
+    """The words of a text that a lexicon may hold."""
+    return F.array_distinct(F.transform(_word_arrays(F.coalesce(text, F.lit(""))), F.lower))
+
+
+def sentiment(text: Column, valences: Column | None = None) -> Column:
+    """A struct of label, compound, positive, negative and neutral shares of a text.
+
+    ``valences`` maps the text's words to their valence; it is searched word by
+    word, so it should hold the words of this text alone, as ``article_sentiment``
+    in the news jobs looks them up. The built-in words are the default.
+    """
+    valences = _literal_map(LEXICON) if valences is None else valences
 
     def sums(body: Column, n_words: Column, scores: Column) -> Column:
         def total_of(term) -> Column:
@@ -190,7 +200,7 @@ def sentiment(text: Column, lexicon: dict[str, float] | None = None) -> Column:
         )
 
     def of_words(body: Column, raw: Column, words: Column) -> Column:
-        summed = bind(_hit_scores(raw, words, lexicon), lambda v: sums(body, F.size(words), v))
+        summed = bind(_hit_scores(raw, words, valences), lambda v: sums(body, F.size(words), v))
         return bind(bind(summed, with_emphasis), result)
 
     body = F.coalesce(text, F.lit(""))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.sentiment import sentiment
+from millrace.functions.sentiment import LEXICON, distinct_words, sentiment
 from millrace.functions.text import joined_text, strip_markup, top_keywords
 from millrace.operators.aggregates import group_count, unnest_count
 from millrace.operators.windows import window_counts, window_delta
@@ -20,9 +20,29 @@ def clean_articles(df: DataFrame) -> DataFrame:
     )
 
 
-def article_sentiment(df: DataFrame, lexicon: dict[str, float] | None = None) -> DataFrame:
-    """Sentiment of title and description."""
-    return df.withColumn("sentiment", sentiment(joined_text("title", "description"), lexicon))
+def built_in_lexicon(spark: SparkSession) -> DataFrame:
+    """The built-in words as a lexicon table (word, valence)."""
+    return spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
+
+
+def article_sentiment(df: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+    """Sentiment of title and description by a lexicon table (word, valence) of any size.
+
+    The distinct words of each different text are joined with the lexicon, and the
+    few that it holds come back to the text as a map. A word listed twice counts
+    with its larger valence.
+    """
+    lexicon = built_in_lexicon(df.sparkSession) if lexicon is None else lexicon
+    body = joined_text("title", "description")
+    keyed = df.withColumn("_text", F.md5(body))
+    words = keyed.select("_text", F.explode(distinct_words(body)).alias("word"))
+    known = lexicon.groupBy("word").agg(F.max("valence").alias("valence"))
+    found = words.join(known, "word").groupBy("_text").agg(
+        F.map_from_entries(F.collect_set(F.struct("word", "valence"))).alias("_valences")
+    )
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    scored = keyed.join(found, "_text", "left").withColumn("sentiment", sentiment(body, F.coalesce("_valences", none)))
+    return scored.drop("_text", "_valences")
 
 
 def article_keywords(df: DataFrame, top_n: int = 10) -> DataFrame:
@@ -31,7 +51,7 @@ def article_keywords(df: DataFrame, top_n: int = 10) -> DataFrame:
 
 
 def enrich(df: DataFrame) -> DataFrame:
-    """Sentiment and keywords; both stay inside the row, so there is no shuffle."""
+    """Sentiment and keywords."""
     return article_keywords(article_sentiment(df))
 
 

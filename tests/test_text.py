@@ -43,9 +43,19 @@ def test_shares_add_up(spark):
     assert abs(s.positive + s.negative + s.neutral - 1) < 0.001
 
 
+def test_any_lexicon_table_may_be_used(spark):
+    df = spark.createDataFrame([("A blorp day", "so flim"), ("good", None)], "title string, description string")
+    lexicon = spark.createDataFrame([("blorp", 3.0), ("blorp", 1.0), ("flim", -1.0)] + [(f"w{i}", 1.0) for i in range(5000)], "word string, valence double")
+    found = {r.title: r.sentiment for r in news.article_sentiment(df, lexicon).collect()}
+    assert found["A blorp day"].label == "positive" and found["good"].label == "neutral"
+    text = news.article_sentiment(df, lexicon)._jdf.queryExecution().toString()
+    assert "w4999" not in text
+
+
 def test_title_and_description_with_nulls(spark):
     df = spark.createDataFrame([(None, None), ("Good", None), (None, "bad")], "title string, description string")
-    assert [r.sentiment.label for r in news.article_sentiment(df).collect()] == ["neutral", "positive", "negative"]
+    found = {(r.title, r.description): r.sentiment.label for r in news.article_sentiment(df).collect()}
+    assert found == {(None, None): "neutral", ("Good", None): "positive", (None, "bad"): "negative"}
 
 
 def brute_keywords(body, n=10):
