@@ -21,6 +21,7 @@ SEGMENTS = 256  # by the top 8 bits of a hash
 BITS_EACH = 8  # bits for each expected hash
 MOST_BITS = 22  # of a segment, as a power of two: 128 MB for the whole filter
 FLUSH = 2_000_000  # hashes a task gathers before it sends them
+FULL = 0.1  # share of set bits below which a filter is folded
 _SCHEMA = "segment int, hashes binary"
 
 
@@ -71,9 +72,12 @@ def _rows(hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())], ["segment", "hashes"])
 
 
-def build(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expected: float, text: str | None = None) -> tuple[BitFilter, BitFilter]:
-    """(seen once, seen twice) of what ``hashes`` finds in each batch of rows, or in each slice of their ``text``."""
+def build(
+    rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expected: float, text: str | None = None, keep: str = "both"
+) -> BitFilter | tuple[BitFilter, BitFilter]:
+    """The filter of what ``hashes`` finds ``once`` or ``twice``, or ``both``, in each batch of rows, or in each slice of their ``text``."""
     power = power_for(expected)
+    wanted = ["once", "twice"] if keep == "both" else [keep]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -105,7 +109,10 @@ def build(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expec
                     two[p[again]] = True
         names = ["segment", "once", "twice"]
         keys = sorted(once)
-        packed = [pa.array([np.packbits(x[k], bitorder="little").tobytes() for k in keys], pa.binary()) for x in (once, twice)]
+        found = {"once": once, "twice": twice}
+        packed = [
+            pa.array([np.packbits(found[n][k], bitorder="little").tobytes() if n in wanted else None for k in keys], pa.binary()) for n in names[1:]
+        ]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *packed], names)
 
     spark = rows.sparkSession
@@ -117,9 +124,19 @@ def build(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expec
         .mapInArrow(gather, "segment int, once binary, twice binary")
     )
     size = 1 << (power - 3)
-    one, two = (np.zeros(SEGMENTS * size, np.uint8) for _ in range(2))
+    out = {name: np.zeros(SEGMENTS * size, np.uint8) for name in wanted}
     for row in packed.toLocalIterator():
         at = slice(row["segment"] * size, (row["segment"] + 1) * size)
-        one[at] = np.frombuffer(row["once"], np.uint8)
-        two[at] = np.frombuffer(row["twice"], np.uint8)
-    return BitFilter(power, one), BitFilter(power, two)
+        for name in wanted:
+            out[name][at] = np.frombuffer(row[name], np.uint8)
+    done = [_folded(power, out.pop(name)) for name in wanted]
+    return done[0] if len(done) == 1 else (done[0], done[1])
+
+
+def _folded(power: int, bits: np.ndarray) -> BitFilter:
+    """The halves of every segment laid over each other while few bits are set."""
+    while power > 10 and np.bitwise_count(bits).sum(dtype=np.int64) < FULL * 8 * len(bits):
+        halves = bits.reshape(SEGMENTS, 2, -1)
+        bits = (halves[:, 0] | halves[:, 1]).reshape(-1)
+        power -= 1
+    return BitFilter(power, bits)

@@ -81,9 +81,8 @@ class Sets:
         return np.minimum(counts, 255).astype(np.uint8).reshape(-1, CELLS)
 
 
-def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _describe(docs: DataFrame, size: int, percent: int, total: int) -> DataFrame:
     """Per document: doc_id, n_shingles, class and, unless it is alone, its prefix and cells; stored."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     share = min(1.0, 2 * (100 - percent) / 100)
     top = U64(int(share * (2**64 - 1)))
 
@@ -91,7 +90,7 @@ def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
         h = Sets(batch.column("text"), size).hash
         return tx.mix(h[h <= top])
 
-    twice = docs.sparkSession.sparkContext.broadcast(filters.build(docs.select("text"), sampled, total / 6 * share, "text")[1])
+    twice = docs.sparkSession.sparkContext.broadcast(filters.build(docs.select("text"), sampled, total / 6 * share, "text", "twice"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):
@@ -249,7 +248,7 @@ def _links(docs: DataFrame, described: DataFrame, groups: DataFrame, size: int,
         "doc_id", "class", "group", (F.col("block") > F.col("other")).cast("int").alias("side"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
     wanted = spark.sparkContext.broadcast(
-        filters.build(members.select("doc_id"), lambda b: tx.mix(b.column("doc_id").to_numpy().view(U64)), float(members.count()))[0]
+        filters.build(members.select("doc_id"), lambda b: tx.mix(b.column("doc_id").to_numpy().view(U64)), float(members.count()), keep="once")
     )
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,16 +266,16 @@ def _links(docs: DataFrame, described: DataFrame, groups: DataFrame, size: int,
     together = pairs.join(sets, ["doc_id", "class"]).select(meeting, "group", "low", "high", "side", "class", "shingles")
 
     def find(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("group", "ascending"), ("low", "ascending"), ("high", "ascending"), ("class", "ascending")])
         group, low, high, side, classes = (table.column(c).to_numpy() for c in ("group", "low", "high", "side", "class"))
-        at = heads(group, low, high, classes)  # repeated rows of one document meet once
-        table, group, low, high, side, classes = table.take(pa.array(at)), group[at], low[at], high[at], side[at], classes[at]
-        shingles = table.column("shingles")
+        order = np.lexsort((classes, high, low, group))
+        order = order[heads(group[order], low[order], high[order], classes[order])]  # repeated rows of one document meet once
+        group, low, high, side, classes = group[order], low[order], high[order], side[order], classes[order]
+        shingles, order = table.column("shingles").combine_chunks(), order.tolist()
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         cut = heads(group, low, high)
         for start, stop in zip(cut.tolist(), [*cut[1:].tolist(), len(group)][: len(cut)], strict=True):
             if stop - start > 1:
-                sets = [np.frombuffer(shingles[i].as_buffer(), U64) for i in range(start, stop)]
+                sets = [np.frombuffer(shingles[i].as_buffer(), U64) for i in order[start:stop]]
                 x, y = search(sets, None if low[start] == high[start] else side[start:stop], percent)
                 a.append(classes[start:stop][x])
                 b.append(classes[start:stop][y])
@@ -296,9 +295,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are ignored; an empty table gives an empty result. Shingles and sets are
     compared by 64-bit hashes.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    buckets = max(64, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    described = _describe(docs, size, percent)
+    docs = tx.small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(64, total >> 20)  # what meets in one task at once grows with a bucket
+    described = _describe(docs, size, percent, total)
     groups = components(_candidates(described, percent, buckets))
     linked_classes = components(_links(docs, described, groups, size, percent, buckets))
     classes = described.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
@@ -311,3 +311,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return described.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class")).alias("class")).join(of_class, "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """All columns of the documents with the smallest id of their group.
+
+    Rows that repeat id and text stay once; rows of one id with different texts
+    stay or go together. Rows without an id belong to no group and stay. Only the
+    rows that a bit filter says may go, or may be repeated, are shuffled.
+    """
+    groups = stage_table(near_duplicates(docs, doc_id, text, size, percent).filter("doc_id IS NOT NULL"), "groups")
+    marks = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("_goes"), F.count(F.lit(1)).alias("_n"))
+    marks = stage_table(marks.filter("_goes OR _n > 1").select(F.col("doc_id").alias("_id"), "_goes"), "marks")
+    key = lambda ids: tx.mix(ids.to_numpy(zero_copy_only=False).view(U64))
+    touched = docs.sparkSession.sparkContext.broadcast(filters.build(marks, lambda b: key(b.column("_id")), float(marks.count()), keep="once"))
+    names = docs.columns
+    boxed = docs.select(F.struct(*names).alias("row"), F.col(doc_id).cast("long").alias("id"))
+
+    def only(hit: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("id")
+                found = touched.value.has(key(ids.fill_null(0))) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(found == hit))
+
+        return boxed.mapInArrow(run, boxed.schema)
+
+    some = only(True).join(marks, F.col("id") == F.col("_id"), "left").filter(~F.coalesce("_goes", F.lit(False)))
+    some = some.select(F.col("row"), F.col("id"), F.col("row").getField(text).alias("_text")).dropDuplicates(["id", "_text"])
+    return only(False).select("row.*").union(some.select("row.*"))

@@ -206,7 +206,7 @@ class _Cache:
 
 
 def _sampled(docs: DataFrame, text: str, lang: str, per_language: int, seed: int) -> tuple[DataFrame, list[str]]:
-    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = tx.small_batches(docs).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20))
@@ -293,7 +293,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     to the language first in the alphabet. Rows are judged one by one.
     """
     keep = keep or {}
-    source = docs.select(F.col(doc_id), *(c.alias(n) for n, c in keep.items()), F.col(text).alias("_text"))
+    source = tx.small_batches(docs).select(F.col(doc_id), *(c.alias(n) for n, c in keep.items()), F.col(text).alias("_text"))
     kept = [doc_id, *keep]
     schema = source.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("cross_entropy", "double").add("rejected", "boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)

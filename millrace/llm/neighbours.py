@@ -29,6 +29,7 @@ from millrace.session import stage_table
 SHARD = 4096
 QUERY_BLOCK = 512
 LEAF = 48
+MOST_TASKS = 20_000
 _SLACK = 1e-7  # distances of unit vectors are only this exact near zero
 
 
@@ -214,7 +215,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, relax
                 query, ids, score = tree.nearest(ask["rows"], ask["ids"], k, relax)
                 yield pa.RecordBatch.from_arrays([pa.array(ask["ids"][query]), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    found = packs.join(index, ["dim", "shard"]).select("dim", "shard", "points", "queries").mapInArrow(walk, "query_id long, vec_id long, score double")
+    # Trees are work, not bytes: as many tasks as shards, whatever their size.
+    tasks = min(MOST_TASKS, max(1, sum(-(-x // SHARD) for x in n.values())))
+    found = packs.join(index.repartition(tasks, "dim", "shard"), ["dim", "shard"]).select("dim", "shard", "points", "queries").mapInArrow(walk, "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.distinct().select("query_id", F.row_number().over(by).alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
 

@@ -135,7 +135,7 @@ def cut_documents(
             columns += [tx.list_array(ids.astype(np.int32), length, pa.int32())] * with_ids
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return tx.small_batches(docs).select(doc_id, text).mapInArrow(run, schema)
 
 
 @dataclass

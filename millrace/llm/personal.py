@@ -258,7 +258,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: i
     out = base.select("doc_id", "tag", "base")
     if not n:
         return out.withColumn("added", F.lit(None).cast("binary"))
-    wanted, _ = filters.build(chosen, lambda batch: batch.column("pattern").to_numpy().view(U64), float(n))
+    wanted = filters.build(chosen, lambda batch: batch.column("pattern").to_numpy().view(U64), float(n), keep="once")
     met = _meet(source, wanted).join(chosen, "pattern", "left_semi")  # drops the filter's false hits
     believed = _score(seeds.join(chosen, "pattern", "left_semi"), met, rounds).filter(F.col("worth") >= worth)
     places = met.filter("value IS NOT NULL").join(believed, "pattern")

@@ -247,7 +247,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
             kept = [batch.column(f.name) for f in schema[:-1]]
             yield pa.RecordBatch.from_arrays([*kept, column], schema.names)
 
-    return docs.select(*schema.names[:-1]).mapInArrow(run, schema)
+    return tx.small_batches(docs).select(*schema.names[:-1]).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -117,6 +117,7 @@ def per_document(packed: DataFrame) -> DataFrame:
 
 def tagged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, tag and text alone; (doc_id, tag) stays the same for repeated rows and differs for two texts of one id."""
+    docs = tx.small_batches(docs)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).alias("text"))
 
 
@@ -143,7 +144,7 @@ def key_of(batch: pa.RecordBatch, doc: str, tag: str) -> np.ndarray:
 
 def filter_of(rows: DataFrame, doc: str, tag: str) -> filters.BitFilter:
     """A bit filter of the documents of stored rows."""
-    return filters.build(rows.select(doc, tag), lambda b: key_of(b, doc, tag), float(max(1, rows.count())))[0]
+    return filters.build(rows.select(doc, tag), lambda b: key_of(b, doc, tag), float(max(1, rows.count())), keep="once")
 
 
 def with_spans(docs: DataFrame, found: DataFrame, cut: Cut, schema: str | T.StructType, doc: str = "doc_id", tag: str = "tag") -> DataFrame:

@@ -33,7 +33,7 @@ from millrace.llm import filters, spans
 from millrace.llm import textops as tx
 
 WINDOW = 13
-FLUSH = 1_500_000  # windows a task gathers before it settles and sends them
+FLUSH = 800_000  # windows a task gathers before it settles and sends them
 _NAMES = ["bucket", "docs", "tags", "counts", "hashes", "starts", "ends"]
 _SCHEMA = "bucket long, docs binary, tags binary, counts binary, hashes binary, starts binary, ends binary"
 
@@ -91,7 +91,7 @@ def repeated_spans(docs: DataFrame, size: float, window: int = WINDOW) -> DataFr
         h = h[~own]
         return h[index.value[0].has(h)]
 
-    met = sc.broadcast(filters.build(known.select("text"), met_blocks, size / 40, "text")[0])
+    met = sc.broadcast(filters.build(known.select("text"), met_blocks, size / 40, "text", "once"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0

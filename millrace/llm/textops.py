@@ -6,14 +6,19 @@ are whole characters, so words can be cut from the bytes without decoding.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 U64 = np.uint64
+BATCH_ROWS = 1000
 SLICE_BYTES = 1 << 20  # text handled at once; one longer text is a slice of its own
 
 _SPACE = np.zeros(256, bool)
@@ -85,8 +90,30 @@ def string_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     )
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """Have Spark hand texts to Python some at a time.
+
+    Ten thousand long texts, Spark's default, can be hundreds of MB in each worker
+    and beside it in the JVM. The session's setting is lowered, never raised.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
+def release() -> None:
+    """Give freed memory back: workers live on and meet tasks of other operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``most`` bytes of text, or one row."""
+    release()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         at, total, start = 0, 0, 0
@@ -97,6 +124,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             total += n
         if batch.num_rows > start:
             yield batch.slice(start)
+    release()
 
 
 @dataclass
