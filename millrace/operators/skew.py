@@ -26,6 +26,7 @@ def salted_join(
     how: str = "inner",
     salts: int = 64,
     share: float = 0.001,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join that spreads the hot keys of ``big`` over ``salts`` tasks.
 
@@ -34,11 +35,13 @@ def salted_join(
     ``small`` with a hot key are repeated, at most ``salts / share`` times the
     rows such a key has. The result equals the plain join: each ``big`` row
     meets every matching ``small`` row exactly once. ``big`` is read again to
-    count its keys, so a costly one should be stored first.
+    count its keys, so a costly one should be stored first; for several joins on
+    one key, count once with ``hot_keys``, store the result, and pass it as ``hot``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} join cannot be salted on the left side")
-    hot = F.broadcast(hot_keys(big, on, share).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(big, on, share) if hot is None else hot
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
     # Rows with a null key match nothing; spreading them keeps them off one task.
     unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])

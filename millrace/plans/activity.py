@@ -9,7 +9,7 @@ from millrace.functions.dates import truncated
 from millrace.operators.aggregates import conditional_counts, group_count
 from millrace.operators.ordinal import with_ordinal
 from millrace.operators.sets import union_all
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import hot_keys, salted_join
 from millrace.session import stage_table
 
 
@@ -76,10 +76,12 @@ def funnel(events: DataFrame, steps: list[str], within: str = "24 HOURS") -> Dat
         events.filter(F.col("event_type") == steps[0]).groupBy("user_id").agg(F.min("event_time").alias("at")),
         "funnel_step",
     )
+    # Busy users are counted once, over the events of all steps, for the joins of every step.
+    hot = stage_table(hot_keys(events, ["user_id"]), "funnel_hot")
     counts = [_step_count(reached, 1, steps[0])]
     for position, step in enumerate(steps[1:], start=2):
         joined = salted_join(
-            events.filter(F.col("event_type") == step), reached, ["user_id"], salt_by=["event_id"]
+            events.filter(F.col("event_type") == step), reached, ["user_id"], salt_by=["event_id"], hot=hot
         )
         later = (F.col("event_time") > F.col("at")) & (
             F.col("event_time") <= F.col("at") + F.expr(f"INTERVAL {within}")
