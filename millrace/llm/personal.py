@@ -2,16 +2,15 @@
 
 1. Base patterns find seeds: e-mail and IP addresses, card and phone numbers.
 2. The one and two words before a seed are lexical patterns. Those seen before
-   enough different values, and not mostly before ordinary words in the parts of the
-   corpus where the seeds are, go on through a bit filter.
-3. A second reading meets these patterns everywhere: before seeds, before other
-   words that look like identifiers, and before ordinary words, which speak against
-   them.
+   enough different values go on through a bit filter.
+3. A second reading counts what follows these patterns in all documents: words that
+   look like identifiers, by value, and ordinary words, which speak against them.
 4. Spark scores the graph of patterns and values in rounds. A pattern is worth the
    share of its occurrences that precede personal data, each counted with the worth
    of its value; seeds are worth 1, any other value the chance that at least one of
    its patterns is right.
-5. Identifiers after a pattern of high worth become spans of the pattern's kind.
+5. A third reading meets the patterns of high worth; identifiers after them become
+   spans of the pattern's kind.
 """
 
 from __future__ import annotations
@@ -32,6 +31,7 @@ from millrace.session import stage_table
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 SUPPORT = 3  # different seed values before which a pattern must be seen
+HELD = 1_000_000  # counts a task gathers before it sends them
 WORTH = 0.8  # of a pattern whose finds are believed
 U64 = np.uint64
 
@@ -132,16 +132,13 @@ def _seeds(source: DataFrame) -> DataFrame:
                 w = tx.words_of(pa.array(words, pa.large_string()), lower=True)
                 one, two = _pattern_hashes(w.hash)
                 ends = w.first[1:] - 1
-                against = _ordinary(batch, np.unique(np.concatenate([one[ends], two[ends]])))
                 for j, ((i, kind, n, plain), v) in enumerate(zip(where, _value_hash(values).view(np.int64).tolist(), strict=True)):
                     for h in (one, two)[:n]:
-                        p = int(h[ends[j]].view(np.int64))
-                        # The slice's ordinary words after a pattern are told once.
-                        patterns[i].append({"pattern": p, "value": v, "kind": kind, "plain": plain, "against": against.pop(p, 0)})
-            kind = pa.list_(pa.struct([("pattern", pa.int64()), ("value", pa.int64()), ("kind", pa.int32()), ("plain", pa.bool_()), ("against", pa.int64())]))
+                        patterns[i].append({"pattern": int(h[ends[j]].view(np.int64)), "value": v, "kind": kind, "plain": plain})
+            kind = pa.list_(pa.struct([("pattern", pa.int64()), ("value", pa.int64()), ("kind", pa.int32()), ("plain", pa.bool_())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(found, pa.binary()), pa.array(patterns, kind)], ["doc_id", "tag", "base", "seeds"])
 
-    schema = "doc_id long, tag long, base binary, seeds array<struct<pattern: long, value: long, kind: int, plain: boolean, against: long>>"
+    schema = "doc_id long, tag long, base binary, seeds array<struct<pattern: long, value: long, kind: int, plain: boolean>>"
     return stage_table(source.mapInArrow(run, schema), "personal")
 
 
@@ -162,34 +159,77 @@ def _followed(w: tx.Words, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[
     return word, pattern, (digits[b] - digits[a] >= 4) | (signs[b] > signs[a])
 
 
-def _ordinary(batch: pa.RecordBatch, patterns: np.ndarray) -> dict[int, int]:
-    """How often ordinary words follow each of some sorted patterns in this slice."""
-    inside = lambda h: patterns[np.minimum(np.searchsorted(patterns, h), len(patterns) - 1)] == h
-    _, pattern, looks = _followed(tx.words_of(batch.column("text"), lower=True), inside)
-    h, n = np.unique(pattern[~looks], return_counts=True)
-    return dict(zip(h.view(np.int64).tolist(), n.tolist(), strict=True))
+def _filter(patterns: DataFrame, n: int) -> filters.BitFilter:
+    return filters.build(patterns, lambda batch: batch.column("pattern").to_numpy().view(U64), float(n), keep="once")
 
 
-def _meet(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
-    """What follows the patterns: candidate identifiers one by one, ordinary words as counts."""
+def _summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Rows of keys and a count at the end, with one row for each different key."""
+    *keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort(keys)
+    keys = [k[order] for k in keys]
+    at = spans.heads(*keys)
+    return *(k[at] for k in keys), np.add.reduceat(n[order], at) if len(at) else n
+
+
+def _by_task(slices: Iterator[list[tuple[np.ndarray, ...]]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Counts of slices summed over the task; keys are ``names`` without value and n, is there a value, and the value."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for rows in slices:
+        held += rows
+        size += sum(len(x[0]) for x in rows)
+        if size > HELD:
+            held = [_summed(held)]
+            size = len(held[0][0])
+            if size > HELD // 2:
+                yield _count_rows(held.pop(), names)
+                size = 0
+    if held:
+        yield _count_rows(_summed(held), names)
+
+
+def _count_rows(rows: tuple[np.ndarray, ...], names: list[str]) -> pa.RecordBatch:
+    *keys, known, value, n = rows
+    return pa.RecordBatch.from_arrays([*(pa.array(k) for k in keys), pa.array(value, mask=~known), pa.array(n)], names)
+
+
+def _counts(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
+    """pattern, value and n: identifiers after the patterns that no base span covers, and ordinary words under a null value."""
+    shared = source.sparkSession.sparkContext.broadcast(wanted)
+    names = ["pattern", "value", "n"]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, ...]]]:
+        for batch in tx.slices(batches, "text"):
+            w = tx.words_of(batch.column("text"), lower=True)
+            word, pattern, looks = _followed(w, shared.value.has)
+            h, n = np.unique(pattern[~looks].view(np.int64), return_counts=True)
+            rows = [(h, np.zeros(len(h), bool), np.zeros(len(h), np.int64), n)]
+            for found in _candidates(batch, w, word[looks], pattern[looks].view(np.int64)):
+                p, v = (found.column(c).to_numpy() for c in ("pattern", "value"))
+                rows.append((p, np.ones(len(p), bool), v, np.ones(len(p), np.int64)))
+            yield rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_task(counted(batches), names)
+
+    return source.mapInArrow(run, "pattern long, value long, n long").groupBy("pattern", "value").agg(F.sum("n").alias("n"))
+
+
+def _places(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
+    """Where identifiers after the patterns are that no base span covers."""
     shared = source.sparkSession.sparkContext.broadcast(wanted)
-    names = ["pattern", "value", "n", "doc_id", "tag", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):
             w = tx.words_of(batch.column("text"), lower=True)
             word, pattern, looks = _followed(w, shared.value.has)
-            # Ordinary words, counted by pattern.
-            h, n = np.unique(pattern[~looks], return_counts=True)
-            if len(h):
-                none = pa.nulls(len(h), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), none, pa.array(n), none, none, none, none], names)
-            yield from _candidates(batch, w, word[looks], pattern[looks].view(np.int64), names)
+            yield from _candidates(batch, w, word[looks], pattern[looks].view(np.int64))
 
-    return stage_table(source.mapInArrow(run, "pattern long, value long, n long, doc_id long, tag long, start long, end long"), "contexts")
+    return source.mapInArrow(run, "pattern long, value long, doc_id long, tag long, start long, end long")
 
 
-def _candidates(batch: pa.RecordBatch, w: tx.Words, word: np.ndarray, pattern: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+def _candidates(batch: pa.RecordBatch, w: tx.Words, word: np.ndarray, pattern: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Identifiers after a pattern that no base span covers."""
     if not len(word):
         return
@@ -212,18 +252,18 @@ def _candidates(batch: pa.RecordBatch, w: tx.Words, word: np.ndarray, pattern: n
             values.append(value)
     if rows:
         p, i, t, a, b = (pa.array(x, pa.int64()) for x in zip(*rows, strict=True))
-        yield pa.RecordBatch.from_arrays([p, pa.array(_value_hash(values).view(np.int64)), pa.array([1] * len(rows), pa.int64()), i, t, a, b], names)
+        yield pa.RecordBatch.from_arrays([p, pa.array(_value_hash(values).view(np.int64)), i, t, a, b], ["pattern", "value", "doc_id", "tag", "start", "end"])
 
 
 def _score(seeds: DataFrame, met: DataFrame, rounds: int) -> DataFrame:
     """(pattern, kind, worth) after scoring the graph of patterns and values."""
     # Seeds whose first word does not look like an identifier were met as ordinary words too.
     counts = seeds.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("plain")).cast("long")).alias("twice"))
-    found = met.filter("value IS NOT NULL").groupBy("pattern", "value").agg(F.sum("n").alias("n"), F.lit(0).cast("long").alias("twice"))
+    found = met.filter("value IS NOT NULL").select("pattern", "value", "n", F.lit(0).cast("long").alias("twice"))
     known = seeds.select("value").distinct().withColumn("seed", F.lit(True))
     edges = counts.unionByName(found).groupBy("pattern", "value").agg(F.sum("n").alias("n"), F.sum("twice").alias("twice"))
     edges = stage_table(edges.join(known, "value", "left").withColumn("seed", F.coalesce("seed", F.lit(False))), "graph")
-    plain = met.filter("value IS NULL").groupBy("pattern").agg(F.sum("n").alias("plain"))
+    plain = met.filter("value IS NULL").select("pattern", F.col("n").alias("plain"))
     against = edges.groupBy("pattern").agg(F.sum("twice").alias("twice")).join(plain, "pattern", "left")
     against = against.select("pattern", F.greatest(F.coalesce("plain", F.lit(0)) - F.col("twice"), F.lit(0)).alias("against"))
     worth = edges.withColumn("of_value", F.col("seed").cast("double"))
@@ -248,20 +288,19 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: i
     source = spans.tagged(docs, doc_id, text)
     base = _seeds(source)
     seeds = base.select(F.explode("seeds").alias("s")).select("s.*")
-    evidence = seeds.groupBy("pattern").agg(
-        F.count_distinct("value").alias("values"), F.count(F.lit(1)).alias("good"), F.sum(F.col("against") - (~F.col("plain")).cast("long")).alias("against")
-    )
-    # The first reading already met ordinary words after a pattern, where its seeds are.
-    precise = F.col("good") >= (F.col("good") + F.greatest("against", F.lit(0)) + 1) * F.lit(worth / 2)
-    chosen = stage_table(evidence.filter((F.col("values") >= support) & precise).select("pattern"), "patterns")
+    evidence = seeds.groupBy("pattern").agg(F.count_distinct("value").alias("values"))
+    chosen = stage_table(evidence.filter(F.col("values") >= support).select("pattern"), "patterns")
     n = chosen.count()
     out = base.select("doc_id", "tag", "base")
     if not n:
         return out.withColumn("added", F.lit(None).cast("binary"))
-    wanted = filters.build(chosen, lambda batch: batch.column("pattern").to_numpy().view(U64), float(n), keep="once")
-    met = _meet(source, wanted).join(chosen, "pattern", "left_semi")  # drops the filter's false hits
-    believed = _score(seeds.join(chosen, "pattern", "left_semi"), met, rounds).filter(F.col("worth") >= worth)
-    places = met.filter("value IS NOT NULL").join(believed, "pattern")
+    met = _counts(source, _filter(chosen, n)).join(chosen, "pattern", "left_semi")  # drops the filter's false hits
+    scored = _score(seeds.join(chosen, "pattern", "left_semi"), stage_table(met, "contexts"), rounds)
+    believed = stage_table(scored.filter(F.col("worth") >= worth), "patterns")
+    n = believed.count()
+    if not n:
+        return out.withColumn("added", F.lit(None).cast("binary"))
+    places = _places(source, _filter(believed, n)).join(believed, "pattern")
     # A place found by several patterns takes the kind of the best.
     places = places.groupBy("doc_id", "tag", "start", "end").agg(F.max_by("kind", F.struct("worth", -F.col("kind"))).alias("kind"))
     added = places.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("list"))

@@ -188,6 +188,17 @@ def test_copies_are_no_evidence(spark):
     assert personal.digest(df).filter("doc_id = 20").first().spans == ""
 
 
+def test_patterns_are_judged_on_the_whole_graph(spark):
+    """Few seeds and more ordinary words, but a hundred identifiers that are seeds elsewhere, in other files."""
+    here = [(i, f"hotline +1 555 0100 77{i}") for i in range(3)] + [(10 + i, "our hotline is busy") for i in range(10)]
+    away = [(100 + i, f"hotline 15550200{i:03d}") for i in range(100)] + [(300 + i, f"reach +1 555 0200 {i:03d}") for i in range(100)]
+    last = [(500, "hotline 99887766")]
+    schema = "doc_id long, text string"
+    apart = spark.createDataFrame(here, schema).coalesce(1).unionByName(spark.createDataFrame(away + last, schema).coalesce(1))
+    for df in (apart, apart.coalesce(1), apart.repartition(7)):
+        assert personal.digest(df).filter("doc_id = 500").first().spans == "phone:8:16"
+
+
 def test_masking_replaces_spans_and_keeps_the_rest(contexts, none):
     out = personal.mask(contexts)
     assert out.columns == contexts.columns and out.count() == contexts.count()
