@@ -2,9 +2,11 @@
 
 1. Base patterns find seeds: e-mail and IP addresses, card and phone numbers.
 2. The one and two words before a seed are lexical patterns. Those seen before
-   enough different values go on through a bit filter.
+   enough different values go on through a bit filter, with the kind of most seeds.
 3. A second reading counts what follows these patterns in all documents: words that
    look like identifiers, by value, and ordinary words, which speak against them.
+   After patterns of cards and phones an identifier runs over following words of
+   digits and the kind's marks, up to the kind's most digits.
 4. Spark scores the graph of patterns and values in rounds. A pattern is worth the
    share of its occurrences that precede personal data, each counted with the worth
    of its value; seeds are worth 1, any other value the chance that at least one of
@@ -42,7 +44,14 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACE = frozenset(" \t\n\x0b\x0c\r")
-_TRIM = "\"'`()[]{}<>,;:.!?*#"
+_TRIM = b"\"'`()[]{}<>,;:.!?*#"
+# How identifiers of each kind go on after their first word: not at all, or (marks, most digits).
+RUNS = (None, (b"-", 19), (b"().-", 15))
+RUN_OF = np.array([0, 0, 1, 2])  # of each kind
+WHOLE = 8  # digits of the shortest whole phone number
+_NEXT = re.compile(rb" +([^\x20\x09-\x0D]+)")
+_DIGITS = b"0123456789"
+_LEAD = re.compile(rb".*[:=]", re.S)
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -82,9 +91,71 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _looks(word: str) -> bool:
-    """Does a word look like an identifier: an at sign, or four digits or more?"""
-    return "@" in word or sum("0" <= c <= "9" for c in word) >= 4
+def _n_digits(word: bytes) -> int:
+    return len(word) - len(word.translate(None, _DIGITS))
+
+
+def _looks(word: bytes) -> bool:
+    """Does a value look like an identifier: an at sign, or four digits or more?"""
+    return b"@" in word or _n_digits(word) >= 4
+
+
+def _pure(word: bytes, marks: bytes) -> bool:
+    return not word.translate(None, _DIGITS + marks)
+
+
+def _run_end(raw: bytes, start: int, end: int, stop: int, run: tuple[bytes, int] | None) -> int:
+    """Where an identifier ends whose first word is given, at most at ``stop`` (all in bytes).
+
+    It goes on over blanks while words hold only digits and the kind's marks and its
+    digits stay within the kind's most. A word with other trailing marks is the last,
+    and so is one that closes a bracket from before the identifier.
+    """
+    if run is None:
+        return end
+    marks, most = run
+    word = raw[start:end]
+    head = _LEAD.sub(b"", word.rstrip(_TRIM)).lstrip(_TRIM + b"+")
+    bracket = word[: len(word) - len(word.lstrip(_TRIM))].endswith(b"(") or word in (b"(", b"+(")
+    if not _pure(head, marks) or not (head or word in (b"(", b"+", b"+(")):
+        return end
+    digits, depth, last = _n_digits(word), int(bracket), end
+    depth += head.count(b"(") - word.count(b")")
+    at, tail = end, word[len(word.rstrip(_TRIM)) :] if head else b""
+    while not tail.strip(b")") and depth >= 0 and not (bracket and depth == 0 and digits >= WHOLE):
+        m = _NEXT.match(raw, at, stop)
+        if not m:
+            break
+        word = m[1]
+        core = word.rstrip(_TRIM)
+        tail = word[len(core) :]
+        if word == b"(":
+            core, tail = word, b""
+        n = _n_digits(core)
+        if not _pure(core, marks) or digits + n > most or not (core or b"(" in marks and not tail.strip(b")")):
+            break
+        digits += n
+        depth += core.count(b"(") - word.count(b")")
+        at = m.end()
+        # An open bracket may hold words that are no part of it.
+        if n and (depth <= 0 or bracket and depth == 1 and b"(" not in raw[end:at]):
+            last = at
+    return last
+
+
+def _trimmed(raw: bytes, start: int, end: int) -> tuple[int, int]:
+    """Without marks around the value, except a bracket whose other half is inside."""
+    text = raw[start:end]
+    a, b = start + len(text) - len(text.lstrip(_TRIM)), start + len(text.rstrip(_TRIM))
+    if a >= b:
+        return start, start
+    value = raw[a:b]
+    inside = value.count(b"(") - value.count(b")")
+    if inside < 0 and a > start and raw[a - 1 : a] == b"(":
+        a -= 1
+    elif inside > 0 and b < end and raw[b : b + 1] == b")":
+        b += 1
+    return a, b
 
 
 def _before(text: str, start: int) -> list[str] | None:
@@ -126,24 +197,39 @@ def _seeds(source: DataFrame) -> DataFrame:
                     if context:
                         words.append(" ".join(context))
                         values.append(text[a:b])
-                        where.append((i, kind, len(context), _looks(_WORD.match(text, a)[0])))
+                        where.append((i, kind, len(context)))
             patterns: list[list[dict]] = [[] for _ in found]
             if where:
                 w = tx.words_of(pa.array(words, pa.large_string()), lower=True)
                 one, two = _pattern_hashes(w.hash)
                 ends = w.first[1:] - 1
-                for j, ((i, kind, n, plain), v) in enumerate(zip(where, _value_hash(values).view(np.int64).tolist(), strict=True)):
+                for j, ((i, kind, n), v) in enumerate(zip(where, _value_hash(values).view(np.int64).tolist(), strict=True)):
                     for h in (one, two)[:n]:
-                        patterns[i].append({"pattern": int(h[ends[j]].view(np.int64)), "value": v, "kind": kind, "plain": plain})
-            kind = pa.list_(pa.struct([("pattern", pa.int64()), ("value", pa.int64()), ("kind", pa.int32()), ("plain", pa.bool_())]))
+                        patterns[i].append({"pattern": int(h[ends[j]].view(np.int64)), "value": v, "kind": kind})
+            kind = pa.list_(pa.struct([("pattern", pa.int64()), ("value", pa.int64()), ("kind", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(found, pa.binary()), pa.array(patterns, kind)], ["doc_id", "tag", "base", "seeds"])
 
-    schema = "doc_id long, tag long, base binary, seeds array<struct<pattern: long, value: long, kind: int, plain: boolean>>"
+    schema = "doc_id long, tag long, base binary, seeds array<struct<pattern: long, value: long, kind: int>>"
     return stage_table(source.mapInArrow(run, schema), "personal")
 
 
+def _keyed(pattern: np.ndarray, run: int) -> np.ndarray:
+    """Hash of a pattern together with how its identifiers go on."""
+    return tx.mix(pattern + U64((run + 1) * 0xD1B54A32D192ED03 % 2**64))
+
+
+def _filter(patterns: DataFrame, n: int) -> filters.BitFilter:
+    """Of patterns, alone and with how their identifiers go on."""
+
+    def hashes(batch: pa.RecordBatch) -> np.ndarray:
+        p, run = batch.column("pattern").to_numpy().view(U64), batch.column("run").to_numpy()
+        return np.concatenate([p, *(_keyed(p[run == r], r) for r in range(len(RUNS)))])
+
+    return filters.build(patterns.select("pattern", "run"), hashes, 2.0 * n, keep="once")
+
+
 def _followed(w: tx.Words, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, pattern before it, does the word look like an identifier) wherever a wanted pattern stands before a word."""
+    """(word, pattern before it, how its identifiers go on) wherever a wanted pattern stands before a word."""
     one, two = _pattern_hashes(w.hash)
     place = np.arange(len(w.hash)) - w.first[w.doc]  # word number in its document
     words, patterns = [], []
@@ -153,14 +239,75 @@ def _followed(w: tx.Words, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[
         words.append(at)
         patterns.append(h[at - 1])
     word, pattern = np.concatenate(words), np.concatenate(patterns)
+    hits = [np.flatnonzero(wanted(_keyed(pattern, r))) for r in range(len(RUNS))]
+    at = np.concatenate(hits)
+    return word[at], pattern[at], np.repeat(np.arange(len(RUNS)), [len(x) for x in hits])
+
+
+def _met(batch: pa.RecordBatch, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[list[tuple[np.ndarray, int, np.ndarray]], pa.RecordBatch | None]:
+    """Ordinary words after the patterns as (patterns, how they go on, counts), and the identifiers that no base span covers."""
+    w = tx.words_of(batch.column("text"), lower=True)
+    word, pattern, run = _followed(w, wanted)
     digits = np.append(0, np.cumsum((w.raw >= 0x30) & (w.raw <= 0x39)))
     signs = np.append(0, np.cumsum(w.raw == 0x40))
     a, b = w.start[word], w.end[word]
-    return word, pattern, (digits[b] - digits[a] >= 4) | (signs[b] > signs[a])
-
-
-def _filter(patterns: DataFrame, n: int) -> filters.BitFilter:
-    return filters.build(patterns, lambda batch: batch.column("pattern").to_numpy().view(U64), float(n), keep="once")
+    # Only these words can be or begin an identifier or a base span.
+    look = (digits[b] > digits[a]) | (signs[b] > signs[a])
+    if len(word):
+        look |= (run == 2) & (b - a <= 2) & ((w.raw[a] == 0x28) | (w.raw[a] == 0x2B))
+    ordinary = ~look
+    found = _identifiers(batch, w, word, pattern, run, np.flatnonzero(look), ordinary)
+    counts = []
+    for r in range(len(RUNS)):
+        h, n = np.unique(pattern[ordinary & (run == r)], return_counts=True)
+        if len(h):
+            counts.append((h.view(np.int64), r, n))
+    return counts, found
+
+
+def _identifiers(
+    batch: pa.RecordBatch, w: tx.Words, word: np.ndarray, pattern: np.ndarray, run: np.ndarray, look: np.ndarray, ordinary: np.ndarray
+) -> pa.RecordBatch | None:
+    """Identifiers among the words looked at; those that are none are marked as ordinary, unless a base span covers them."""
+    if not len(look):
+        return None
+    ids, tags = (batch.column(c).to_pylist() for c in ("doc_id", "tag"))
+    doc = w.doc[word[look]]
+    raw = w.raw.tobytes()
+    points = np.append(0, np.cumsum((w.raw & 0xC0) != 0x80))  # code points before each byte
+    base: dict[int, list[tuple[int, int]]] = {}
+    seen: dict[tuple[int, int], tuple[int, int] | None] = {}  # what begins at a word: nothing, a base span (-1), an identifier
+    rows, values = [], []
+    for j, d, i, r in zip(look.tolist(), doc.tolist(), word[look].tolist(), run[look].tolist(), strict=True):
+        if (i, r) not in seen:
+            start, end, first, stop = int(w.start[i]), int(w.end[i]), int(w.offsets[d]), int(w.offsets[d + 1])
+            if d not in base:
+                own = base_spans(raw[first:stop].decode())
+                base[d] = []
+                if own:
+                    to_byte = first + np.flatnonzero((w.raw[first:stop] & 0xC0) != 0x80)
+                    to_byte = np.append(to_byte, stop)
+                    base[d] = sorted((int(to_byte[x]), int(to_byte[y])) for _, x, y in own)
+            stop = min([stop, *(x for x, _ in base[d] if x >= end)])
+            a, b = _trimmed(raw, start, end)
+            if any(x < b and a < y for x, y in base[d]):
+                seen[i, r] = (-1, -1)
+            else:
+                a, b = _trimmed(raw, start, _run_end(raw, start, end, stop, RUNS[r]))
+                seen[i, r] = (a, b) if _looks(raw[a:b]) else None
+        place = seen[i, r]
+        if place is None:
+            ordinary[j] = True
+        elif place[0] >= 0:
+            a, b = place
+            values.append(raw[a:b].decode())
+            begin = int(points[int(w.offsets[d])])
+            rows.append((int(pattern[j].view(np.int64)), r, ids[d], tags[d], int(points[a]) - begin, int(points[b]) - begin))
+    if not rows:
+        return None
+    p, r, i, t, a, b = (pa.array(x, pa.int64()) for x in zip(*rows, strict=True))
+    names = ["pattern", "run", "value", "doc_id", "tag", "start", "end"]
+    return pa.RecordBatch.from_arrays([p, r, pa.array(_value_hash(values).view(np.int64)), i, t, a, b], names)
 
 
 def _summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -195,25 +342,23 @@ def _count_rows(rows: tuple[np.ndarray, ...], names: list[str]) -> pa.RecordBatc
 
 
 def _counts(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
-    """pattern, value and n: identifiers after the patterns that no base span covers, and ordinary words under a null value."""
+    """pattern, run, value and n: identifiers after the patterns, and ordinary words under a null value."""
     shared = source.sparkSession.sparkContext.broadcast(wanted)
-    names = ["pattern", "value", "n"]
+    names = ["pattern", "run", "value", "n"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, ...]]]:
         for batch in tx.slices(batches, "text"):
-            w = tx.words_of(batch.column("text"), lower=True)
-            word, pattern, looks = _followed(w, shared.value.has)
-            h, n = np.unique(pattern[~looks].view(np.int64), return_counts=True)
-            rows = [(h, np.zeros(len(h), bool), np.zeros(len(h), np.int64), n)]
-            for found in _candidates(batch, w, word[looks], pattern[looks].view(np.int64)):
-                p, v = (found.column(c).to_numpy() for c in ("pattern", "value"))
-                rows.append((p, np.ones(len(p), bool), v, np.ones(len(p), np.int64)))
+            counts, found = _met(batch, shared.value.has)
+            rows = [(h, np.full(len(h), r), np.zeros(len(h), bool), np.zeros(len(h), np.int64), n) for h, r, n in counts]
+            if found:
+                p, r, v = (found.column(c).to_numpy() for c in names[:3])
+                rows.append((p, r, np.ones(len(p), bool), v, np.ones(len(p), np.int64)))
             yield rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _by_task(counted(batches), names)
 
-    return source.mapInArrow(run, "pattern long, value long, n long").groupBy("pattern", "value").agg(F.sum("n").alias("n"))
+    return source.mapInArrow(run, "pattern long, run long, value long, n long").groupBy("pattern", "run", "value").agg(F.sum("n").alias("n"))
 
 
 def _places(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
@@ -222,58 +367,28 @@ def _places(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):
-            w = tx.words_of(batch.column("text"), lower=True)
-            word, pattern, looks = _followed(w, shared.value.has)
-            yield from _candidates(batch, w, word[looks], pattern[looks].view(np.int64))
-
-    return source.mapInArrow(run, "pattern long, value long, doc_id long, tag long, start long, end long")
+            _, found = _met(batch, shared.value.has)
+            if found:
+                yield found
 
-
-def _candidates(batch: pa.RecordBatch, w: tx.Words, word: np.ndarray, pattern: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Identifiers after a pattern that no base span covers."""
-    if not len(word):
-        return
-    doc = w.doc
-    ids, tags = (batch.column(c).to_pylist() for c in ("doc_id", "tag"))
-    rows, values = [], []
-    taken: dict[int, list[tuple[int, int, int]]] = {}
-    raw = w.raw.tobytes()
-    for i, p in zip(word.tolist(), pattern.tolist(), strict=True):
-        d = int(doc[i])
-        base = int(w.offsets[d])
-        if d not in taken:
-            taken[d] = base_spans(raw[base : int(w.offsets[d + 1])].decode())
-        text = raw[int(w.start[i]) : int(w.end[i])].decode()
-        begin = len(raw[base : int(w.start[i])].decode())
-        value = text.strip(_TRIM)
-        begin += len(text) - len(text.lstrip(_TRIM))
-        if _looks(value) and not any(a < begin + len(value) and begin < b for _, a, b in taken[d]):
-            rows.append((p, ids[d], tags[d], begin, begin + len(value)))
-            values.append(value)
-    if rows:
-        p, i, t, a, b = (pa.array(x, pa.int64()) for x in zip(*rows, strict=True))
-        yield pa.RecordBatch.from_arrays([p, pa.array(_value_hash(values).view(np.int64)), i, t, a, b], ["pattern", "value", "doc_id", "tag", "start", "end"])
+    return source.mapInArrow(run, "pattern long, run long, value long, doc_id long, tag long, start long, end long")
 
 
 def _score(seeds: DataFrame, met: DataFrame, rounds: int) -> DataFrame:
-    """(pattern, kind, worth) after scoring the graph of patterns and values."""
-    # Seeds whose first word does not look like an identifier were met as ordinary words too.
-    counts = seeds.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("plain")).cast("long")).alias("twice"))
-    found = met.filter("value IS NOT NULL").select("pattern", "value", "n", F.lit(0).cast("long").alias("twice"))
+    """(pattern, worth) after scoring the graph of patterns and values."""
+    counts = seeds.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = met.filter("value IS NOT NULL").select("pattern", "value", "n")
     known = seeds.select("value").distinct().withColumn("seed", F.lit(True))
-    edges = counts.unionByName(found).groupBy("pattern", "value").agg(F.sum("n").alias("n"), F.sum("twice").alias("twice"))
+    edges = counts.unionByName(found).groupBy("pattern", "value").agg(F.sum("n").alias("n"))
     edges = stage_table(edges.join(known, "value", "left").withColumn("seed", F.coalesce("seed", F.lit(False))), "graph")
-    plain = met.filter("value IS NULL").select("pattern", F.col("n").alias("plain"))
-    against = edges.groupBy("pattern").agg(F.sum("twice").alias("twice")).join(plain, "pattern", "left")
-    against = against.select("pattern", F.greatest(F.coalesce("plain", F.lit(0)) - F.col("twice"), F.lit(0)).alias("against"))
+    against = met.filter("value IS NULL").select("pattern", F.col("n").alias("against"))
     worth = edges.withColumn("of_value", F.col("seed").cast("double"))
     for _ in range(rounds):
-        pattern = worth.groupBy("pattern").agg(F.sum(F.col("n") * F.col("of_value")).alias("good"), F.sum("n").alias("all")).join(against, "pattern")
-        pattern = pattern.select("pattern", (F.col("good") / (F.col("all") + F.col("against") + 1)).alias("worth"))
+        pattern = worth.groupBy("pattern").agg(F.sum(F.col("n") * F.col("of_value")).alias("good"), F.sum("n").alias("all")).join(against, "pattern", "left")
+        pattern = pattern.select("pattern", (F.col("good") / (F.col("all") + F.coalesce("against", F.lit(0)) + 1)).alias("worth"))
         value = edges.join(pattern, "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.least("worth", F.lit(0.999)))))).alias("chance"))
         worth = stage_table(edges.join(value, "value").withColumn("of_value", F.when(F.col("seed"), 1.0).otherwise(F.col("chance"))).drop("chance"), "graph")
-    kinds = seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern").agg(F.min_by("kind", F.struct(-F.col("n"), "kind")).alias("kind"))
-    return pattern.join(kinds, "pattern")
+    return pattern
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT, worth: float = WORTH, rounds: int = ROUNDS) -> DataFrame:
@@ -288,19 +403,22 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: i
     source = spans.tagged(docs, doc_id, text)
     base = _seeds(source)
     seeds = base.select(F.explode("seeds").alias("s")).select("s.*")
-    evidence = seeds.groupBy("pattern").agg(F.count_distinct("value").alias("values"))
-    chosen = stage_table(evidence.filter(F.col("values") >= support).select("pattern"), "patterns")
+    evidence = seeds.groupBy("pattern").agg(F.count_distinct("value").alias("values")).filter(F.col("values") >= support)
+    # A pattern's kind is that of most of its seeds.
+    kinds = seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern").agg(F.min_by("kind", F.struct(-F.col("n"), "kind")).alias("kind"))
+    run = F.element_at(F.array(*(F.lit(int(r)).cast("long") for r in RUN_OF)), F.col("kind") + 1)
+    chosen = stage_table(evidence.join(kinds, "pattern").select("pattern", "kind", run.alias("run")), "patterns")
     n = chosen.count()
     out = base.select("doc_id", "tag", "base")
     if not n:
         return out.withColumn("added", F.lit(None).cast("binary"))
-    met = _counts(source, _filter(chosen, n)).join(chosen, "pattern", "left_semi")  # drops the filter's false hits
+    met = _counts(source, _filter(chosen, n)).join(chosen, ["pattern", "run"], "left_semi")  # drops the filter's false hits
     scored = _score(seeds.join(chosen, "pattern", "left_semi"), stage_table(met, "contexts"), rounds)
-    believed = stage_table(scored.filter(F.col("worth") >= worth), "patterns")
+    believed = stage_table(scored.filter(F.col("worth") >= worth).join(chosen, "pattern"), "patterns")
     n = believed.count()
     if not n:
         return out.withColumn("added", F.lit(None).cast("binary"))
-    places = _places(source, _filter(believed, n)).join(believed, "pattern")
+    places = _places(source, _filter(believed, n)).join(believed, ["pattern", "run"])
     # A place found by several patterns takes the kind of the best.
     places = places.groupBy("doc_id", "tag", "start", "end").agg(F.max_by("kind", F.struct("worth", -F.col("kind"))).alias("kind"))
     added = places.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("list"))

@@ -199,6 +199,40 @@ def test_patterns_are_judged_on_the_whole_graph(spark):
         assert personal.digest(df).filter("doc_id = 500").first().spans == "phone:8:16"
 
 
+SPACED = {
+    "0171 555 7788": "0171 555 7788",
+    "0171 555 7788, 300 of them": "0171 555 7788",
+    "0171 555 7788. 20 people": "0171 555 7788",
+    "(020) 7946 0958": "(020) 7946 0958",
+    "555 0100 2200": "555 0100 2200",
+    "(0171 555 7788) 20 people": "0171 555 7788",
+    "0171 (555) 7788 today": "0171 (555) 7788",
+    "555 0100 2200 (300 people)": "555 0100 2200",
+    "0171 555 7788 x20": "0171 555 7788",
+    "0171 555 7788 2024-05-06": "0171 555 7788",
+    "( 020 ) 7946 0958": "( 020 ) 7946 0958",
+    "0171 555\n7788": "0171 555",
+    "0171 - 555 - 7788 - 3pm": "0171 - 555 - 7788",
+    "tel:0171 555 7788": "tel:0171 555 7788",
+    "12 people": None,
+}
+
+
+def test_identifiers_with_blanks_are_found_whole(spark):
+    seeds = [(i, f"é the desk line: +1 555 01{i:02d} 22{i:02d} ok") for i in range(60)]
+    cards = [(100 + i, f"the visa card: {c} ok") for i, c in enumerate(("4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "6011 0000 0000 0004"))]
+    cards += [(104 + i, "the visa card: 4111 1111 1111 1111 ok") for i in range(20)]
+    told = [(200 + i, f"é the desk line: {v}") for i, v in enumerate(SPACED)] + [(300, "the visa card: 3782 822463 10005 is bad")]
+    df = spark.createDataFrame(seeds + cards + told, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in personal.digest(df).collect()}
+    for i, (text, want) in enumerate(SPACED.items()):
+        at = 17 + text.index(want) if want else 0
+        assert got[200 + i] == (f"phone:{at}:{at + len(want)}" if want else ""), text
+    assert got[300] == "card:15:32"
+    masked = {r.doc_id: r.text for r in personal.mask(df).collect()}
+    assert masked[200] == "é the desk line: <PHONE>" and masked[300] == "the visa card: <CARD> is bad"
+
+
 def test_masking_replaces_spans_and_keeps_the_rest(contexts, none):
     out = personal.mask(contexts)
     assert out.columns == contexts.columns and out.count() == contexts.count()
