@@ -118,6 +118,29 @@ def test_articles_and_copies_keep_shared_lines(spark):
     assert all(got[10 + n] == "One line\nAnother line" for n in range(4))
 
 
+ARTICLE = "<article><h1>Title</h1><p>Own</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body class='has-sidebar'><nav>Menu</nav>{ARTICLE}</body>", "Title|Own"),
+        ("<body class='sidebar'><p>Plain</p></body>", "Plain"),
+        ("<div class='no-sidebar'><p>Plain</p></div><div class='site-footer'>Foot</div><div class='cookie-notice'>Cookies</div>", "Plain"),
+        (f"<div id='page' class='no-sidebar social'><nav>Menu</nav>{ARTICLE}<p>Beside</p></div>", "Title|Own"),
+        (f"<form action='x'><div>Beside</div><main>{ARTICLE}</main></form>", "Title|Own"),
+        ("<article><p>Own</p><section id='discussion'>Part</section><p class='alert'>Box</p><div class='share'>Share</div></article>", "Own|Part|Box"),
+        (f"{ARTICLE}<div class='sidebar'><article>Teaser</article></div><section id='comments'><article>Reader</article></section>", "Title|Own"),
+        ("<p>Plain</p><section class='comments'><article>Reader</article></section><aside><article>Teaser</article></aside>", "Plain"),
+        (f"<div hidden>{ARTICLE}</div><p>Plain</p>", "Plain"),
+    ],
+)
+def test_wrappers_keep_their_article(page, text):
+    lines, kinds = pages.page_lines(page)
+    keep = pages.lines_to_keep(list(range(len(lines))), kinds, [])
+    assert "|".join(x for x, k in zip(lines, keep, strict=True) if k) == text
+
+
 def test_odd_pages(spark):
     made = [(1, None, None), (2, "", ""), (2, "", ""), (None, "x", "<p>no id"), (4, "http://h/a", "<p>a<p>b</div></p>&#x41;&nbsp;&eacute; <3 x <b"), (5, "http://h/b", "plain")]
     made += [(6, "http://h/c", "<script>never closed <p>x"), (7, "http://h/d", "<div" * 3000), (8, "http://h/e", "<p>" + "long " * 50_000)]
