@@ -5,11 +5,13 @@
    zeros and the MANTISSA bits after the leading one. An empty register borrows from
    the first filled one in a fixed random order of its own, so that short texts
    have whole sketches too. Documents with one set form a class; only classes go on.
-2. BANDS bands of ROWS registers are keys. Classes that share a key form a list. In
-   rounds, every list compares its members with its smallest class. Registers that
-   differ are a distance, so the triangle inequality holds: who is within CORE of
-   the centre has all its likely partners within reach of the centre, and leaves
-   the list. What is left after ROUNDS rounds meets in blocks.
+2. BANDS bands of ROWS registers are keys. Classes that share a key form a list, and
+   a list meets in one task, which estimates similarities and sends spanning links.
+   Lists of more than LIST members first compare them, in rounds of joins, with the
+   list's smallest class. Registers that differ are a distance, so the triangle
+   inequality holds: who is within CORE of the centre has all its likely partners
+   within reach of the centre, and leaves the list. What is left after ROUNDS rounds
+   meets in pairs of blocks.
 3. Components of the likely pairs are groups. Whole sets of a group meet in blocks,
    each with the group's centre. Only members not linked to the centre meet the
    other blocks.
@@ -42,8 +44,9 @@ CORE = 24  # registers that differ from the centre's, at most, of a member that
 LEAST = 0.58  # estimated similarity of a pair worth verifying
 FEW = 64  # sets below this size fill few buckets, so their estimate is coarse:
 LEAST_FEW = 0.33  # less is enough
+LIST = 4096  # members of a list, or of a block of one, that meet at once
 ROUNDS = 3
-BLOCK = 512  # members that meet in one task
+BLOCK = 512  # members of a group whose whole sets meet at once
 BLOCK_SHINGLES = 1 << 20  # or fewer, if their sets hold more than this
 
 _ORDER = np.argsort(np.random.default_rng(12).random((REGISTERS, REGISTERS)), axis=1)  # where each register borrows from, first choice first
@@ -151,7 +154,7 @@ def _classes(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _lists(kinds: DataFrame) -> DataFrame:
-    """(key, class) of bands that at least two classes share, stored."""
+    """(key, class, members) of bands that at least two classes share, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,9 +162,8 @@ def _lists(kinds: DataFrame) -> DataFrame:
             classes = np.repeat(batch.column("class").to_numpy(), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(classes)], ["key", "class"])
 
-    # A key can stand twice in one class only by a clash of hashes of two bands.
     bands = kinds.select("class", "registers").mapInArrow(run, "key long, class long")
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     return stage_table(bands.join(shared, "key"), "lists")
 
 
@@ -179,15 +181,11 @@ def _judge(pairs: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
     return stage_table(pairs.join(one, "class").join(other, "center").mapInArrow(run, "class long, center long, state int"), "judged")
 
 
-def _meetings(n: Column) -> Column:
-    """All pairs of blocks low <= high, for a number of blocks."""
-    return F.explode(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(F.sequence(i, n - 1), lambda j: F.struct(i.alias("low"), j.alias("high"))))))
-
-
-def _rest(lists: DataFrame, kinds: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Spanning links (a, b) between likely pairs of lists; long lists meet block by block."""
-    sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    placed = lists.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+def _meet(lists: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
+    """Spanning links (a, b) between likely pairs of lists (key, class, members); long lists meet block by block."""
+    buckets = max(64, lists.count() // 8192)
+    placed = lists.withColumn("blocks", F.ceil(F.col("members") / LIST).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "class", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
@@ -224,9 +222,8 @@ def _rest(lists: DataFrame, kinds: DataFrame, percent: int, buckets: int) -> Dat
     return full.select("bucket", "key", "low", "high", "class", "n", "registers").groupBy("bucket").applyInArrow(find, "a long, b long")
 
 
-def _candidates(kinds: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) whose components hold every likely pair."""
-    lists = _lists(kinds)
+def _thinned(lists: DataFrame, kinds: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links to centres, what is left of the lists) after rounds of comparing all members of long lists with a centre."""
     found: DataFrame | None = None
     for _ in range(ROUNDS):
         centres = lists.groupBy("key").agg(F.min("class").alias("center"))
@@ -236,10 +233,18 @@ def _candidates(kinds: DataFrame, percent: int) -> DataFrame:
         found = links if found is None else found.union(links)
         left = led.join(judged.filter("state = 2").select("class", "center"), ["class", "center"], "left_anti").select("key", "class")
         left = stage_table(left, "left")
-        several = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-        lists = stage_table(left.join(several, "key", "left_semi"), "lists")
-    rows = lists.count()
-    return found.union(_rest(lists, kinds, percent, max(64, rows // 4096))) if rows else found
+        lists = left.join(left.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "key")
+    return found, stage_table(lists, "lists")
+
+
+def _candidates(kinds: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) whose components hold every likely pair."""
+    lists = _lists(kinds)
+    long = lists.filter(F.col("members") > LIST)
+    if long.isEmpty():
+        return _meet(lists, kinds, percent)
+    links, left = _thinned(long.select("key", "class"), kinds, percent)
+    return links.union(_meet(lists.filter(F.col("members") <= LIST).unionByName(left), kinds, percent))
 
 
 class Group:

@@ -32,6 +32,7 @@ from millrace.session import stage_table
 SHIFT = 1_000_000
 LARGEST = 2.0**45  # entries of this size or more count as not finite: their integers would not be exact
 DEGREE = 12
+GROWTH = 1e10  # the most that a polynomial may favour the largest eigenvalue over the unwanted: QR must still see the others
 LANCZOS = 16
 TIGHT = 2e-14  # residual of a certified pair, beside the largest eigenvalue
 LOOSE = 1e-11  # also certified, if further rounds no longer help
@@ -162,7 +163,7 @@ def chebyshev(product: Product, q: np.ndarray, low: float, high: float, top: flo
 def leading(product: Product, dim: int, k: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(eigenvalues falling, unit eigenvectors, residuals beside the largest) of the ``k`` leading pairs."""
     k = min(k, dim)
-    width = min(dim, 2 * k)
+    width = min(dim, k + max(k, 16))
     draw = np.random.default_rng(seed)
     q = np.linalg.qr(draw.standard_normal((dim, width)))[0]
     low = high = top = 0.0
@@ -172,7 +173,8 @@ def leading(product: Product, dim: int, k: int, seed: int = 11) -> tuple[np.ndar
     best, stuck = np.inf, 0
     for _ in range(MOST_ROUNDS):
         if width < dim and low < high < top:
-            q = np.linalg.qr(chebyshev(product, q, low, high, top, DEGREE))[0]
+            degree = int(np.log(2 * GROWTH) / np.arccosh(max(1.01, (2 * top - high - low) / (high - low))))
+            q = np.linalg.qr(chebyshev(product, q, low, high, top, min(DEGREE, max(1, degree))))[0]
         image = product(q)
         small = q.T @ image
         values, turn = np.linalg.eigh((small + small.T) / 2)
