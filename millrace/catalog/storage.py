@@ -13,6 +13,7 @@ from millrace.plans import claims as claim_plans
 from millrace.registry import query
 from millrace.schemas import READINGS_SCHEMA
 from millrace.session import run_dir
+from millrace.sinks import daily, keyed
 from millrace.sinks import files as out
 from millrace.sinks import tables as sink
 from millrace.sinks.kafka import keyed_json
@@ -20,6 +21,9 @@ from millrace.sources import files as src
 from millrace.sources import tables as t
 
 
+BUCKETS = 16  # of the stored tables here; each is small
+
+
 @query("src01_read_csv", "SELECT p_partkey AS id, p_name, p_size, p_retailprice FROM part")
 def src01(spark, sf):
     path = run_dir(spark, "src01")
@@ -160,12 +164,14 @@ def job30(spark, sf):
        SELECT * FROM a UNION ALL SELECT * FROM b WHERE id NOT IN (SELECT id FROM a)""",
 )
 def snk09(spark, sf):
-    """All documents merged into a store of the labelled ones; known texts are skipped."""
+    """All documents merged into a stored table of the labelled ones; known texts are skipped, no file is rewritten."""
     rows = t.articles(spark, sf).select("id", "doc_id")
     first = [F.asc("doc_id")]
     labelled = rows.join(t.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select("id", "doc_id")
-    store = sink.merge_insert_new(rows.limit(0), labelled, "id", first)
-    return sink.merge_insert_new(store, rows, "id", first)
+    name = f"texts_{uuid.uuid4().hex}"
+    keyed.create(sink.merge_insert_new(rows.limit(0), labelled, "id", first), name, "id", BUCKETS)
+    keyed.insert_new(spark, name, rows, first)
+    return keyed.read(spark, name)
 
 
 @query(
@@ -187,10 +193,9 @@ def snk10(spark, sf):
         .withColumn("total_claims", F.when(F.dayofmonth("summary_date") == 1, 0).otherwise(F.col("total_claims")))
     )
     name = f"daily_summary_{uuid.uuid4().hex}"
-    sink.switch_table(stale, name)
-    merged = sink.merge_upsert(spark.table(name), fresh, "summary_date", [F.asc("summary_date")])
-    sink.switch_table(merged, name)
-    return spark.table(name)
+    keyed.create(stale, name, "summary_date", BUCKETS)
+    keyed.upsert(spark, name, fresh, [F.asc("summary_date")])
+    return keyed.read(spark, name)
 
 
 @query(
@@ -234,8 +239,23 @@ def snk12(spark, sf):
     ),
 )
 def snk13(spark, sf):
-    kept = sink.delete_older_than(t.alerts(spark, sf), F.col("resolved_at"), t.CLAIMS_AS_OF, 90, F.col("resolved"))
-    return kept.select("alert_id", "resolved", "resolved_at")
+    """From a table by month: months of which all goes are forgotten, those that keep some rows are rewritten."""
+    name = f"alerts_{uuid.uuid4().hex}"
+    daily.create(t.alerts(spark, sf).select("alert_id", "resolved", "resolved_at"), name, F.col("resolved_at"), "month")
+    daily.delete_older_than(spark, name, F.col("resolved_at"), t.CLAIMS_AS_OF, 90, F.col("resolved"))
+    return daily.read(spark, name)
+
+
+@query(
+    "snk13_delete_old_events",
+    "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 7 DAY",
+)
+def snk13_events(spark, sf):
+    """Days before the limit are forgotten unread; only the day of the limit is rewritten."""
+    name = f"events_{uuid.uuid4().hex}"
+    daily.create(t.table(spark, sf, "events").select("event_id", "ts"), name, F.col("ts"))
+    daily.delete_older_than(spark, name, F.col("ts"), "2024-01-20 12:00:00", 7)
+    return daily.read(spark, name)
 
 
 @query(
@@ -257,7 +277,43 @@ def snk13_articles(spark, sf):
 @query("snk14_delete_by_key", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def snk14(spark, sf):
     keys = t.table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return sink.delete_by_key(t.table(spark, sf, "customer").select("c_custkey", "c_name"), keys, "c_custkey")
+    name = f"customers_{uuid.uuid4().hex}"
+    keyed.create(t.table(spark, sf, "customer").select("c_custkey", "c_name"), name, "c_custkey", BUCKETS)
+    keyed.delete(spark, name, keys)
+    return keyed.read(spark, name)
+
+
+@query(
+    "prj06_update_stored",
+    """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' AND o_orderstatus = 'O' THEN 'P' ELSE o_orderstatus END AS o_orderstatus,
+              o_orderdate FROM orders""",
+)
+def prj06_stored(spark, sf):
+    """Old open orders of a stored table are closed; buckets without one keep their files."""
+    name = f"orders_{uuid.uuid4().hex}"
+    keyed.create(t.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate"), name, "o_orderkey", BUCKETS)
+    old = F.col("o_orderdate") < F.expr("TIMESTAMP_NTZ'1996-01-01'")
+    keyed.update_where(spark, name, old & (F.col("o_orderstatus") == "O"), {"o_orderstatus": F.lit("P")})
+    return keyed.read(spark, name)
+
+
+@query(
+    "prj07_partial_update_stored",
+    """WITH u AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'moved' END AS c_name, c_acctbal + 1 AS c_acctbal
+                  FROM customer WHERE c_mktsegment = 'BUILDING')
+       SELECT c.c_custkey, coalesce(u.c_name, c.c_name) AS c_name, coalesce(u.c_acctbal, c.c_acctbal) AS c_acctbal
+       FROM customer c LEFT JOIN u USING (c_custkey)""",
+)
+def prj07_stored(spark, sf):
+    """Some customers of a stored table get another name or balance; what is not given stays."""
+    customer = t.table(spark, sf, "customer")
+    name = f"customers_{uuid.uuid4().hex}"
+    keyed.create(customer.select("c_custkey", "c_name", "c_acctbal"), name, "c_custkey", BUCKETS)
+    updates = customer.filter("c_mktsegment = 'BUILDING'").select(
+        "c_custkey", F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'moved' END").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal")
+    )
+    keyed.partial_update(spark, name, updates)
+    return keyed.read(spark, name)
 
 
 @query(

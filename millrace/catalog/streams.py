@@ -188,7 +188,7 @@ def str09(spark, sf):
     )
     streams.start_batches(_claims(spark, sf), write, f"{root}/checkpoint", trigger=None).awaitTermination()
     sides = [
-        spark.read.parquet(f"{root}/out/{side}").select(F.col("key").alias("claim_id"), F.lit(side).alias("side"))
+        streams.committed(spark, f"{root}/out", side).select(F.col("key").alias("claim_id"), F.lit(side).alias("side"))
         for side in ("fraud", "validated")
     ]
     return sides[0].unionByName(sides[1])
@@ -208,8 +208,8 @@ def snk06(spark, sf):
     root = run_dir(spark, "snk06")
     messages = replay.claim_messages(t.as_claims(replay.table_stream(spark, sf, "orders")))
     flows.start_claims(messages, f"{root}/out", f"{root}/checkpoint", trigger=None).awaitTermination()
-    claims = spark.read.parquet(f"{root}/out/claims")
-    alerts = spark.read.parquet(f"{root}/out/alerts")
+    claims = streams.committed(spark, f"{root}/out", "claims")
+    alerts = streams.committed(spark, f"{root}/out", "alerts")
     return claims.select(
         F.lit("claims").alias("target"), "claim_id", "fraud_score", F.lit(None).cast("string").alias("severity")
     ).unionByName(alerts.select(F.lit("alerts").alias("target"), "claim_id", "fraud_score", "severity"))

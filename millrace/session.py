@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job expects; a cluster can override any of them.
+# Streaming state may outgrow executor memory; each batch stores only what it changed.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+# Settings every job expects; what spark-submit, spark-defaults or the caller sets comes first.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Streaming state may outgrow executor memory.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    **LARGE_STATE,
     "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # Text work is costly for its bytes: smaller scan tasks keep every core busy.
-    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
 
@@ -36,16 +40,29 @@ def build_session(
     ``shuffle_partitions`` stays unset on a cluster so that AQE coalesces from
     the cluster's own value; tests and the bench pass the core count.
     """
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config("spark.ui.showConsoleProgress", "false")  # the shell sets it by itself
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **extra}.items():
+    for key, value in {**_unset(DEFAULTS), **extra}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
 
 
+def _unset(defaults: dict[str, str]) -> dict[str, str]:
+    """Those defaults that neither the submitted configuration nor a running session holds."""
+    running = SparkSession.getActiveSession()
+    given = running.sparkContext.getConf() if running else _submitted()
+    return {k: v for k, v in defaults.items() if not given.contains(k)}
+
+
+def _submitted() -> SparkConf:
+    """What spark-submit and spark-defaults say; starts the gateway that the session will use."""
+    SparkContext._ensure_initialized()
+    return SparkConf(loadDefaults=True, _jvm=SparkContext._jvm)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -83,3 +100,33 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that this library wrote under the shared folder; any other path is refused."""
+    inside = f"{shared_dir(spark).split(':', 1)[-1].lstrip('/')}/millrace/"
+    plain = path.split(":", 1)[-1].lstrip("/")
+    if not plain.startswith(inside) or ".." in plain or plain == inside:
+        raise ValueError(f"{path} is not a folder of this library")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is started inside; the caller's come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a table that ``stage_table`` stored, once everything made from it is written."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        delete_folder(df.sparkSession, folder)

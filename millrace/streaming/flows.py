@@ -14,6 +14,7 @@ from millrace.operators.projections import expand_json
 from millrace.plans import claims as claim_plans
 from millrace.plans import news
 from millrace.schemas import ARTICLE_SCHEMA, CLAIM_SCHEMA, EVENT_SCHEMA
+from millrace.session import LARGE_STATE, settings
 from millrace.sinks import streams
 
 
@@ -66,24 +67,20 @@ def first_seen(rows: DataFrame, key: str, ts: str, lateness: str) -> DataFrame:
     )
 
 
+def new_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose non-blank key has never come before; nothing expires, so the state holds every key."""
+    return rows.filter(F.col(key).isNotNull() & (F.col(key) != "")).dropDuplicates([key])
+
+
 def start_new_keys(rows: DataFrame, key: str, path: str, checkpoint: str, trigger: str | None = "10 seconds") -> StreamingQuery:
     """Write each non-blank key once, whenever it comes again.
 
-    Keys written so far are a table, one folder for each batch; a batch is joined
-    against the folders of the batches before it, so nothing expires and a
-    replayed batch finds what it found the first time.
+    Keys seen are state by hash of the key, kept in RocksDB beside the executors and
+    in the checkpoint. A batch looks up and stores its own keys only, so its work
+    follows its size and not the number of batches or keys before it.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.filter(F.col(key).isNotNull() & (F.col(key) != "")).dropDuplicates([key])
-        before = [f"{path}/batch_id={i}" for i in range(batch_id)]
-        if before:
-            seen = spark.read.schema(fresh.schema).option("ignoreMissingFiles", True).parquet(*before)
-            fresh = fresh.join(seen.select(key), key, "left_anti").select(*fresh.columns)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return streams.start_batches(rows, write, checkpoint, trigger)
+    with settings(rows.sparkSession, LARGE_STATE):
+        return streams.start(new_keys(rows, key), path, checkpoint, trigger)
 
 
 def keyword_counts(rows: DataFrame, ts: str, keyword: str, minutes: int, lateness: str) -> DataFrame:
@@ -102,6 +99,11 @@ CLAIM_COLUMNS = [
 ]
 
 
+# The texts that readers of the alerts table look for.
+ALERT_REASON = "Fraud score exceeded threshold in Spark job"
+ALERT_TYPE = "ML_DETECTED"
+
+
 def claim_rows(batch: DataFrame) -> DataFrame:
     """The claims table's columns."""
     return batch.select(*CLAIM_COLUMNS, F.col("claim_date_ts").alias("claim_date"))
@@ -114,8 +116,8 @@ def claim_alerts(batch: DataFrame, threshold: float = claim_plans.FRAUD_THRESHOL
         "patient_id",
         "hospital_id",
         "fraud_score",
-        F.lit("Fraud score exceeded threshold in Spark job").alias("alert_reason"),
-        F.lit("ML_DETECTED").alias("alert_type"),
+        F.lit(ALERT_REASON).alias("alert_reason"),
+        F.lit(ALERT_TYPE).alias("alert_type"),
         F.col("risk_flag").alias("severity"),
     )
 

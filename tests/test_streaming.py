@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.registry import all_queries
@@ -87,6 +88,49 @@ def test_a_replayed_batch_does_not_repeat_rows(spark, tmp_path):
     assert not (tmp_path / "out/claims/batch_id=1").exists()
 
 
+def test_tables_of_a_batch_appear_together(spark, tmp_path):
+    """A crash between two tables shows nothing of the batch; the replay shows all of it, once."""
+    put(spark, str(tmp_path / "in"), "1", CLAIMS)
+    batch = flows.clean_claims(spark.read.schema(MESSAGE).json(str(tmp_path / "in/*")))
+    out, broken = str(tmp_path / "out"), [True]
+
+    def alerts(rows_):
+        if broken[0]:
+            raise RuntimeError("lost")
+        return flows.claim_alerts(rows_)
+
+    write = streams.fan_out({"claims": flows.claim_rows, "alerts": alerts}, out)
+    streams.fan_out({"claims": flows.claim_rows, "alerts": flows.claim_alerts}, out)(batch.limit(1), 0)
+    with pytest.raises(RuntimeError, match="lost"):
+        write(batch, 1)
+    assert spark.read.parquet(f"{out}/claims").count() == 4  # there, but not committed
+    assert streams.last_commit(spark, out) == 0 and streams.committed(spark, out, "claims").count() == 1
+    broken[0] = False
+    write(batch, 1)
+    assert streams.last_commit(spark, out) == 1 and len(list((tmp_path / "out/commits").glob("[0-9]*"))) == 1
+    assert streams.committed(spark, out, "claims").count() == 4 and streams.committed(spark, out, "alerts").count() == 2
+    files = sorted(streams.committed(spark, out, "claims").inputFiles())
+    write(batch, 1)  # replayed after its marker: left as it is
+    assert sorted(streams.committed(spark, out, "claims").inputFiles()) == files
+    with pytest.raises(ValueError, match="markers"):
+        streams.fan_out({"commits": flows.claim_rows}, out)
+
+
+def test_work_of_a_batch_does_not_grow_with_the_batches_before(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    for i in range(50):
+        lines = [(f"k{i}-{j}", "{}") for j in range(4)] + [("k0-0", "{}"), (f"k{max(0, i - 1)}-1", "{}"), ("", "{}")]
+        spark.createDataFrame(lines, MESSAGE).coalesce(1).write.mode("append").json(f"{inbox}/{i:02}")
+    query = flows.start_new_keys(source(spark, inbox).select(F.col("key").alias("id")), "id", out, state, trigger=None)
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == sorted(f"k{i}-{j}" for i in range(50) for j in range(4))
+    batches = [p for p in query.recentProgress if p.numInputRows]
+    assert len(batches) == 50 and {p.numInputRows for p in batches} == {6}  # blank keys are filtered in the source
+    assert {p.stateOperators[0].numRowsUpdated for p in batches} == {4}  # keys stored by a batch are its own
+    assert batches[-1].stateOperators[0].numRowsTotal == 200
+    assert all("rocksdb" in str(p.stateOperators[0].customMetrics).lower() for p in batches[-1:])
+
+
 def as_folders(spark, sf, tmp_path):
     """Every table as a folder of four part files."""
     for name in TABLES:
