@@ -8,6 +8,9 @@ never leave the row; only the hits are scored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,63 +103,126 @@ def _emphasis(body: Column) -> Column:
     ).when(questions > 1, questions * PER_QUESTION).otherwise(0.0)
 
 
-def _hit_scores(raw: Column, words: Column, valences: Column) -> Column:
-    """Scores of the words with a valence, after capitals, intensifiers, negations and "but"."""
+@dataclass(frozen=True)
+class Valences:
+    """A lexicon inside an expression: which words it holds, and the valence of one it holds."""
+
+    holds: Callable[[Column], Column]
+    value: Callable[[Column], Column]
+
+
+def literal_valences(words: dict[str, float]) -> Valences:
+    """A lexicon of a size that fits into the plan. Words are found by hash: one set for all, and one for each valence."""
+    groups: dict[float, list[str]] = {}
+    for word, valence in words.items():
+        groups.setdefault(float(valence), []).append(word)
+
+    def value(word: Column) -> Column:
+        out = F.lit(None).cast("double")
+        for valence, members in groups.items():
+            out = F.when(word.isin(members), F.lit(valence)).otherwise(out)
+        return out
+
+    return Valences(lambda word: word.isin(list(words)), value)
+
+
+def looked_up_valences(words: Column) -> Valences:
+    """The valences of one text's own words, as a map."""
+    return Valences(lambda word: F.map_contains_key(words, word), lambda word: F.element_at(words, word))
+
+
+def _after_context(
+    own: Column, loud: Column, mixed: Column, but: Column, place: Column, back: Callable[[Column], tuple[Column, Column, Column]]
+) -> Column:
+    """A word's score after capitals, the three words before it and "but".
+
+    ``back(d)`` gives the word ``d`` before, whether it is in capitals, and whether
+    the lexicon holds it.
+    """
     boosters = _literal_map(BOOSTERS)
 
-    def scores(mixed: Column, but: Column) -> Column:
-        def one_back(score: Column, place: Column, distance: Column) -> Column:
-            before, spoken = F.get(words, place - distance), F.get(raw, place - distance)
-            boost = F.coalesce(F.try_element_at(boosters, before), F.lit(0.0)) * F.when(
-                score < 0, -1.0
-            ).otherwise(1.0)
-            loud = F.when(
-                mixed & _is_upper(spoken) & (boost != 0),
-                F.when(score > 0, CAPITALS).otherwise(-CAPITALS),
-            ).otherwise(0.0)
-            weight = F.element_at(F.array(*[F.lit(w) for w in DISTANCE_WEIGHT]), distance)
-            moved = score + (boost + loud) * weight
-            negated = F.when(before.isin(NEGATIONS), moved * NEGATE).otherwise(moved)
-            return F.when(before.isNull() | F.map_contains_key(valences, before), score).otherwise(negated)
+    def one_back(score: Column, distance: Column) -> Column:
+        before, shouted, held = back(distance)
+        boost = F.coalesce(F.try_element_at(boosters, before), F.lit(0.0)) * F.when(score < 0, -1.0).otherwise(1.0)
+        extra = F.when(mixed & shouted & (boost != 0), F.when(score > 0, CAPITALS).otherwise(-CAPITALS)).otherwise(0.0)
+        weight = F.element_at(F.array(*[F.lit(w) for w in DISTANCE_WEIGHT]), distance)
+        moved = score + (boost + extra) * weight
+        negated = F.when(before.isin(NEGATIONS), moved * NEGATE).otherwise(moved)
+        return F.when(before.isNull() | held, score).otherwise(negated)
+
+    shout = F.when(own > 0, CAPITALS).otherwise(-CAPITALS)
+    start = own + F.when(mixed & loud, shout).otherwise(0.0)
+    moved = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), start, one_back)
+    return moved * F.when((but >= 0) & (place < but), BEFORE_BUT).when((but >= 0) & (place > but), AFTER_BUT).otherwise(1.0)
+
+
+def _is_mixed(raw: Column) -> Column:
+    """Some words, but not all, are in capitals."""
+    return bind(F.size(F.filter(raw, _is_upper)), lambda n: (n > 0) & (n < F.size(raw)))
+
+
+def _hit_scores(raw: Column, words: Column, valences: Valences) -> Column:
+    """Scores of the words with a valence, in place."""
 
+    def scores(mixed: Column, but: Column) -> Column:
         def score_of(hit: Column) -> Column:
-            own = F.element_at(valences, hit["w"])
-            shout = F.when(own > 0, CAPITALS).otherwise(-CAPITALS)
-            start = own + F.when(mixed & _is_upper(F.get(raw, hit["i"])), shout).otherwise(0.0)
-            moved = F.aggregate(
-                F.array(F.lit(1), F.lit(2), F.lit(3)), start, lambda s, d: one_back(s, hit["i"], d)
-            )
-            return moved * F.when((but >= 0) & (hit["i"] < but), BEFORE_BUT).when(
-                (but >= 0) & (hit["i"] > but), AFTER_BUT
-            ).otherwise(1.0)
+            def back(distance: Column) -> tuple[Column, Column, Column]:
+                before = F.get(words, hit["i"] - distance)
+                return before, _is_upper(F.get(raw, hit["i"] - distance)), valences.holds(before)
 
-        hits = F.filter(
-            F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-            lambda h: F.map_contains_key(valences, h["w"]),
-        )
+            return _after_context(valences.value(hit["w"]), _is_upper(F.get(raw, hit["i"])), mixed, but, hit["i"], back)
+
+        hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: valences.holds(h["w"]))
         return F.transform(hits, score_of)
 
-    upper = F.size(F.filter(raw, _is_upper))
-    mixed = bind(upper, lambda n: (n > 0) & (n < F.size(raw)))
     but = F.array_position(words, "but") - 1
-    return bind(F.struct(mixed.alias("m"), but.alias("b")), lambda c: scores(c["m"], c["b"]))
+    return bind(F.struct(_is_mixed(raw).alias("m"), but.alias("b")), lambda c: scores(c["m"], c["b"]))
 
 
-def distinct_words(text: Column) -> Column:
-    """The words of a text that a lexicon may hold."""
-    return F.array_distinct(F.transform(_word_arrays(F.coalesce(text, F.lit(""))), F.lower))
+BEFORE = "array<struct<w: string, loud: boolean>>"
 
 
-def sentiment(text: Column, valences: Column | None = None) -> Column:
-    """A struct of label, compound, positive, negative and neutral shares of a text.
+def contexts(text: Column) -> Column:
+    """What scoring needs of a text without the text: n, emph, mixed, but, and each word with its place, capitals and the three before it."""
 
-    ``valences`` maps the text's words to their valence; it is searched word by
-    word, so it should hold the words of this text alone, as ``article_sentiment``
-    in the news jobs looks them up. The built-in words are the default.
-    """
-    valences = _literal_map(LEXICON) if valences is None else valences
+    def of(body: Column, raw: Column, words: Column) -> Column:
+        def word(w: Column, i: Column) -> Column:
+            before = F.transform(
+                F.array(F.lit(1), F.lit(2), F.lit(3)), lambda d: F.struct(F.get(words, i - d).alias("w"), _is_upper(F.get(raw, i - d)).alias("loud"))
+            )
+            return F.struct(w.alias("w"), i.alias("i"), _is_upper(F.get(raw, i)).alias("loud"), before.alias("before"))
+
+        return F.struct(
+            F.size(words).alias("n"),
+            _emphasis(body).alias("emph"),
+            _is_mixed(raw).alias("mixed"),
+            (F.array_position(words, "but") - 1).alias("but"),
+            F.transform(words, word).alias("words"),
+        )
+
+    return bind(
+        F.coalesce(text, F.lit("")),
+        lambda b: bind(_word_arrays(b), lambda raw: bind(F.transform(raw, lambda w: F.lower(w)), lambda words: of(b, raw, words))),
+    )
+
+
+def scored_hits(hits: Column, mixed: Column, but: Column) -> Column:
+    """Scores of a text's hits: structs of a word of ``contexts`` and its valence."""
+
+    def score_of(hit: Column) -> Column:
+        def back(distance: Column) -> tuple[Column, Column, Column]:
+            before = F.element_at(hit["before"], distance)
+            return before["w"], before["loud"], F.exists(hits, lambda other: other["i"] == hit["i"] - distance)
 
-    def sums(body: Column, n_words: Column, scores: Column) -> Column:
+        return _after_context(hit["valence"], hit["loud"], mixed, but, hit["i"], back)
+
+    return F.transform(hits, score_of)
+
+
+def verdict(n_words: Column, emphasis: Column, scores: Column) -> Column:
+    """A struct of label, compound, positive, negative and neutral shares from a text's scores."""
+
+    def sums(scores: Column) -> Column:
         def total_of(term) -> Column:
             return F.aggregate(scores, F.lit(0.0), lambda a, v: a + term(v))
 
@@ -166,7 +232,7 @@ def sentiment(text: Column, valences: Column | None = None) -> Column:
             total_of(lambda v: F.when(v > 0, v + 1).otherwise(0.0)).alias("pos"),
             total_of(lambda v: F.when(v < 0, 1 - v).otherwise(0.0)).alias("neg"),
             (n_words - F.size(F.filter(scores, lambda v: v != 0))).alias("neu"),
-            _emphasis(body).alias("emph"),
+            emphasis.alias("emph"),
         )
 
     def with_emphasis(s: Column) -> Column:
@@ -199,9 +265,22 @@ def sentiment(text: Column, valences: Column | None = None) -> Column:
             share("neu", 1.0).alias("neutral"),
         )
 
+    return bind(bind(bind(scores, sums), with_emphasis), result)
+
+
+def sentiment(text: Column, valences: Valences | Column | None = None) -> Column:
+    """A struct of label, compound, positive, negative and neutral shares of a text.
+
+    ``valences`` is a lexicon, or a map of the text's own words to their valence.
+    The built-in words are the default.
+    """
+    if valences is None:
+        valences = literal_valences(LEXICON)
+    elif not isinstance(valences, Valences):
+        valences = looked_up_valences(valences)
+
     def of_words(body: Column, raw: Column, words: Column) -> Column:
-        summed = bind(_hit_scores(raw, words, valences), lambda v: sums(body, F.size(words), v))
-        return bind(bind(summed, with_emphasis), result)
+        return verdict(F.size(words), _emphasis(body), _hit_scores(raw, words, valences))
 
     body = F.coalesce(text, F.lit(""))
     return bind(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.sentiment import LEXICON, distinct_words, sentiment
+from millrace.functions.sentiment import contexts, literal_valences, scored_hits, sentiment, verdict
 from millrace.functions.text import joined_text, strip_markup, top_keywords
 from millrace.operators.aggregates import group_count, unnest_count
 from millrace.operators.windows import window_counts, window_delta
@@ -20,29 +20,42 @@ def clean_articles(df: DataFrame) -> DataFrame:
     )
 
 
-def built_in_lexicon(spark: SparkSession) -> DataFrame:
-    """The built-in words as a lexicon table (word, valence)."""
-    return spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
+MOST_WORDS, MOST_VALENCES = 1_000, 200  # of a lexicon that may stand in the plan
 
 
-def article_sentiment(df: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
-    """Sentiment of title and description by a lexicon table (word, valence) of any size.
+def article_sentiment(df: DataFrame, lexicon: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Sentiment of title and description, beside the columns ``keep`` (all).
 
-    The distinct words of each different text are joined with the lexicon, and the
-    few that it holds come back to the text as a map. A word listed twice counts
-    with its larger valence.
+    ``lexicon`` is a table (word, valence) of any size; a word listed twice counts
+    with its larger valence. The built-in words, and any lexicon of up to MOST_WORDS
+    words, are part of the expression: one scan, and nothing is shuffled. With a
+    larger one the texts still stay where they are: words go to meet it, each with
+    the little around it that scoring needs, and only those it holds come back to
+    their row's ``keep`` columns.
     """
-    lexicon = built_in_lexicon(df.sparkSession) if lexicon is None else lexicon
+    keep = df.columns if keep is None else keep
     body = joined_text("title", "description")
-    keyed = df.withColumn("_text", F.md5(body))
-    words = keyed.select("_text", F.explode(distinct_words(body)).alias("word"))
-    known = lexicon.groupBy("word").agg(F.max("valence").alias("valence"))
-    found = words.join(known, "word").groupBy("_text").agg(
-        F.map_from_entries(F.collect_set(F.struct("word", "valence"))).alias("_valences")
-    )
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    scored = keyed.join(found, "_text", "left").withColumn("sentiment", sentiment(body, F.coalesce("_valences", none)))
-    return scored.drop("_text", "_valences")
+    if lexicon is None:
+        return df.select(*keep, sentiment(body).alias("sentiment"))
+    known = lexicon.filter(F.col("word").isNotNull() & F.col("valence").isNotNull()).groupBy("word").agg(F.max("valence").cast("double").alias("valence"))
+    first = known.limit(MOST_WORDS + 1).collect()
+    if len(first) <= MOST_WORDS and len({r["valence"] for r in first}) <= MOST_VALENCES:
+        return df.select(*keep, sentiment(body, literal_valences({r["word"]: r["valence"] for r in first})).alias("sentiment"))
+    return _by_words(df, body, known, keep)
+
+
+def _by_words(df: DataFrame, body: Column, known: DataFrame, keep: list[str]) -> DataFrame:
+    """Sentiment by a join of the words with a lexicon of distinct words."""
+    # One more entry for each row stands for the row itself and alone carries its columns.
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*keep).alias("_keep"), contexts(body).alias("_c"))
+    itself = F.struct(F.col("_keep"), F.col("_c.n").alias("n"), F.col("_c.emph").alias("emph"), F.col("_c.mixed").alias("mixed"), F.col("_c.but").alias("but"))
+    entries = rows.select("_row", itself.alias("_itself"), F.explode(F.concat(F.array(F.lit(None)), F.col("_c.words"))).alias("_word"))
+    entries = entries.select("_row", F.when(F.col("_word").isNull(), F.col("_itself")).alias("_itself"), "_word")
+    met = entries.join(known, F.col("_word.w") == F.col("word"), "left").filter(F.col("_itself").isNotNull() | F.col("valence").isNotNull())
+    hit = F.when(F.col("_itself").isNull(), F.struct("_word.i", "_word.loud", "_word.before", "valence"))
+    by_row = met.groupBy("_row").agg(F.first("_itself", ignorenulls=True).alias("_s"), F.sort_array(F.collect_list(hit)).alias("_hits"))
+    scores = scored_hits(F.col("_hits"), F.col("_s.mixed"), F.col("_s.but"))
+    return by_row.select("_s._keep.*", verdict(F.col("_s.n"), F.col("_s.emph"), scores).alias("sentiment"))
 
 
 def article_keywords(df: DataFrame, top_n: int = 10) -> DataFrame:

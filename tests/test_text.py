@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import text
-from millrace.functions.sentiment import sentiment
+from millrace.functions.sentiment import LEXICON, sentiment
 from millrace.plans import news
 from millrace.sources import feeds, pages, tables
 from millrace.sources.pages import extract_entries
@@ -197,3 +197,36 @@ def test_articles_of_large_ids(spark, tmp_path):
     )
     row = tables.articles(spark, str(tmp_path)).first()
     assert row.doc_id == 3_000_000_000 and row.published_at.startswith("2")
+
+
+TEXTS = [
+    ("GOOD day, but NOT very good", "so bad! really?? good"),
+    ("never Good", "not so EXTREMELY great!!!"),
+    (None, None),
+    ("", "   "),
+    ("love love love", "hate but love hate isn't bad"),
+    ("plain words alone", "x"),
+    ("very very good bad", "VERY GOOD BAD"),
+]
+
+
+def test_both_ways_to_meet_a_lexicon_agree(spark, sf):
+    """In the plan and by a join of the words: the same scores, and no exchange holds a text."""
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
+    large = lexicon.unionByName(spark.createDataFrame([(f"zz{i}", float(i)) for i in range(3000)] + [(None, 1.0), ("good", -9.0)], "word string, valence double"))
+    made = spark.createDataFrame(TEXTS, "title string, description string").withColumn("doc_id", F.monotonically_increasing_id())
+    given = tables.articles(spark, sf).select("title", "description", "doc_id")
+    for df in (made, given, made.union(made), given.limit(0)):
+        here = news.article_sentiment(df, lexicon).select("doc_id", "sentiment.*")
+        there = news.article_sentiment(df, large, keep=["doc_id"]).select("doc_id", "sentiment.*")
+        builtin = news.article_sentiment(df).select("doc_id", "sentiment.*")
+        assert rows(here) == rows(there) == rows(builtin)
+    assert "Exchange" not in _plan(news.article_sentiment(given))
+    plan = _plan(news.article_sentiment(given, large, keep=["doc_id"]))
+    moved = [x for x in plan.split("\n") if "Exchange hashpartitioning(_row" in x]
+    assert len(moved) == 1 and plan.count("FileScan") == 1
+    assert "title" not in plan.split(moved[0])[0]  # above the scan's own part there is no text
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
