@@ -133,14 +133,31 @@ def join11_edges(spark, sf):
     "job29_friend_suggestions",
     over(
         "activity_v",
-        f"""WITH {EDGES_SQL}, me AS (SELECT src FROM friends_v GROUP BY src ORDER BY count(*), src LIMIT 25)
+        f"""WITH {EDGES_SQL}, paths AS (SELECT a.src, b.dst AS suggested, count(*) AS common FROM friends_v a JOIN friends_v b ON a.dst = b.src
+                                         WHERE b.dst <> a.src GROUP BY 1, 2)
+            SELECT src, suggested, common, CAST(row_number() OVER best AS INTEGER) AS place FROM paths
+            WHERE NOT EXISTS (SELECT 1 FROM friends_v d WHERE d.src = paths.src AND d.dst = suggested)
+            WINDOW best AS (PARTITION BY src ORDER BY common DESC, suggested) QUALIFY row_number() OVER best <= 10""",
+    ),
+)
+def job29(spark, sf):
+    """The ten best for everybody, by common friends."""
+    return activity.friend_suggestions(activity.follow_edges(t.activity(spark, sf)))
+
+
+@query(
+    "job29_suggestions_for_some",
+    over(
+        "activity_v",
+        f"""WITH {EDGES_SQL}, me AS (SELECT DISTINCT user_id AS src FROM activity_v WHERE event_type = 'purchase')
             SELECT DISTINCT a.src, b.dst AS suggested FROM friends_v a JOIN friends_v b ON a.dst = b.src
             WHERE a.src IN (SELECT src FROM me) AND b.dst <> a.src
               AND NOT EXISTS (SELECT 1 FROM friends_v d WHERE d.src = a.src AND d.dst = b.dst)""",
     ),
 )
-def job29(spark, sf):
-    """For the 25 people with the fewest friends."""
+def job29_some(spark, sf):
+    """All friends of friends of the people asked about: everybody who has bought something."""
     # Read for both hops, the known friends and the people asked about.
-    edges = stage_table(activity.follow_edges(t.activity(spark, sf)), "edges")
-    return two_hops(edges, activity.least_connected(edges, 25))
+    events = t.activity(spark, sf)
+    edges = stage_table(activity.follow_edges(events), "edges")
+    return two_hops(edges, events.filter("event_type = 'purchase'").select(F.col("user_id").alias("src")).distinct())

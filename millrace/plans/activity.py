@@ -164,3 +164,53 @@ def least_connected(edges: DataFrame, k: int = 1) -> DataFrame:
         .limit(k)
         .select("src")
     )
+
+
+def friend_suggestions(edges: DataFrame, k: int = 10, most_paths: int = 1_000_000, wide: int = 1_000) -> DataFrame:
+    """For everybody, the ``k`` people they do not know with most friends in common: src, suggested, common, place.
+
+    ``edges`` has (src, dst). Paths of two steps are counted per pair, ties go to
+    the smaller id. Nobody is left out and no count is estimated, but the paths
+    through a hub, someone with more than ``most_paths`` of them, are not built one
+    by one:
+
+    * People who know the same hubs reach the same others through them. Those are
+      counted once for each different set of hubs.
+    * A pair that other paths find adds its set's count. Pairs that only hubs join
+      are ranked once a set; a person meets as many of the first as can matter:
+      ``k`` beyond their own friends and themselves.
+    * Someone with more than ``wide`` friends has all their paths built, so a set's
+      ranking is never needed further than that.
+    """
+    links = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
+    links = stage_table(links, "links")
+    known = links.groupBy("src").agg(F.count(F.lit(1)).alias("friends"))
+    knowing = links.groupBy(F.col("dst").alias("mid")).agg(F.count(F.lit(1)).alias("n"))
+    hubs = knowing.join(known, F.col("mid") == F.col("src")).filter(F.col("n") * F.col("friends") > most_paths).select("mid")
+    hubs = stage_table(hubs, "hubs")
+    broad = known.filter(F.col("friends") > wide).select("src")
+    first, second = links.select("src", F.col("dst").alias("mid")), links.select(F.col("src").alias("mid"), "dst")
+
+    usual = first.join(broad, "src", "left_anti")
+    steps = usual.join(hubs, "mid", "left_anti").unionByName(first.join(broad, "src", "left_semi"))
+    paths = steps.join(second, "mid").filter(F.col("src") != F.col("dst"))
+    direct = paths.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("common"))
+
+    led = usual.join(hubs, "mid", "left_semi").groupBy("src").agg(F.sort_array(F.collect_set("mid")).alias("hubs"))
+    led = stage_table(led.select("src", "hubs", F.xxhash64("hubs").alias("kind")).join(known, "src"), "led")
+    kinds = led.groupBy("kind").agg(F.first("hubs").alias("hubs")).select("kind", F.explode("hubs").alias("mid"))
+    through = kinds.join(second, "mid").groupBy("kind", "dst").agg(F.count(F.lit(1)).alias("via"))
+    through = stage_table(through, "through")
+
+    both = direct.join(led.select("src", "kind"), "src", "left").join(through, ["kind", "dst"], "left")
+    both = both.select("src", "dst", (F.col("common") + F.coalesce("via", F.lit(0))).alias("common"))
+    order = Window.partitionBy("kind").orderBy(F.desc("via"), F.asc("dst"))
+    ranked = through.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + wide + 1)
+    near = F.col("place") <= F.lit(k + 1) + F.col("friends")
+    hub_only = led.alias("a").join(ranked.alias("b"), (F.col("a.kind") == F.col("b.kind")) & near).select("src", "dst", F.col("via").alias("common"))
+
+    found = both.unionByName(hub_only).groupBy("src", "dst").agg(F.max("common").alias("common"))
+    found = found.filter(F.col("src") != F.col("dst")).join(links, ["src", "dst"], "left_anti")
+    best = Window.partitionBy("src").orderBy(F.desc("common"), F.asc("dst"))
+    top = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+    return top.select("src", F.col("dst").alias("suggested"), "common", "place")
