@@ -310,13 +310,13 @@ def agg19(spark, sf):
 
 @query(
     "agg20_unnest_count",
-    r"""WITH tok AS (SELECT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS keyword FROM benchmark)
+    r"""WITH tok AS (SELECT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS keyword FROM documents)
        SELECT keyword, count(*) AS n FROM tok WHERE keyword <> '' AND length(keyword) > 2 GROUP BY keyword""",
 )
 def agg20(spark, sf):
     from millrace.operators.filters import words
 
-    tagged = t.table(spark, sf, "benchmark").select(words("text").alias("keywords"))
+    tagged = t.table(spark, sf, "documents").select(words("text").alias("keywords"))
     return agg.unnest_count(tagged, "keywords")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog.views import over
-from millrace.operators import sets, sorting, windows
+from millrace.operators import sets, snapshots, sorting, windows
 from millrace.registry import query
+from millrace.session import run_dir
 from millrace.sources import tables as t
 
 
@@ -106,6 +107,17 @@ def srt03(spark, sf):
     )
 
 
+@query(
+    "srt03_deep_page",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 20 OFFSET (SELECT count(*) // 2 // 20 * 20 FROM lineitem)",
+)
+def srt03_deep(spark, sf):
+    """The page in the middle of all line items; the ranges before it are not read."""
+    lines = t.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    pages = sorting.paged(lines, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")])
+    return pages.page(pages.total // 2 // 20 + 1, 20)
+
+
 @query(
     "srt03_page_totals",
     over("claims_v", "SELECT count(*) AS total, greatest(CAST(ceil(count(*) / 20.0) AS BIGINT), 1) AS pages FROM claims_v"),
@@ -194,3 +206,20 @@ def set05(spark, sf):
     old = docs.select("lang", F.md5("text").alias("body"))
     new = docs.select("lang", F.md5(edited).alias("body"))
     return sets.snapshot_changes(new, old, ["lang", "body"])
+
+
+@query(
+    "set05_stored_snapshots",
+    """WITH old AS (SELECT event_type, user_id, ts FROM events),
+            new AS (SELECT event_type, user_id, CASE WHEN user_id = 7 THEN ts + INTERVAL 1 HOUR ELSE ts END AS ts FROM events)
+       SELECT event_type, user_id, ts, 'added' AS change FROM (SELECT * FROM new EXCEPT SELECT * FROM old)
+       UNION ALL SELECT event_type, user_id, ts, 'removed' FROM (SELECT * FROM old EXCEPT SELECT * FROM new)""",
+)
+def set05_stored(spark, sf):
+    """Two stored snapshots of the events, one user's an hour later; only the buckets whose hashes differ are read again."""
+    events = t.table(spark, sf, "events")
+    root = run_dir(spark, "snapshots")
+    later = F.when(F.col("user_id") == 7, F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
+    snapshots.store(events.select("event_type", "user_id", "ts"), f"{root}/old", ["event_type", "user_id", "ts"], 64)
+    snapshots.store(events.select("event_type", "user_id", later.alias("ts")), f"{root}/new", ["event_type", "user_id", "ts"], 64)
+    return snapshots.changes(spark, f"{root}/new", f"{root}/old")

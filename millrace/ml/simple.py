@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.ml.features import SEED, kept
@@ -31,11 +37,84 @@ def squared_error(predictions: DataFrame, label: str) -> DataFrame:
     return predictions.agg(F.avg(error * error).alias("mse"), F.count(F.lit(1)).alias("n"))
 
 
-def kmeans_fit(rows: DataFrame, k: int, starts: int = 1, seed: int = SEED) -> KMeansModel:
-    """The cheapest of several seeded runs."""
-    with kept(rows.select("features")) as held:
-        models = [KMeans(k=k, seed=seed + i).fit(held) for i in range(starts)]
-    return min(models, key=lambda m: m.summary.trainingCost)
+SEED_ROWS = 2_000  # rows that first centres are drawn from
+TOLERANCE = 1e-4  # a start rests when no centre moves further
+
+
+def kmeans_fit(rows: DataFrame, k: int, starts: int = 1, seed: int = SEED, most_rounds: int = 20) -> KMeansModel:
+    """The cheapest of several seeded starts, all advanced together.
+
+    A round is one pass over the vectors, whatever the number of starts: tasks send
+    the sums and counts of each (start, cluster), which Spark adds up. First centres
+    are drawn from SEED_ROWS rows with the smallest hashes, each next one by its
+    squared distance to those before. A cluster that has lost its rows keeps its
+    centre. A start that rests takes no further part but for its cost.
+    """
+    features = rows.select(vector_to_array("features").alias("x"))
+    with kept(features) as held:
+        drawn = held.withColumn("h", F.xxhash64("x")).orderBy("h").limit(SEED_ROWS).collect()
+        if not drawn:
+            raise ValueError("there is no row to cluster")
+        sample = np.array([r["x"] for r in drawn])
+        centres = np.array([_first_centres(sample, k, np.random.default_rng(seed + i)) for i in range(starts)])
+        resting = np.zeros(starts, bool)
+        cost = np.full(starts, np.inf)
+        for _ in range(most_rounds):
+            moving = np.flatnonzero(~resting)
+            sums, counts, found = _round(held, centres[moving])
+            new = np.where(counts[..., None] > 0, sums / np.maximum(counts, 1)[..., None], centres[moving])
+            resting[moving] = ((new - centres[moving]) ** 2).sum(2).max(1) <= TOLERANCE**2
+            centres[moving], cost[moving] = new, found
+            if resting.all():
+                break
+        # Costs belong to the centres before their last step: one more pass for all.
+        cost = _round(held, centres)[2]
+    return _model(rows.sparkSession, centres[int(cost.argmin())])
+
+
+def _first_centres(sample: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    centres = [sample[draw.integers(len(sample))]]
+    for _ in range(k - 1):
+        far = np.min([((sample - c) ** 2).sum(1) for c in centres], axis=0)
+        total = far.sum()
+        centres.append(sample[draw.choice(len(sample), p=far / total if total > 0 else None)])
+    return np.array(centres)
+
+
+def _round(vectors: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sums, counts, costs) of the vectors nearest to each centre, for every start."""
+    starts, k, dim = centres.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((starts, k * (dim + 1) + 1))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            norms = (x * x).sum(1)
+            for s in range(starts):
+                d = norms[:, None] - 2 * (x @ centres[s].T) + (centres[s] ** 2).sum(1)
+                own = d.argmin(1)
+                member = np.zeros((len(x), k))
+                member[np.arange(len(x)), own] = 1
+                total[s] += np.concatenate([(member.T @ x).ravel(), member.sum(0), [np.maximum(d.min(1, initial=np.inf), 0).sum()]])
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["part"])
+
+    parts = vectors.mapInArrow(run, "part array<double>").select(F.posexplode("part")).groupBy("pos").agg(F.sum("col").alias("total"))
+    found = np.array([r["total"] for r in sorted(parts.collect(), key=lambda r: r["pos"])]).reshape(starts, -1)
+    return found[:, : k * dim].reshape(starts, k, dim), found[:, k * dim : -1], found[:, -1]
+
+
+def _model(spark: SparkSession, centres: np.ndarray) -> KMeansModel:
+    """The centres as Spark's own model, which scores inside the JVM."""
+    jvm, listed = spark._jvm, spark._jvm.java.util.ArrayList()
+    for centre in centres.tolist():
+        listed.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(float(centre[0]), _doubles(spark, centre[1:])))
+    inner = jvm.org.apache.spark.mllib.clustering.KMeansModel(listed)
+    return KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(f"kmeans_{uuid.uuid4().hex[:12]}", inner))
+
+
+def _doubles(spark: SparkSession, values: list[float]):
+    out = spark._jvm.PythonUtils.toSeq([float(v) for v in values])
+    return out
 
 
 def multiclass_pipeline(features: list[str], label: str, trees: int = 100) -> Pipeline:

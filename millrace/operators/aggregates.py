@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,19 +152,49 @@ def box_stats(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     )
 
 
+SHIFT_ROWS = 1_000  # rows whose mean is taken off before squares are summed
+
+
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise Pearson correlation as (column_a, column_b, r), from one pass over the rows."""
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"`{a}|{b}`").alias("r"))
-        for a, b in pairs
-    ]
-    diagonal = [
-        F.struct(F.lit(c).alias("column_a"), F.lit(c).alias("column_b"), F.lit(1.0).alias("r"))
-        for c in columns
-    ]
-    return row.select(F.explode(F.array(*cells, *diagonal)).alias("cell")).select("cell.*")
+    """Pairwise Pearson correlation as (column_a, column_b, r), from one pass over the rows.
+
+    Each task multiplies matrices of its rows: values, squares and which are
+    present, so that a pair counts the rows in which both are (NaN counts as
+    missing). Tasks send six sums for each pair, which Spark adds up. Correlation
+    does not change with a shift, so values near their column's mean are summed:
+    the mean of up to SHIFT_ROWS rows, whichever they are, keeps the sums exact
+    enough. A pair without two different values on each side has no r.
+    """
+    width = len(columns)
+    values = F.array(*[F.col(c).cast("double") for c in columns]).alias("v")
+    some = df.select(*columns).limit(SHIFT_ROWS).agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    shift = np.array([0.0 if m is None else m for m in some])
+    x, y = np.triu_indices(width, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(x)))
+        for batch in batches:
+            v = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) - shift
+            there = ~np.isnan(v)
+            v, there = np.where(there, v, 0.0), there.astype(float)
+            both, once, squares = there.T @ there, v.T @ there, (v * v).T @ there
+            sums += np.stack([both[x, y], once[x, y], once[y, x], squares[x, y], squares[y, x], (v.T @ v)[x, y]])
+        kind = pa.list_(pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array([row], kind) for row in sums], list("nabcdp"))
+
+    parts = df.select(values).mapInArrow(run, ", ".join(f"{c} array<double>" for c in "nabcdp"))
+    nothing = df.sparkSession.range(1).select(*[F.array_repeat(F.lit(0.0), len(x)).alias(c) for c in "nabcdp"])  # so that every pair has a row
+    cells = parts.unionByName(nothing).select(F.posexplode(F.arrays_zip(*"nabcdp")).alias("at", "s")).groupBy("at").agg(*[F.sum(f"s.{c}").alias(c) for c in "nabcdp"])
+    n, a, b, c, d, p = (F.col(i) for i in "nabcdp")
+    spread_a, spread_b = n * c - a * a, n * d - b * b
+    # What is left of a constant column is rounding, far below its squares.
+    flat = (n < 2) | (spread_a <= 1e-14 * n * c) | (spread_b <= 1e-14 * n * d)
+    r = F.when(~flat, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (n * p - a * b) / F.sqrt(spread_a) / F.sqrt(spread_b))))
+    names = F.array(*[F.lit(c) for c in columns])
+    first, second = (F.array(*[F.lit(int(i)) for i in side]) for side in (x, y))
+    pairs = cells.select(F.get(names, F.get(first, F.col("at"))).alias("column_a"), F.get(names, F.get(second, F.col("at"))).alias("column_b"), r.alias("r"))
+    own = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "column_a string, column_b string, r double")
+    return pairs.unionByName(own) if len(x) else own
 
 
 def group_rate(df: DataFrame, keys: list[str], flag: str, name: str) -> DataFrame:
