@@ -12,7 +12,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import textops as tx
 
@@ -54,6 +55,21 @@ class BitFilter:
         return out
 
 
+_SHARED: list[Broadcast] = []
+
+
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast that ``unshare`` knows of."""
+    _SHARED.append(spark.sparkContext.broadcast(value))
+    return _SHARED[-1]
+
+
+def unshare() -> None:
+    """Free the executors' copies of what operators have shared so far; a result that is read later fetches its own again."""
+    while _SHARED:
+        _SHARED.pop().unpersist()
+
+
 def power_for(expected: float) -> int:
     """Bits of a segment for so many hashes in all, as a power of two."""
     need = max(1.0, expected * BITS_EACH / SEGMENTS)

@@ -357,7 +357,7 @@ def _verified(docs: DataFrame, kinds: DataFrame, groups: DataFrame, size: int, p
 
     more = pairs.groupBy("bucket").applyInArrow(second, "a long, b long")
     links = stage_table(found.filter("apart = 0").select("a", "b").union(more), "links")
-    wanted.destroy()
+    wanted.unpersist()
     return links
 
 

@@ -90,7 +90,7 @@ def _describe(docs: DataFrame, size: int, percent: int, total: int) -> DataFrame
         h = Sets(batch.column("text"), size).hash
         return tx.mix(h[h <= top])
 
-    twice = docs.sparkSession.sparkContext.broadcast(filters.build(docs.select("text"), sampled, total / 6 * share, "text", "twice"))
+    twice = filters.share(docs.sparkSession, filters.build(docs.select("text"), sampled, total / 6 * share, "text", "twice"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):
@@ -110,7 +110,9 @@ def _describe(docs: DataFrame, size: int, percent: int, total: int) -> DataFrame
             columns = [batch.column("doc_id"), pa.array(s.count, pa.int64()), pa.array(s.classes()), pa.array(prefix, pa.binary()), pa.array(sketch, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "prefix", "cells"])
 
-    return stage_table(docs.mapInArrow(run, "doc_id long, n_shingles long, class long, prefix binary, cells binary"), "sets")
+    done = stage_table(docs.mapInArrow(run, "doc_id long, n_shingles long, class long, prefix binary, cells binary"), "sets")
+    twice.unpersist()
+    return done
 
 
 def _candidates(described: DataFrame, percent: int, buckets: int) -> DataFrame:
@@ -247,8 +249,8 @@ def _links(docs: DataFrame, described: DataFrame, groups: DataFrame, size: int,
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "doc_id", "class", "group", (F.col("block") > F.col("other")).cast("int").alias("side"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    wanted = spark.sparkContext.broadcast(
-        filters.build(members.select("doc_id"), lambda b: tx.mix(b.column("doc_id").to_numpy().view(U64)), float(members.count()), keep="once")
+    wanted = filters.share(
+        spark, filters.build(members.select("doc_id"), lambda b: tx.mix(b.column("doc_id").to_numpy().view(U64)), float(members.count()), keep="once")
     )
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +326,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
     marks = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("_goes"), F.count(F.lit(1)).alias("_n"))
     marks = stage_table(marks.filter("_goes OR _n > 1").select(F.col("doc_id").alias("_id"), "_goes"), "marks")
     key = lambda ids: tx.mix(ids.to_numpy(zero_copy_only=False).view(U64))
-    touched = docs.sparkSession.sparkContext.broadcast(filters.build(marks, lambda b: key(b.column("_id")), float(marks.count()), keep="once"))
+    touched = filters.share(docs.sparkSession, filters.build(marks, lambda b: key(b.column("_id")), float(marks.count()), keep="once"))
     names = docs.columns
     boxed = docs.select(F.struct(*names).alias("row"), F.col(doc_id).cast("long").alias("id"))
 

@@ -343,7 +343,7 @@ def _count_rows(rows: tuple[np.ndarray, ...], names: list[str]) -> pa.RecordBatc
 
 def _counts(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
     """pattern, run, value and n: identifiers after the patterns, and ordinary words under a null value."""
-    shared = source.sparkSession.sparkContext.broadcast(wanted)
+    shared = filters.share(source.sparkSession, wanted)
     names = ["pattern", "run", "value", "n"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, ...]]]:
@@ -363,7 +363,7 @@ def _counts(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
 
 def _places(source: DataFrame, wanted: filters.BitFilter) -> DataFrame:
     """Where identifiers after the patterns are that no base span covers."""
-    shared = source.sparkSession.sparkContext.broadcast(wanted)
+    shared = filters.share(source.sparkSession, wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):

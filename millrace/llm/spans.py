@@ -155,7 +155,7 @@ def with_spans(docs: DataFrame, found: DataFrame, cut: Cut, schema: str | T.Stru
     """
     found = found.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
     found = stage_table(found, "spans")
-    known = docs.sparkSession.sparkContext.broadcast(filter_of(found, "_doc", "_tag"))
+    known = filters.share(docs.sparkSession, filter_of(found, "_doc", "_tag"))
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 U64 = np.uint64
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 SLICE_BYTES = 1 << 20  # text handled at once; one longer text is a slice of its own
 
 _SPACE = np.zeros(256, bool)
