@@ -174,7 +174,8 @@ def _candidates(described: DataFrame, percent: int, buckets: int) -> DataFrame:
         return pa.table({"a": np.concatenate(a + nothing), "b": np.concatenate(b + nothing)})
 
     dealt = described.filter("prefix IS NOT NULL").select("class", "n_shingles", "prefix", "cells")
-    return dealt.mapInArrow(deal, "bucket long, lists binary, members binary, classes binary, sizes binary, cells binary").groupBy("bucket").applyInArrow(join, "a long, b long")
+    met = dealt.mapInArrow(deal, "bucket long, lists binary, members binary, classes binary, sizes binary, cells binary").groupBy("bucket").applyInArrow(join, "a long, b long")
+    return stage_table(met, "candidates")
 
 
 def search(sets: list[np.ndarray], sides: np.ndarray | None, percent: int, mu: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +284,8 @@ def _links(docs: DataFrame, described: DataFrame, groups: DataFrame, size: int,
                 b.append(classes[start:stop][y])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return together.groupBy("bucket").applyInArrow(find, "a long, b long")
+    # Stored before their components are sought, so that one Python worker for each task is at work.
+    return stage_table(together.groupBy("bucket").applyInArrow(find, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
