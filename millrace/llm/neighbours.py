@@ -90,19 +90,19 @@ class Tree:
 
     def nearest(self, queries: np.ndarray, own: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query number, id, cosine) of the best ``k`` ids of every query but its own, ties to smaller ids."""
-        keep = k + 3  # its own vector and near-ties beside the k
+        keep = k + 1  # its own vector beside the k
         length = np.sqrt((queries * queries).sum(1))
         unit = queries / length[:, None]
         best = np.full((len(unit), keep), np.inf)
-        found = np.full((len(unit), keep), -1)
+        seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def offer(who: np.ndarray, low: int, high: int) -> np.ndarray:
             d = _distance(unit[who] @ self.unit[low:high].T)
             both = np.concatenate([best[who], d], axis=1)
-            index = np.concatenate([found[who], np.broadcast_to(np.arange(low, high), d.shape)], axis=1)
-            top = np.argpartition(both, keep - 1, axis=1)[:, :keep] if both.shape[1] > keep else np.argsort(both, axis=1)[:, :keep]
-            best[who] = np.take_along_axis(both, top, 1)
-            found[who] = np.take_along_axis(index, top, 1)
+            best[who] = np.partition(both, keep - 1, axis=1)[:, :keep]
+            # Whatever ties the last one kept may be wanted for its id: exact scores decide in the end.
+            q, slot = np.nonzero(d <= best[who].max(1)[:, None] + _SLACK)
+            seen.append((who[q], slot + low, d[q, slot]))
             return d
 
         stack: list[tuple[Node, np.ndarray, np.ndarray]] = [(self.root, np.arange(len(unit)), np.zeros(len(unit)))]
@@ -122,11 +122,11 @@ class Tree:
             # What is popped first was pushed last: every query's likelier side.
             stack += [(node.near, who[~first], near[~first]), (node.far, who[first], far[first])]
             stack += [(node.far, who[~first], far[~first]), (node.near, who[first], near[first])]
-        return self._exact(queries, length, own, found, k)
+        query, at, d = (np.concatenate(x) for x in zip(*seen, strict=True))
+        near = d <= best.max(1)[query] + _SLACK
+        return self._exact(queries, length, own, query[near], at[near], k)
 
-    def _exact(self, queries: np.ndarray, length: np.ndarray, own: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        query, slot = np.nonzero(found >= 0)
-        at = found[query, slot]
+    def _exact(self, queries: np.ndarray, length: np.ndarray, own: np.ndarray, query: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         score = (queries[query] * self.vectors[at]).sum(1) / (length[query] * self.norm[at])
         out: list[tuple[np.ndarray, ...]] = []
         for q, i, s in zip(query.tolist(), at.tolist(), score.tolist(), strict=True):

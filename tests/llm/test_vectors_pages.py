@@ -66,6 +66,17 @@ def test_ties_copies_and_unusable_vectors(spark):
     assert {q: len(x) for q, x in found(neighbours.nearest_neighbours(few, few)).items()} == {0: 2, 1: 2, 2: 2}
 
 
+@pytest.mark.parametrize("relax", [1.0, RELAX])
+def test_ties_between_scaled_copies_go_to_the_smallest_ids(spark, relax):
+    draw = np.random.default_rng(9)
+    scaled = [(100 + i, [0.5 * 2.0 ** (i % 7), 0.25 * 2.0 ** (i % 7), 0.0]) for i in draw.permutation(60).tolist()]
+    others = [(1000 + i, [float(c) for c in draw.normal(size=3)]) for i in range(200)]
+    df = spark.createDataFrame(scaled + others, "vec_id long, embedding array<double>")
+    got = found(neighbours.nearest_neighbours(df, df.filter("vec_id IN (100, 150)"), relax=relax))
+    assert [i for i, _ in got[100]] == [101, 102, 103, 104, 105] and [i for i, _ in got[150]] == [100, 101, 102, 103, 104]
+    assert all(s == got[100][0][1] for _, s in got[100])
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.integers(0, 10**6), st.integers(2, 200), st.integers(1, 6))
 def test_trees_are_exact_at_factor_one(seed, n, dim):
