@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney models of the characters of words.
 
 Each language gets one model of orders 1 to ORDER, learnt from a bounded sample of
-labelled documents. A word is its letters, lower-cased, between two edge symbols.
+different labelled texts. A word is its letters, lower-cased, between two edge symbols.
 The grams of each order are sorted 64-bit hashes beside their interpolated
 probabilities; contexts are sorted hashes beside the weight they leave to the next
 order. A text gets the language of the lowest cross-entropy per symbol. Part of
@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textops as tx
+from millrace.session import stage_table
 
 ORDER = 4
 EDGE = "\x02"
@@ -205,17 +206,17 @@ class _Cache:
         return np.stack([np.bincount(doc, self.table[slot, j], n) for j in range(self.width)], axis=1)
 
 
-def _sampled(docs: DataFrame, text: str, lang: str, per_language: int, seed: int) -> tuple[DataFrame, list[str]]:
-    rows = tx.small_batches(docs).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(sizes)
-    draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20))
-    chosen = F.lit(False)
-    for name in languages:
-        share = min(1.0, per_language / sizes[name])
-        chosen = chosen | ((F.col("lang") == name) & (draw < int(share * (1 << 20))))
-    held = (F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.lit(5)) == 0).alias("held")
-    return rows.filter(chosen).select("text", "lang", held), languages
+def _sampled(docs: DataFrame, text: str, lang: str, per_language: int, seed: int) -> DataFrame:
+    """text, lang, held: the texts with the ``per_language`` smallest hashes of each language, each once."""
+    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = tx.small_batches(rows).withColumn("draw", F.xxhash64("text", F.lit(seed)))
+    # Copies are one text before they are ranked; each task sends the window only its first few of a language.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = rows.select("lang", "draw").distinct().withColumn("place", rank).filter(F.col("place") <= per_language)
+    # The smallest is always learnt from, so no language is lost to calibration.
+    drawn = drawn.select("lang", "draw", (F.col("place") % 5 == 0).alias("held"))
+    found = rows.join(F.broadcast(drawn), ["lang", "draw"])  # per_language short rows for each language
+    return found.groupBy("lang", "draw", "held").agg(F.first("text").alias("text")).select("text", "lang", "held")
 
 
 def _count(sample: DataFrame, order: int) -> DataFrame:
@@ -238,18 +239,19 @@ def _count(sample: DataFrame, order: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1000, order: int = ORDER, seed: int = 7) -> Model:
-    """Learn from about ``per_language`` documents of each language, a fifth of them for calibration.
+    """Learn from at most ``per_language`` different texts of each language, every fifth kept for calibration.
 
-    The sample is drawn by a hash of the text, so its size, the model and what the
-    driver gathers are bounded by ``per_language`` and the number of languages.
+    Texts are drawn by the smallest hashes, copies once, so the sample, the model and what
+    the driver gathers are bounded by ``per_language`` and the number of languages. A
+    language with at least one text that holds a letter is always learnt.
     """
-    sample, languages = _sampled(docs, text, lang, per_language, seed)
-    counts: dict[str, dict[str, int]] = {name: {} for name in languages}
-    for row in _count(sample.filter("NOT held"), order).toLocalIterator():
+    sample = stage_table(_sampled(docs, text, lang, per_language, seed), "languages")
+    counts: dict[str, dict[str, int]] = defaultdict(dict)
+    for row in _count(tx.small_batches(sample.filter("NOT held")), order).toLocalIterator():
         counts[row["lang"]][row["gram"]] = row["n"]
-    languages = [name for name in languages if counts[name]]
+    languages = sorted(counts)
     model = Model(languages, {name: train(counts[name], order) for name in languages}, order)
-    return _calibrate(model, sample.filter("held")) if languages else model
+    return _calibrate(model, tx.small_batches(sample.filter("held"))) if languages else model
 
 
 def _calibrate(model: Model, held: DataFrame) -> Model:

@@ -112,6 +112,28 @@ def test_languages_of_odd_rows(spark, odd, none, documents):
     assert language.identify(none).count() == 0
 
 
+def test_no_language_is_lost_and_copies_count_once(spark):
+    rows = [(f"{'abcdefghij'[i % 10]}{'klmnop'[i // 10]} word{'qrstuv'[i // 10]}", f"l{i:02d}") for i in range(60)]
+    rows += [("one copied text", "l00")] * 3000 + [(f"text number {'xy' * i}", "l01") for i in range(40)] + [("12 34", "l99"), (None, "l98")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    drawn = language._sampled(docs, "text", "lang", 25, 7)
+    sizes = {r["lang"]: r["n"] for r in drawn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {f"l{i:02d}": 1 for i in range(2, 60)} | {"l00": 2, "l01": 25}
+    assert drawn.filter("held").groupBy("lang").count().collect() == [("l01", 5)]
+    assert language.fit(docs, per_language=25).languages == [f"l{i:02d}" for i in range(60)]
+
+
+def test_predictions_equal_plain_kneser_ney(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit(docs, per_language=20)
+    scorer = language.Scorer(model.models, model.order)
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    for r in docs.filter("doc_id % 5 = 0").collect():
+        sums = scorer.words((r.text or "").split()).sum(0)
+        near = sums[:-1] - sums[:-1].min() < 1e-3 * max(sums[-1], 1)
+        assert got[r.doc_id] == "und" if not sums[-1] else got[r.doc_id] in [m for m, x in zip(model.languages, near, strict=True) if x]
+
+
 def test_kneser_ney_sums_to_one():
     import math
 
