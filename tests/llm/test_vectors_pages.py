@@ -77,6 +77,24 @@ def test_ties_between_scaled_copies_go_to_the_smallest_ids(spark, relax):
     assert all(s == got[100][0][1] for _, s in got[100])
 
 
+def test_clustered_vectors_meet_few_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 100)
+    draw = np.random.default_rng(3)
+    centres = draw.normal(size=(20, 8))
+    table = {i: centres[i % 20] + 0.05 * draw.normal(size=8) for i in range(2000)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in table.items()], "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 50 < 2")
+    points, queries = (neighbours._clean(x, "vec_id", "embedding") for x in (df, asked))
+    packs, _, index, shards = neighbours._two_passes(points, queries, 5, 1.0)
+    assert shards == index.count() >= 20
+    assert packs.agg(F.sum("n")).first()[0] < 0.3 * shards * asked.count()
+    got = found(neighbours.nearest_neighbours(df, asked))
+    want = brute_nearest(table, {i: v for i, v in table.items() if i % 50 < 2})
+    loose = found(neighbours.nearest_neighbours(df, asked, relax=20.0))
+    assert loose.keys() == want.keys() and all(len(x) == 5 for x in loose.values())
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.integers(0, 10**6), st.integers(2, 200), st.integers(1, 6))
 def test_trees_are_exact_at_factor_one(seed, n, dim):
@@ -86,7 +104,10 @@ def test_trees_are_exact_at_factor_one(seed, n, dim):
     ids = draw.permutation(len(vectors) * 3)[: len(vectors)]
     if len(ids) < 2:
         return
-    query, near, score = neighbours.Tree.build(ids, vectors).nearest(vectors[:5], ids[:5], 4, 1.0)
+    tree = neighbours.Tree.build(ids, vectors)
+    query, near, score, bound = tree.nearest(vectors[:5], ids[:5], 4, 1.0)
+    again = tree.nearest(vectors[:5], ids[:5], 4, 1.0, bound)
+    assert all((x == y).all() for x, y in zip(again, (query, near, score), strict=False))
     for q in range(min(5, len(ids))):
         v = vectors[q]
         cosine = (v * vectors).sum(1) / (np.sqrt((v * v).sum()) * np.sqrt((vectors * vectors).sum(1)))
