@@ -54,7 +54,10 @@ def _local(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, component) for links (a, b); component is the smallest node, which has a row too."""
+    """(node, component) for links (a, b); component is the smallest node, which has a row too.
+
+    Rounds grow as the logarithm of a component's size; more than ``most_rounds`` is an error, never a partial result.
+    """
     edges = stage_table(_local(edges).distinct(), "links")
     before = None
     for _ in range(most_rounds):

@@ -81,7 +81,8 @@ def cut_documents(
 
     Returns doc_id, piece (from 0), start, length, ids_crc32 and, if asked for,
     ids; further ``_task`` and ``_nth`` (rank among the task's pieces of this
-    length) for packing. A null or empty text is the end id alone. Repeated rows
+    length) for packing. The tokenizer must drop case and white space and cut at marks,
+    as uncased word-piece vocabularies do; ids of others would be wrong. A null or empty text is the end id alone. Repeated rows
     are cut alike; other columns are left out.
     """
     fields = [

@@ -159,14 +159,18 @@ def _trimmed(raw: bytes, start: int, end: int) -> tuple[int, int]:
 
 
 def _before(text: str, start: int) -> list[str] | None:
-    """The one or two words before a place where a word starts."""
+    """The one or two words before a place where a word starts, however long they are."""
     if start == 0 or text[start - 1] not in _SPACE:
         return None
-    begin = max(0, start - 400)
-    found = [m for m in _WORD.finditer(text, begin, start)]
-    if found and begin and found[0].start() == begin:
-        del found[0]
-    return [m[0] for m in found[-2:]]
+    back = 400  # looked back over; more until two whole words are seen
+    while True:
+        begin = max(0, start - back)
+        found = [m for m in _WORD.finditer(text, begin, start)]
+        if found and begin and found[0].start() == begin:
+            del found[0]
+        if len(found) >= 2 or not begin:
+            return [m[0] for m in found[-2:]]
+        back *= 4
 
 
 def _pattern_hashes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -204,6 +204,14 @@ def test_contexts_discover_identifiers(contexts):
     assert got.count((105, "email:0:6")) == 2 and (None, "email:5:11") in got
 
 
+def test_context_words_of_any_length():
+    for n in (1, 390, 399, 400, 401, 450, 5000):
+        long, gap = "w" * n, " " * n
+        for text, want in ((f"a {long} x@y.z", ["a", long]), (f"{long} of x@y.z", [long, "of"]), (f"{long}{gap}{long}\t{gap}x@y.z", [long, long]), (f"{gap}{long} x@y.z", [long])):
+            assert personal._before(text, text.index("x@y.z")) == want
+    assert personal._before("ax@y.z", 1) is None and personal._before("x@y.z", 0) is None
+
+
 def test_copies_are_no_evidence(spark):
     same = [(i, "Call the office line: +1 555 0100 2200 today") for i in range(9)] + [(20, "the office line: 0171-555-7788")]
     df = spark.createDataFrame(same, "doc_id long, text string")
