@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -55,8 +56,8 @@ def ml01(spark, sf):
 )
 def ml02(spark, sf):
     rows = churn_rows(spark, sf)
-    scaled = churn.feature_pipeline().fit(rows).transform(rows)
-    v = vector_to_array("scaled_features")
+    scaled = Pipeline(stages=churn.INPUTS.stages()).fit(rows).transform(rows)
+    v = vector_to_array("features")
     names = ["f_orders", "f_spent", "f_avg", "f_state"]
     return scaled.select("customer_id", *[F.round(v[i], 6).alias(n) for i, n in enumerate(names)])
 
@@ -134,7 +135,7 @@ def ml06_overall(spark, sf):
 @query("ml07_feature_importance")
 def ml07(spark, sf):
     (model,) = churn.fit(_churn_split(spark, sf)[0], churn.random_forest())
-    return features.importances(model.stages[-1], churn.FEATURES, spark)
+    return features.importances(model.stages[-1], churn.INPUTS.names, spark)
 
 
 @query("ml08_predictions")

@@ -1,20 +1,76 @@
-"""Splits, class weights, evaluation: shared by the models."""
+"""Inputs, splits, class weights, evaluation: shared by the models."""
 
 from __future__ import annotations
 
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import Transformer
+from pyspark.ml.base import Estimator
 from pyspark.ml.classification import ClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.numbers import mapped
+
 SEED = 42
 _BUCKETS = 1_000_000
 
 
+@dataclass(frozen=True)
+class Number:
+    """A numeric input. A missing value becomes ``default``; without one the row is left out."""
+
+    name: str
+    default: float | None = None
+
+
+@dataclass(frozen=True)
+class Category:
+    """A text input, as a number: from ``codes``, where other values become ``default``, or by rank of frequency, where missing ones do."""
+
+    name: str
+    default: str | int
+    codes: dict[str, int] | None = None
+
+
+class Inputs:
+    """What a model learns from. Fills, codes, the scaled vector and the names of importances follow from one list."""
+
+    def __init__(self, *columns: Number | Category, centred: bool = False) -> None:
+        self.names = [c.name for c in columns]
+        self.centred = centred
+        categories = [c for c in columns if isinstance(c, Category)]
+        self._coded = [c for c in categories if c.codes]
+        self._ranked = [c for c in categories if not c.codes]
+        self._needed = [c.name for c in columns if isinstance(c, Number) and c.default is None]
+        self._defaults = {c.name: c.default for c in columns if c not in self._coded and c.default is not None}
+        # Columns of the vector: numbers as they are, categories by their code.
+        self.vector = [f"{c.name}_code" if c in categories else c.name for c in columns]
+
+    def ready(self, df: DataFrame) -> DataFrame:
+        """Rows with all that is needed, gaps filled, fixed codes added."""
+        if self._needed:
+            df = df.dropna(subset=self._needed)
+        return df.fillna(self._defaults).withColumns(
+            {f"{c.name}_code": mapped(F.col(c.name), c.codes, c.default) for c in self._coded}
+        )
+
+    def stages(self) -> list[Estimator | Transformer]:
+        """Ranks of categories without codes, then the scaled vector ``features``."""
+        names = [c.name for c in self._ranked]
+        rank = [StringIndexer(inputCols=names, outputCols=[f"{n}_code" for n in names], handleInvalid="keep")] if names else []
+        return [
+            *rank,
+            VectorAssembler(inputCols=self.vector, outputCol="unscaled"),
+            StandardScaler(inputCol="unscaled", outputCol="features", withMean=self.centred),
+        ]
+
+
 @contextmanager
 def kept(df: DataFrame):
     """Hold training rows while an iterative fit reads them again and again."""

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.catalog import models
@@ -135,3 +137,86 @@ def test_topics_group_articles_by_their_words(spark):
     flat = topics.projection(assigned, ["title"])
     centre = flat.agg(F.avg("x"), F.avg("y")).first()
     assert flat.count() == 12 and all(abs(v) < 1e-6 for v in centre)
+
+
+def counted(pairs):
+    """label -> (precision, recall, F1, support), counted one by one."""
+    out = {}
+    for label in {x for pair in pairs for x in pair}:
+        hit = sum(a == p == label for a, p in pairs)
+        guessed, actual = sum(p == label for _, p in pairs), sum(a == label for a, _ in pairs)
+        precision, recall = hit / guessed if guessed else 0.0, hit / actual if actual else 0.0
+        out[label] = (precision, recall, 2 * precision * recall / (precision + recall) if hit else 0.0, actual)
+    return out
+
+
+def same_report(report, pairs):
+    got = {r["label"]: (r["precision"], r["recall"], r["f1"], r["support"]) for r in report.collect()}
+    want = counted(pairs)
+    return got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+
+
+def test_inputs_fill_code_and_name_their_columns(spark):
+    inputs = features.Inputs(features.Number("a"), features.Number("b", 1.5), features.Category("c", "?"), features.Category("d", 9, {"x": 4}))
+    df = spark.createDataFrame([(1.0, None, None, "x"), (None, 2.0, "u", "x"), (3.0, 2.0, "u", None)], "a double, b double, c string, d string")
+    assert rows(inputs.ready(df)) == [(1.0, 1.5, "?", "x", 4), (3.0, 2.0, "u", None, 9)]
+    assert inputs.names == ["a", "b", "c", "d"] and inputs.vector == ["a", "b", "c_code", "d_code"]
+
+
+def test_logistic_probabilities_follow_the_coefficients(spark, sf):
+    train, test = features.split(models.churn_rows(spark, sf), "customer_id")
+    (model,) = churn.fit(train, churn.logistic_regression())
+    scored = model.transform(test).select("prediction", vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p")).collect()
+    last = model.stages[-1]
+    for r in scored:
+        p = 1 / (1 + math.exp(-(float(np.dot(last.coefficients.toArray(), r.x)) + last.intercept)))
+        assert math.isclose(r.p, p, abs_tol=1e-9) and r.prediction == (r.p > 0.5)
+
+
+def test_churn_reports_equal_plain_counts(spark, sf):
+    scored = models.ml05(spark, sf).collect()
+    pairs = [(float(r.is_churn), r.prediction) for r in scored]
+    assert same_report(models.ml06(spark, sf), pairs)
+    overall = {r.measure: r.value for r in models.ml06_overall(spark, sf).collect()}
+    assert math.isclose(overall["accuracy"], sum(a == p for a, p in pairs) / len(pairs))
+    for a, p in set(pairs):
+        assert overall[f"{int(a)} predicted as {int(p)}"] == pairs.count((a, p))
+    found = models.ml07(spark, sf).collect()
+    assert {r.feature for r in found} == set(churn.INPUTS.names) and math.isclose(sum(r.importance for r in found), 1)
+
+
+def test_area_under_the_curve_counts_pairs_in_order(spark):
+    draw = np.random.default_rng(5)
+    scores = [(float(y), float(np.round(draw.normal(y), 1)) + 0.0) for y in draw.integers(0, 2, 300)]
+    df = spark.createDataFrame([(y, (y > 0.5) * 1.0, [-s, s]) for y, s in scores], "label double, prediction double, raw array<double>")
+    got = features.metrics(df.withColumn("rawPrediction", array_to_vector("raw")))
+    up, down = ([s for y, s in scores if y == side] for side in (1, 0))
+    want = sum((u > d) + 0.5 * (u == d) for u in up for d in down) / (len(up) * len(down))
+    assert math.isclose(got["auc"], want, abs_tol=1e-9) and got["accuracy"] == 1
+
+
+def test_fraud_report_equals_plain_counts(spark, sf):
+    claims = t.claims(spark, sf)
+    train, test = features.stratified_split(claims, "claim_id", "is_fraud")
+    scored = fraud.score(test.filter("is_fraud IS NOT NULL"), fraud.train(train, trees=10))
+    scored = scored.select(F.col("is_fraud").cast("double").alias("label"), "prediction")
+    assert same_report(features.class_report(features.confusion(scored)), [tuple(r) for r in scored.collect()])
+
+
+def test_clusters_are_of_the_nearest_mean(spark, sf):
+    vectors = {r.vec_id: np.array(r.embedding, float) for r in t.table(spark, sf, "embeddings").filter("embedding IS NOT NULL").collect()}
+    found = {r.vec_id: r.cluster for r in models.ml11(spark, sf).collect()}
+    assert found and found.keys() <= vectors.keys()
+    x, own = np.array([vectors[i] for i in found]), np.array(list(found.values()))
+    means = np.array([x[own == c].mean(0) for c in range(3)])
+    nearest = ((x[:, None] - means) ** 2).sum(2).argmin(1)
+    assert (nearest == own).mean() > 0.97  # rounds end after 20
+
+
+def test_forest_of_many_classes_counts_its_accuracy(spark, sf):
+    found = models.ml12(spark, sf).collect()
+    (accuracy,) = {r.accuracy for r in found}
+    assert math.isclose(accuracy, sum(r.label == r.prediction for r in found) / len(found))
+    species = {r.vec_id: str(r.label) for r in t.table(spark, sf, "embeddings").collect()}
+    names = sorted(set(species.values()))
+    assert {r.vec_id: names[int(r.label)] for r in found} == {r.vec_id: species[r.vec_id] for r in found}
