@@ -119,7 +119,13 @@ def _candidates(described: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Spanning links (a, b) between classes that share a list and may be alike."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
+            # Copies have one class and one prefix, so a task sends the first of them only.
+            new = [i for i, c in enumerate(batch.column("class").to_pylist()) if not (c in sent or sent.add(c))]
+            if not new:
+                continue
+            batch = batch.take(pa.array(new))
             classes, n = (batch.column(c).to_numpy() for c in ("class", "n_shingles"))
             prefix = batch.column("prefix").to_pylist()
             counts = np.array([len(x) // 8 for x in prefix], np.int64)

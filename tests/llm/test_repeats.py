@@ -259,3 +259,16 @@ def test_repeats_of_odd_rows(odd, none):
     assert rows(groups.filter("doc_id IN (1, 2, 3)").select("doc_id", "n_shingles", "component_id")) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
     for op in (substrings.remove_repeats, suffixes.remove_repeats, suffixes.strip_repeats, jaccard.near_duplicates):
         assert op(none).count() == 0
+
+
+def test_copies_send_their_prefix_once(spark):
+    """A third of the rows and more are one text; a task deals it once and its links stay."""
+    base = [f"w{i}" for i in range(60)]
+    near = [*base[:59], "other"]
+    texts = {i: " ".join(base) for i in range(400)} | {400 + i: " ".join([*near, f"z{i % 3}"]) for i in range(60)} | {900 + i: f"alone {i} of all the rest" for i in range(9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(2)
+    assert by_id(jaccard.near_duplicates(docs, size=3, percent=90), "n_shingles", "component_id") == brute_components(texts)
+    described = jaccard._describe(docs, 3, 90, 10**6)
+    assert described.filter("prefix IS NOT NULL").count() >= 460
+    links = jaccard._candidates(described, 90, 4)
+    assert links.select("a").union(links.select("b")).distinct().count() == 4
