@@ -16,7 +16,8 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.ml.features import SEED, kept
+from millrace.ml.features import SEED
+from millrace.session import release, stage_table
 
 
 def assemble(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,6 +40,7 @@ def squared_error(predictions: DataFrame, label: str) -> DataFrame:
 
 SEED_ROWS = 2_000  # rows that first centres are drawn from
 TOLERANCE = 1e-4  # a start rests when no centre moves further
+ROWS_AT_ONCE = 1_024  # vectors that a task holds with all their entries
 
 
 def kmeans_fit(rows: DataFrame, k: int, starts: int = 1, seed: int = SEED, most_rounds: int = 20) -> KMeansModel:
@@ -49,10 +51,13 @@ def kmeans_fit(rows: DataFrame, k: int, starts: int = 1, seed: int = SEED, most_
     are drawn from SEED_ROWS rows with the smallest hashes, each next one by its
     squared distance to those before. A cluster that has lost its rows keeps its
     centre. A start that rests takes no further part but for its cost.
+
+    The vectors are stored as they are, sparse ones by their entries alone; a task
+    spreads out ROWS_AT_ONCE of them at a time.
     """
-    features = rows.select(vector_to_array("features").alias("x"))
-    with kept(features) as held:
-        drawn = held.withColumn("h", F.xxhash64("x")).orderBy("h").limit(SEED_ROWS).collect()
+    held = stage_table(rows.select("features"), "vectors")
+    try:
+        drawn = held.select(vector_to_array("features").alias("x")).withColumn("h", F.xxhash64("x")).orderBy("h").limit(SEED_ROWS).collect()
         if not drawn:
             raise ValueError("there is no row to cluster")
         sample = np.array([r["x"] for r in drawn])
@@ -69,6 +74,8 @@ def kmeans_fit(rows: DataFrame, k: int, starts: int = 1, seed: int = SEED, most_
                 break
         # Costs belong to the centres before their last step: one more pass for all.
         cost = _round(held, centres)[2]
+    finally:
+        release(held)
     return _model(rows.sparkSession, centres[int(cost.argmin())])
 
 
@@ -87,8 +94,8 @@ def _round(vectors: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((starts, k * (dim + 1) + 1))
-        for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            x = _spread(batch, dim)
             norms = (x * x).sum(1)
             for s in range(starts):
                 d = norms[:, None] - 2 * (x @ centres[s].T) + (centres[s] ** 2).sum(1)
@@ -98,11 +105,21 @@ def _round(vectors: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
                 total[s] += np.concatenate([(member.T @ x).ravel(), member.sum(0), [np.maximum(d.min(1, initial=np.inf), 0).sum()]])
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["part"])
 
-    parts = vectors.mapInArrow(run, "part array<double>").select(F.posexplode("part")).groupBy("pos").agg(F.sum("col").alias("total"))
+    plain = vectors.select(F.unwrap_udt("features").alias("v"))
+    entries = plain.select(F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1)).alias("at"), F.col("v.values").alias("value"))
+    parts = entries.mapInArrow(run, "part array<double>").select(F.posexplode("part")).groupBy("pos").agg(F.sum("col").alias("total"))
     found = np.array([r["total"] for r in sorted(parts.collect(), key=lambda r: r["pos"])]).reshape(starts, -1)
     return found[:, : k * dim].reshape(starts, k, dim), found[:, k * dim : -1], found[:, -1]
 
 
+def _spread(batch: pa.RecordBatch, dim: int) -> np.ndarray:
+    """Rows of (places, values) with all their entries."""
+    x = np.zeros((batch.num_rows, dim))
+    row = np.repeat(np.arange(batch.num_rows), batch.column(0).value_lengths().to_numpy(zero_copy_only=False))
+    x[row, batch.column(0).flatten().to_numpy()] = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+    return x
+
+
 def _model(spark: SparkSession, centres: np.ndarray) -> KMeansModel:
     """The centres as Spark's own model, which scores inside the JVM."""
     jvm, listed = spark._jvm, spark._jvm.java.util.ArrayList()

@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import joined_text
-from millrace.ml.features import kept
 from millrace.ml.simple import kmeans_fit
 from millrace.plans import news
+from millrace.session import release, stage_table
 
 CLUSTERS = 8
 TERMS = 500
@@ -38,13 +38,14 @@ def term_stages() -> list:
     ]
 
 
-def weight_stages(terms: int = TERMS) -> list:
-    """The most frequent terms as one vocabulary, weighted and normalised."""
-    return [
-        CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=terms),
-        IDF(inputCol="counts", outputCol="weighted"),
-        Normalizer(inputCol="weighted", outputCol="features"),
-    ]
+def vocabulary(terms: int = TERMS) -> CountVectorizer:
+    """The most frequent terms."""
+    return CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=terms)
+
+
+def weight_stages() -> list:
+    """Counts of the vocabulary, weighted and normalised."""
+    return [IDF(inputCol="counts", outputCol="weighted"), Normalizer(inputCol="weighted", outputCol="features")]
 
 
 def with_body(articles: DataFrame) -> DataFrame:
@@ -56,11 +57,14 @@ def fit(articles: DataFrame, k: int = CLUSTERS, starts: int = 10, terms: int = T
     if articles.limit(k).count() < k:
         return None
     split = PipelineModel(term_stages())
-    # The vocabulary, the weights and every start of the clusters read the terms.
-    with kept(split.transform(with_body(articles)).select("terms")) as held:
-        weights = Pipeline(stages=weight_stages(terms)).fit(held)
-        clusters = kmeans_fit(weights.transform(held), k, starts)
-    return PipelineModel([*split.stages, *weights.stages]), clusters
+    words = split.transform(with_body(articles)).select("terms")
+    # Terms are several times the texts, so they are made twice and never kept; counts have at most ``terms`` entries a row.
+    counter = vocabulary(terms).fit(words)
+    counts = stage_table(counter.transform(words).select("counts"), "term-counts")
+    weights = Pipeline(stages=weight_stages()).fit(counts)
+    clusters = kmeans_fit(weights.transform(counts), k, starts)
+    release(counts)
+    return PipelineModel([*split.stages, counter, *weights.stages]), clusters
 
 
 def assign(articles: DataFrame, models: tuple[PipelineModel, KMeansModel] | None) -> DataFrame:
@@ -97,6 +101,7 @@ def projection(assigned: DataFrame, keys: list[str]) -> DataFrame:
             PCA(k=2, inputCol="centred", outputCol="xy"),
         ]
     )
-    rows = assigned.select(*keys, "features", "cluster")
+    # Read for the means, the components and the result.
+    rows = stage_table(assigned.select(*keys, "features", "cluster"), "weighted-articles")
     xy = vector_to_array("xy")
     return pipeline.fit(rows).transform(rows).select(*keys, xy[0].alias("x"), xy[1].alias("y"), "cluster")
