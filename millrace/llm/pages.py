@@ -7,16 +7,16 @@ line hashes. A line that most of these neighbours share is deleted: template lin
 are shared by all, a passage that two articles quote by few. A neighbour that shares
 four fifths of the characters is a near copy and has no vote.
 
-Markup overrules the alignment where it says what a line is: parts named as menus,
+Every page is aligned, and markup then checks what was found: parts named as menus,
 footers, sidebars, notices, adverts, forms or comments are never text, even if they
 differ from page to page; lines of an article element always are. A page with an
 article element has no other text. Where the only article stands inside a part named
 by its class or id, or inside a form, that part is a wrapper and the article is the
 text.
 
-Pages that markup decides are read once and never shuffled. Of the others only line
-hashes are sorted and compared; the pages themselves meet the decisions on their
-lists of lines.
+Pages are read once. Only line hashes are sorted and compared, in blocks of places
+that lie side by side; lines that may be text are stored, and meet the decisions on
+their page where one of them goes.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from millrace.operators.ordinal import with_ordinal
 from millrace.session import stage_table
 
 NEAREST = 3  # pages on each side
+BLOCK = 64  # pages that a task aligns together
 OFTEN = 64  # places from which the bits of a line are remembered
 TABLE = 1 << 28  # bits of the largest table
 PLAIN, ARTICLE, AROUND, INSIDE = 0, 1, 2, 3  # INSIDE: an article inside a part that may be a wrapper
@@ -268,23 +269,32 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return sorted(out)
 
 
-def lines_to_keep(own: list[int], kinds: list[int], neighbours: list[list[int]], sizes: list[int] | None = None) -> list[bool]:
-    """Which lines are the text; lines are hashes, neighbours the lines of pages near by, sizes the characters of each line."""
-    if ARTICLE in kinds:
-        return [k == ARTICLE for k in kinds]
-    keep = [k == PLAIN for k in kinds]
-    size = [n for n, k in zip(sizes or [1] * len(own), keep, strict=True) if k]
-    own = [x for x, k in zip(own, keep, strict=True) if k]
+def may_be_text(kinds: list[int]) -> list[bool]:
+    """Which lines markup leaves: those of the article, or of a page without one all that are in no named part."""
+    wanted = ARTICLE if ARTICLE in kinds else PLAIN
+    return [k == wanted for k in kinds]
+
+
+def differing(own: list[int], neighbours: list[list[int]], sizes: list[int]) -> list[bool]:
+    """Which lines most neighbours do not share at an aligned place."""
     votes, voters = [0] * len(own), 0
     for other in neighbours:
         common = common_lines(own, other)
-        if 5 * sum(size[i] for i in common) >= 4 * sum(size):  # a near copy, or nothing to tell apart
+        if 5 * sum(sizes[i] for i in common) >= 4 * sum(sizes):  # a near copy, or nothing to tell apart
             continue
         voters += 1
         for i in common:
             votes[i] += 1
-    text = iter([2 * v <= voters for v in votes])
-    return [k and next(text) for k in keep]
+    return [2 * v <= voters for v in votes]
+
+
+def lines_to_keep(own: list[int], kinds: list[int], neighbours: list[list[int]], sizes: list[int] | None = None) -> list[bool]:
+    """Which lines are the text; lines are hashes, neighbours the lines of pages near by, sizes the characters of each line."""
+    aligned = [i for i, k in enumerate(kinds) if k in (PLAIN, ARTICLE)]  # the others are no text wherever they stand
+    size = sizes or [1] * len(own)
+    found = {i for i, d in zip(aligned, differing([own[i] for i in aligned], neighbours, [size[i] for i in aligned]), strict=True) if d}
+    # The check: an article holds all of the text, its shared lines included.
+    return [m and (k == ARTICLE or i in found) for i, (m, k) in enumerate(zip(may_be_text(kinds), kinds, strict=True))]
 
 
 def _hashes(lines: list[str]) -> np.ndarray:
@@ -294,40 +304,34 @@ def _hashes(lines: list[str]) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of each page as hashes, kinds and sizes, and its text if markup decides it; else the page goes on."""
+    """Lines of each page as hashes, kinds and sizes, and those that may be its text as they are."""
     for batch in tx.slices(batches, "html"):
-        rows: list[tuple[str, str, bytes, bytes, bytes, str | None, str | None]] = []
+        rows: list[tuple[str, str, bytes, bytes, bytes, str]] = []
         for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
             lines, kinds = page_lines(html or "")
-            text = None
-            if ARTICLE in kinds or PLAIN not in kinds:
-                text = "\n".join(line for line, k in zip(lines, kinds, strict=True) if k == ARTICLE)
             sizes = np.fromiter(map(len, lines), np.int32, len(lines))
-            rows.append((*place_of(url), _hashes(lines).tobytes(), bytes(kinds), sizes.tobytes(), text, html if text is None else None))
-        columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(),) * 2 + (pa.binary(),) * 3 + (pa.string(),) * 2, strict=True)]
-        names = ["host", "path", "hashes", "kinds", "sizes", "text", "html"]
+            text = "\n".join(line for line, m in zip(lines, may_be_text(kinds), strict=True) if m)
+            rows.append((*place_of(url), _hashes(lines).tobytes(), bytes(kinds), sizes.tobytes(), text))
+        columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(),) * 2 + (pa.binary(),) * 3 + (pa.string(),), strict=True)]
+        names = ["host", "path", "hashes", "kinds", "sizes", "text"]
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *columns], ["page_id", "url", *names])
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        classes, out = [], []
-        for target, near in zip(batch.column("target").to_pylist(), batch.column("near").to_pylist(), strict=True):
-            mine = next(x for x in near if x["place"] == target)
-            others = [x["hashes"] for x in sorted(near, key=lambda x: x["place"]) if x["hashes"] != mine["hashes"]]
-            own, *beside = (np.frombuffer(x, np.int64).tolist() for x in (mine["hashes"], *others))
-            classes.append(mine["class"])
-            out.append(bytes(lines_to_keep(own, list(mine["kinds"]), beside, np.frombuffer(mine["sizes"], np.int32).tolist())))
-        yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(out, pa.binary())], ["class", "keep"])
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in tx.slices(batches, "html"):
-        texts = []
-        for html, keep in zip(batch.column("html").to_pylist(), batch.column("keep").to_pylist(), strict=True):
-            lines, _ = page_lines(html or "")
-            texts.append("\n".join(line for line, k in zip(lines, keep, strict=True) if k))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+def _decide(group: pa.Table) -> pa.Table:
+    """Of each page of a block, which of the lines that may be text are it. Pages beside the block stand in it as neighbours."""
+    pages = sorted(group.to_pylist(), key=lambda x: x["place"])
+    lines = [np.frombuffer(x["hashes"], np.int64).tolist() for x in pages]
+    classes, out = [], []
+    for i, page in enumerate(pages):
+        if (page["place"] - 1) // BLOCK != page["block"]:
+            continue
+        beside = range(max(0, i - NEAREST), min(len(pages), i + NEAREST + 1))  # places have no gaps
+        others = [lines[j] for j in beside if pages[j]["host"] == page["host"] and pages[j]["hashes"] != page["hashes"]]
+        kinds = list(page["kinds"])
+        keep = lines_to_keep(lines[i], kinds, others, np.frombuffer(page["sizes"], np.int32).tolist())
+        classes.append(page["class"])
+        out.append([k for k, m in zip(keep, may_be_text(kinds), strict=True) if m])
+    return pa.table([pa.array(classes, pa.int64()), pa.array(out, pa.list_(pa.bool_()))], ["class", "keep"])
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -339,17 +343,18 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     """
     source = tx.small_batches(pages).select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     kind = source.schema["page_id"].dataType.simpleString()
-    sketch = source.mapInArrow(_sketch, f"page_id {kind}, url string, host string, path string, hashes binary, kinds binary, sizes binary, text string, html string")
+    sketch = source.mapInArrow(_sketch, f"page_id {kind}, url string, host string, path string, hashes binary, kinds binary, sizes binary, text string")
     read = stage_table(sketch.withColumn("class", F.xxhash64("host", "hashes", "kinds")), "pages")
     # Pages of one host with the same lines are one page here, at the first of their paths.
     same = [F.first(c).alias(c) for c in ("hashes", "kinds", "sizes")]
-    lists = read.groupBy("class").agg(F.min("host").alias("host"), F.min("path").alias("path"), F.min(F.col("text").isNull()).alias("open"), *same)
+    lists = read.groupBy("class").agg(F.min("host").alias("host"), F.min("path").alias("path"), *same)
     placed = with_ordinal(lists, ["host", "path", "class"], "place")
-    wanted = placed.filter("open").select(F.col("place").alias("target"), F.col("host").alias("of"), F.explode(F.sequence(F.col("place") - NEAREST, F.col("place") + NEAREST)).alias("place"))
-    met = wanted.join(placed, "place").filter("host = of").groupBy("target").agg(F.collect_list(F.struct("place", "class", "hashes", "kinds", "sizes")).alias("near"))
-    decided = met.mapInArrow(_decide, "class long, keep binary")
-    # Copies share a decision; Spark splits the rows of a large group, as the decisions are one row each.
-    rest = read.filter("text IS NULL").select("page_id", "url", "html", "class").join(decided, "class")
-    cut = rest.select("page_id", "url", "html", "keep").mapInArrow(_cut, f"page_id {kind}, url string, text string")
-    done = read.filter("text IS NOT NULL").select("page_id", "url", "text")
-    return done.unionAll(cut).withColumn("n_chars", F.length("text").cast("long"))
+    # A page stands in its own block, and within NEAREST of a border in the next one as well.
+    blocks = F.array_distinct(F.array(*[F.floor((F.col("place") - 1 + d) / BLOCK) for d in (-NEAREST, 0, NEAREST)]))
+    beside = placed.select("place", "host", "class", "hashes", "kinds", "sizes", F.explode(blocks).alias("block"))
+    decided = beside.groupBy("block").applyInArrow(_decide, "class long, keep array<boolean>")
+    # Copies share a decision. Texts stay where they are unless many lists lose lines: only those decisions are stored and meet them.
+    less = stage_table(decided.filter(F.exists("keep", lambda k: ~k)), "page-cuts")
+    cut = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: F.get("keep", i)), "\n")
+    text = F.when(F.col("keep").isNull(), F.col("text")).otherwise(cut).alias("text")
+    return read.join(less, "class", "left").select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("long"))

@@ -4,6 +4,7 @@ import html
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -155,6 +156,20 @@ def test_alignment_alone_finds_the_article(spark):
         assert got[page] == "\n".join(x for x, k in zip(lines, keep, strict=True) if k)
 
 
+def test_pages_with_an_article_are_aligned_as_well(monkeypatch):
+    met = []
+    real = pages.common_lines
+    monkeypatch.setattr(pages, "common_lines", lambda a, b: met.append((a, b)) or real(a, b))
+    kinds = [pages.AROUND, pages.ARTICLE, pages.PLAIN, pages.ARTICLE, pages.AROUND]
+    assert pages.lines_to_keep([9, 1, 2, 3, 8], kinds, [[9, 2, 3, 8], [9, 2, 8]]) == [False, True, False, True, False]
+    assert met == [([1, 2, 3], [9, 2, 3, 8]), ([1, 2, 3], [9, 2, 8])]
+    # A block decides on its own pages; those of the next block stand in it as neighbours only.
+    own = [{"block": 0, "host": "h", "class": p, "place": p, "hashes": np.array([7, p]).tobytes(), "kinds": bytes([pages.ARTICLE, pages.PLAIN]), "sizes": np.array([3, 3], np.int32).tobytes()} for p in range(62, 68)]
+    del met[:]
+    done = pages._decide(pa.Table.from_pylist(own)).to_pylist()
+    assert done == [{"class": p, "keep": [True]} for p in (62, 63, 64)] and len(met) == 3 + 4 + 5
+
+
 def test_template_of_short_pages_and_runs_of_copies_goes(spark):
     template = "".join(f"<p>Tmpl {i}</p>" for i in range(15))
     page = "<html><body><div>{t}</div><div>{own}</div></body></html>"
