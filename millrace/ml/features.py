@@ -19,6 +19,8 @@ from millrace.functions.numbers import mapped
 
 SEED = 42
 _BUCKETS = 1_000_000
+LARGE = 100_000  # rows of one class that a single task may get
+MOST_CLASSES = 10_000  # that may be broadcast, with one row each
 
 
 @dataclass(frozen=True)
@@ -91,6 +93,21 @@ def split(df: DataFrame, key: str, train: float = 0.8, seed: int = SEED) -> tupl
     return df.filter(inside), df.filter(~inside)
 
 
+def _beside(sizes: DataFrame, per_class: DataFrame) -> DataFrame:
+    """One row per class, ready to be joined: broadcast if a class is large, as a shuffle would send all its rows to one task.
+
+    Few non-empty partitions keep AQE from doing so, and a cached plan is not split.
+    """
+    classes, largest = sizes.agg(F.count(F.lit(1)), F.max("_n")).first()
+    return F.broadcast(per_class) if classes <= MOST_CLASSES and (largest or 0) > LARGE else per_class
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows in partitions of about LARGE, so that an iterative fit holds blocks that fit beside each other in memory."""
+    parts = df.count() // LARGE
+    return df.repartition(parts) if parts > 1 else df
+
+
 def stratified_split(df: DataFrame, key: str, label: str, train: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """As ``split``, with the share kept in every class: each class has its own cut on the hash.
 
@@ -98,7 +115,8 @@ def stratified_split(df: DataFrame, key: str, label: str, train: float = 0.8, se
     """
     marked = df.withColumn("_b", _bucket(key, seed))
     cuts = marked.groupBy(F.col(label).alias("_label")).agg(F.percentile_approx("_b", train, 10_000).alias("_cut"))
-    joined = marked.join(cuts, F.col(label).eqNullSafe(F.col("_label")))
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    joined = marked.join(_beside(sizes, cuts), F.col(label).eqNullSafe(F.col("_label")))
     columns = df.columns
     return (
         joined.filter(F.col("_b") <= F.col("_cut")).select(*columns),
@@ -114,7 +132,7 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     weights = sizes.select(
         label, (F.sum("_n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("_n"))).alias(name)
     )
-    return df.join(weights, label)
+    return df.join(_beside(sizes, weights), label)
 
 
 def confusion(predictions: DataFrame, label: str = "label") -> DataFrame:

@@ -55,6 +55,21 @@ def test_forest_takes_any_number_of_states(spark):
     assert model.transform(df).filter("prediction = is_churn").count() > 700
 
 
+def test_rows_of_a_large_class_are_not_dealt_by_class(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 20 == 0).cast("int").alias("y"))
+    sides = [rows(side) for side in features.stratified_split(df, "k", "y")]
+    weights = rows(features.balanced_weights(df, "y").select("k", "weight"))
+    monkeypatch.setattr(features, "LARGE", 200)
+    found = features.stratified_split(df, "k", "y")
+    weighted = features.balanced_weights(df, "y")
+    assert [rows(side) for side in found] == sides and rows(weighted.select("k", "weight")) == weights
+    # Without the hint a class goes to one task wherever few partitions are filled, or the plan is cached.
+    assert all("BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString() for df in (*found, weighted))
+    assert features.spread(df).rdd.getNumPartitions() == 15
+    monkeypatch.setattr(features, "MOST_CLASSES", 1)
+    assert rows(features.balanced_weights(df, "y").select("k", "weight")) == weights
+
+
 def test_balanced_weights_sum_to_the_rows(spark):
     df = spark.createDataFrame([(i, int(i < 10)) for i in range(100)], "k int, label int")
     weighted = features.balanced_weights(df, "label")
