@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordinal import with_ordinal
 from millrace.operators.skew import salted_join, salted_outer_join
+from millrace.session import stage_table
 
 
 def inner(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -75,23 +76,37 @@ def beside(left: DataFrame, right: DataFrame, left_order: list[str], right_order
     return a.join(b, "ordinal", how)
 
 
-def two_hops(edges: DataFrame, people: DataFrame) -> DataFrame:
+def two_hops(edges: DataFrame, people: DataFrame, most_paths: int = 1_000_000) -> DataFrame:
     """For each asked person, the friends of friends who are not yet friends.
 
     ``edges`` has (src, dst); ``people`` has (src), any number of them. Only the
     lists of people that an asked person knows are met, and the list of one who is
-    known to many, or knows many, is spread over many tasks. Paths are reduced to
-    distinct pairs before the anti join. ``edges`` is read several times, so store
-    costly ones first.
+    known to many is spread over many tasks. Lists travel whole and are reduced in
+    the row of the person, which holds no more than ``most_paths`` names. Those who
+    reach more have their paths built one by one, reduced to distinct pairs before
+    the anti join. ``edges`` is read several times, so store costly ones first.
     """
     links = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     first = links.join(people.select("src").distinct(), "src", "left_semi")
     hop = links.select(F.col("src").alias("dst"), F.col("dst").alias("suggested"))
     hop = hop.join(first.select("dst").distinct(), "dst", "left_semi")
+    lengths = hop.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
+    reach = first.join(lengths, "dst", "left").groupBy("src").agg(F.sum(F.coalesce("n", F.lit(0)) + 1).alias("paths"))
+    wide = stage_table(reach.filter(F.col("paths") > most_paths).select("src"), "wide")
+    usual = first.join(wide, "src", "left_anti")
+
+    # Nobody usual knows a longer list.
+    short = hop.join(lengths.filter(F.col("n") <= most_paths).select("dst"), "dst", "left_semi")
+    lists = short.groupBy("dst").agg(F.sort_array(F.collect_list("suggested")).alias("list"))
+    met = salted_join(usual, lists, ["dst"], salt_by=["src"]).groupBy("src").agg(F.array_distinct(F.flatten(F.collect_list("list"))).alias("met"))
+    known = usual.groupBy("src").agg(F.collect_list("dst").alias("known"))
+    fresh = F.array_except(F.array_except("met", "known"), F.array("src"))
+    few = met.join(known, "src").select("src", F.explode(fresh).alias("suggested"))
+
     paths = (
-        salted_join(hop, first, ["dst"], salt_by=["suggested"])
+        salted_join(hop, first.join(wide, "src", "left_semi"), ["dst"], salt_by=["suggested"])
         .filter(F.col("suggested") != F.col("src"))
         .select("src", "suggested")
         .distinct()
     )
-    return paths.join(links.withColumnRenamed("dst", "suggested"), ["src", "suggested"], "left_anti")
+    return few.unionByName(paths.join(links.withColumnRenamed("dst", "suggested"), ["src", "suggested"], "left_anti"))
