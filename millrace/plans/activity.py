@@ -10,6 +10,7 @@ from millrace.operators.aggregates import conditional_counts, group_count
 from millrace.operators.ordinal import with_ordinal
 from millrace.operators.sets import union_all
 from millrace.operators.skew import hot_keys, salted_join
+from millrace.operators.windows import top_n_per_group
 from millrace.session import stage_table
 
 
@@ -166,7 +167,9 @@ def least_connected(edges: DataFrame, k: int = 1) -> DataFrame:
     )
 
 
-def friend_suggestions(edges: DataFrame, k: int = 10, most_paths: int = 1_000_000, wide: int = 1_000) -> DataFrame:
+def friend_suggestions(
+    edges: DataFrame, k: int = 10, most_paths: int = 1_000_000, wide: int = 1_000, task_paths: int = 1_000_000
+) -> DataFrame:
     """For everybody, the ``k`` people they do not know with most friends in common: src, suggested, common, place.
 
     ``edges`` has (src, dst). Paths of two steps are counted per pair, ties go to
@@ -181,6 +184,8 @@ def friend_suggestions(edges: DataFrame, k: int = 10, most_paths: int = 1_000_00
       ``k`` beyond their own friends and themselves.
     * Someone with more than ``wide`` friends has all their paths built, so a set's
       ranking is never needed further than that.
+
+    A task counts about ``task_paths`` paths, however many there are in all.
     """
     links = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     links = stage_table(links, "links")
@@ -188,29 +193,92 @@ def friend_suggestions(edges: DataFrame, k: int = 10, most_paths: int = 1_000_00
     knowing = links.groupBy(F.col("dst").alias("mid")).agg(F.count(F.lit(1)).alias("n"))
     hubs = knowing.join(known, F.col("mid") == F.col("src")).filter(F.col("n") * F.col("friends") > most_paths).select("mid")
     hubs = stage_table(hubs, "hubs")
-    broad = known.filter(F.col("friends") > wide).select("src")
     first, second = links.select("src", F.col("dst").alias("mid")), links.select(F.col("src").alias("mid"), "dst")
+    barred = links.unionByName(known.select("src", F.col("src").alias("dst")))
+    if hubs.isEmpty():
+        return _best_suggestions(_two_step_counts(first, second, barred, task_paths), k)
 
+    broad = known.filter(F.col("friends") > wide).select("src")
     usual = first.join(broad, "src", "left_anti")
-    steps = usual.join(hubs, "mid", "left_anti").unionByName(first.join(broad, "src", "left_semi"))
-    paths = steps.join(second, "mid").filter(F.col("src") != F.col("dst"))
-    direct = paths.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("common"))
-
     led = usual.join(hubs, "mid", "left_semi").groupBy("src").agg(F.sort_array(F.collect_set("mid")).alias("hubs"))
     led = stage_table(led.select("src", "hubs", F.xxhash64("hubs").alias("kind")).join(known, "src"), "led")
     kinds = led.groupBy("kind").agg(F.first("hubs").alias("hubs")).select("kind", F.explode("hubs").alias("mid"))
-    through = kinds.join(second, "mid").groupBy("kind", "dst").agg(F.count(F.lit(1)).alias("via"))
-    through = stage_table(through, "through")
+    through = _two_step_counts(kinds.withColumnRenamed("kind", "src"), second, None, task_paths)
+    through = stage_table(through.select(F.col("src").alias("kind"), "dst", F.col("common").alias("via")), "through")
 
-    both = direct.join(led.select("src", "kind"), "src", "left").join(through, ["kind", "dst"], "left")
+    plain = _two_step_counts(first.join(led, "src", "left_anti"), second, barred.join(led, "src", "left_anti"), task_paths)
+
+    # The set goes with the person through the count, so the counted pairs need not meet it again.
+    person = F.struct("src", "kind").alias("src")
+    kind_of = led.select("src", "kind")
+    steps = usual.join(hubs, "mid", "left_anti").join(kind_of, "src").select(person, "mid")
+    direct = _two_step_counts(steps, second, barred.join(kind_of, "src").select(person, "dst"), task_paths)
+    both = direct.select("src.src", "src.kind", "dst", "common").join(through, ["kind", "dst"], "left")
     both = both.select("src", "dst", (F.col("common") + F.coalesce("via", F.lit(0))).alias("common"))
+    # A pair left out here has a larger count than its set's, and k others of the person are before it.
+    both = _best_suggestions(both, k).select("src", F.col("suggested").alias("dst"), "common")
+
     order = Window.partitionBy("kind").orderBy(F.desc("via"), F.asc("dst"))
     ranked = through.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + wide + 1)
     near = F.col("place") <= F.lit(k + 1) + F.col("friends")
     hub_only = led.alias("a").join(ranked.alias("b"), (F.col("a.kind") == F.col("b.kind")) & near).select("src", "dst", F.col("via").alias("common"))
-
+    hub_only = hub_only.filter(F.col("src") != F.col("dst")).join(links, ["src", "dst"], "left_anti")
     found = both.unionByName(hub_only).groupBy("src", "dst").agg(F.max("common").alias("common"))
-    found = found.filter(F.col("src") != F.col("dst")).join(links, ["src", "dst"], "left_anti")
-    best = Window.partitionBy("src").orderBy(F.desc("common"), F.asc("dst"))
-    top = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+    return _best_suggestions(plain.unionByName(found), k)
+
+
+def _best_suggestions(found: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` of each person in (src, dst, common), by ``common`` and then the smaller id."""
+    top = top_n_per_group(found, ["src"], [F.desc("common"), F.asc("dst")], k, rank="place")
     return top.select("src", F.col("dst").alias("suggested"), "common", "place")
+
+
+def _two_step_counts(steps: DataFrame, second: DataFrame, barred: DataFrame | None, task_paths: int, piece: int = 1_000) -> DataFrame:
+    """How many of the (src, mid) of ``steps`` lead on to each (mid, dst) of ``second``: src, dst, common.
+
+    Pairs of ``barred`` (src, dst) are not returned. Friends travel as lists of about
+    ``piece`` ids to the task that counts all pairs of a person. Spark plans tasks by
+    the size of the links, of which there are far fewer than paths, so the number of
+    tasks is set here by the number of paths: whoever has more than ``task_paths`` of
+    them is spread over several tasks by ``dst``, and the followers of one with more
+    than that by ``src``.
+    """
+
+    def share(paths: Column) -> Column:
+        return F.ceil(paths / F.lit(task_paths)).cast("int")
+
+    def slot(dst: Column) -> Column:
+        return F.pmod(F.xxhash64(dst), F.col("slots")).cast("int")
+
+    ahead = second.groupBy("mid").agg(F.count(F.lit(1)).alias("friends"))
+    behind = steps.groupBy("mid").agg(F.count(F.lit(1)).alias("n"))
+    mids = ahead.join(behind, "mid").select("mid", "friends", share(F.col("n") * F.col("friends")).alias("parts"))
+    mids = stage_table(mids, "mids")
+    steps = stage_table(steps.join(mids, "mid"), "steps")
+    paths = steps.agg(F.coalesce(F.sum("friends"), F.lit(0))).first()[0]
+    fewest = steps.sparkSession.sparkContext.defaultParallelism
+    tasks = max(fewest, -(-paths // task_paths))
+
+    heavy = steps.groupBy("src").agg(F.sum("friends").alias("paths")).filter(F.col("paths") > task_paths)
+    heavy = stage_table(heavy.select("src", share(F.col("paths")).alias("slots")), "heavy")
+    lists = (
+        second.join(mids, "mid")
+        .groupBy("mid", "parts", F.pmod(F.xxhash64("dst"), F.ceil(F.col("friends") / piece)).alias("piece"))
+        .agg(F.collect_list("dst").alias("dsts"))
+        .select("mid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "dsts")
+    )
+    spread = steps.join(heavy, "src", "left").select("src", "mid", "slots", F.pmod(F.xxhash64("src"), "parts").cast("int").alias("part"))
+    # These tasks only pass lists on, so each may hold some more of them.
+    senders = max(fewest, tasks // 4)
+    met = spread.repartition(senders, "mid", "part").join(lists.repartition(senders, "mid", "part"), ["mid", "part"])
+
+    whole = F.array(F.struct(F.lit(0).alias("slot"), F.col("dsts")))
+    one_by_one = F.transform("dsts", lambda dst: F.struct(slot(dst).alias("slot"), F.array(dst).alias("dsts")))
+    rows = met.select("src", F.explode(F.when(F.col("slots").isNull(), whole).otherwise(one_by_one)).alias("x"))
+    rows = rows.select("src", "x.slot", "x.dsts", F.lit(1).cast("long").alias("step"))
+    if barred is not None:
+        own = barred.join(heavy, "src", "left").select("src", F.coalesce(slot(F.col("dst")), F.lit(0)).alias("slot"), F.array("dst").alias("dsts"))
+        rows = rows.unionByName(own.withColumn("step", F.lit(None).cast("long")))
+    pairs = rows.repartition(tasks, "src", "slot").select("src", "slot", F.explode("dsts").alias("dst"), "step")
+    counted = pairs.groupBy("src", "slot", "dst").agg(F.count("step").alias("common"), F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("common") == F.col("rows")).select("src", "dst", "common")

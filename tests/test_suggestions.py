@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.plans import activity
 
@@ -44,6 +45,33 @@ def test_everybody_gets_the_best(spark, paths, wide):
     assert got == brute(edges, 10)
 
 
+@pytest.mark.parametrize("task_paths", [1, 60, 2000])
+@pytest.mark.parametrize(("paths", "wide"), [(10**6, 1000), (200, 8), (200, 1000)])
+def test_people_with_many_paths_are_spread(spark, paths, wide, task_paths):
+    edges = hub_graph(task_paths, people=40, others=100)
+    got = found(activity.friend_suggestions(spark.createDataFrame(edges, EDGES), 4, paths, wide, task_paths))
+    assert got == brute(edges, 4)
+
+
+def test_tasks_follow_the_number_of_paths(spark):
+    """Few links, many paths: no task counts many times its share, also of somebody who meets everybody."""
+    draw = random.Random(7)
+    links = {(a, b) for a in range(300) for b in draw.sample(range(300), 20)} | {(0, b) for b in range(300)} | {(a, 0) for a in range(300)}
+    links = {(a, b) for a, b in links if a != b}
+    df = spark.createDataFrame(sorted(links), EDGES)
+    first, second = df.select("src", F.col("dst").alias("mid")), df.select(F.col("src").alias("mid"), "dst")
+    counted = activity._two_step_counts(first, second, None, 500, piece=100)
+    rows = counted.withColumn("task", F.spark_partition_id()).collect()
+    knows = defaultdict(set)
+    for a, b in links:
+        knows[a].add(b)
+    want = Counter((a, c) for a, b in links for c in knows[b])
+    assert {(r.src, r.dst): r.common for r in rows} == want
+    assert len(rows) == len(want)
+    assert max(Counter(r.task for r in rows).values()) < 4 * 500
+    assert len({r.task for r in rows if r.src == 0}) > 5
+
+
 def test_paths_through_a_hub_are_not_built(spark):
     """2,000 people know one hub who knows them all: four million paths, of which few rows come to be."""
     n = 2000
