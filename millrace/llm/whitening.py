@@ -161,7 +161,10 @@ def chebyshev(product: Product, q: np.ndarray, low: float, high: float, top: flo
 
 
 def leading(product: Product, dim: int, k: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(eigenvalues falling, unit eigenvectors, residuals beside the largest) of the ``k`` leading pairs."""
+    """(eigenvalues falling, unit eigenvectors, residuals beside the largest) of the ``k`` leading pairs.
+
+    A block that lies within a flat part of the spectrum parts its pairs hardly at all; if its rounds run out, it is doubled.
+    """
     k = min(k, dim)
     width = min(dim, k + max(k, 16))
     draw = np.random.default_rng(seed)
@@ -170,8 +173,9 @@ def leading(product: Product, dim: int, k: int, seed: int = 11) -> tuple[np.ndar
     if width < dim:
         low, top, level = bounds(product, dim, LANCZOS, draw)
         high = level(width)
-    best, stuck = np.inf, 0
-    for _ in range(MOST_ROUNDS):
+    best, stuck, rounds = np.inf, 0, 0
+    while rounds < MOST_ROUNDS:
+        rounds += 1
         if width < dim and low < high < top:
             degree = int(np.log(2 * GROWTH) / np.arccosh(max(1.01, (2 * top - high - low) / (high - low))))
             q = np.linalg.qr(chebyshev(product, q, low, high, top, min(DEGREE, max(1, degree))))[0]
@@ -190,6 +194,10 @@ def leading(product: Product, dim: int, k: int, seed: int = 11) -> tuple[np.ndar
         high, top = float(values[-1]), max(top, float(values[0]))
         if not low < high:  # the unwanted part is flat, or nothing is left of it
             low = max(0.0, high - 1e-3 * size)
+        if rounds == MOST_ROUNDS and width < dim:
+            width = min(dim, 2 * width)
+            q = np.linalg.qr(np.hstack([q, draw.standard_normal((dim, width - q.shape[1]))]))[0]
+            best, stuck, rounds = np.inf, 0, 0
     raise ArithmeticError(f"eigenpairs are not certified after {MOST_ROUNDS} rounds: residual {best:.1e}")
 
 

@@ -84,6 +84,17 @@ def test_subspace_iteration_finds_leading_pairs(seed, dim, k):
     assert residuals.max() <= whitening.LOOSE and np.allclose(vectors.T @ vectors, np.eye(len(found)), atol=1e-12)
 
 
+@pytest.mark.parametrize(("seed", "dim", "k"), [(88959, 66, 1), (865110, 34, 9), (855253, 69, 10)])
+def test_a_flat_part_wider_than_the_block(seed, dim, k):
+    draw = np.random.default_rng(seed)
+    q = np.linalg.qr(draw.normal(size=(dim, dim)))[0]
+    values = np.sort(draw.choice([0.0, 1.0, 1.0 + 1e-3, 2.0, 50.0, 1e4], dim) + draw.random(dim) * draw.choice([0, 1e-2]))[::-1] + 1e-3
+    matrix = (q * values) @ q.T
+    found, vectors, residuals = whitening.leading(lambda x: matrix @ x, dim, k)
+    assert np.allclose(found, values[:k], rtol=1e-9, atol=1e-9 * values[0]) and residuals.max() <= whitening.LOOSE
+    assert np.allclose(vectors.T @ vectors, np.eye(k), atol=1e-12)
+
+
 def test_large_entries_stay_exact(spark):
     rows = [(i, [1e9 * i, -3e9 * (i % 3), 0.5 * i], 0) for i in range(5)]
     df = spark.createDataFrame(rows, VECTORS)
