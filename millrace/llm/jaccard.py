@@ -11,8 +11,11 @@ with one set form a class, and only classes are compared.
    that occur once first, then by hash. Alike sets meet in a list of it. Within a
    list, counts of shingles in 64 cells bound the difference of two sets from
    below; what passes is a candidate. Lists send spanning links only.
-3. Components of the candidates are groups. Each group's whole sets meet in one
-   task, or in pairs of blocks if there are many. DivideSkip: a query merges its
+3. Components of the candidates are groups. Long sets share much by chance and 64
+   cells hardly tell them apart, so the members of a group of more than BLOCK first
+   meet by the parities of at least two cells for each shingle; only what may still
+   be alike stays together. Then each group's whole sets meet in one task, or in
+   pairs of blocks if there are many. DivideSkip: a query merges its
    short inverted lists and probes the long ones by binary search for those
    members that can still reach T. Queries ask about members not yet reached, and
    a task sends spanning links only.
@@ -21,7 +24,7 @@ with one set form a class, and only classes are compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log2
 
 import numpy as np
@@ -37,6 +40,7 @@ from millrace.session import stage_table
 
 CELLS = 64
 BLOCK = 512  # members of one group that meet in one task
+BITS_BLOCK = 2048  # the same, of parities alone
 U64 = np.uint64
 
 
@@ -80,9 +84,24 @@ class Sets:
         counts = np.bincount(self.doc * CELLS + cell, minlength=len(self.count) * CELLS)
         return np.minimum(counts, 255).astype(np.uint8).reshape(-1, CELLS)
 
+    def parities(self, some: np.ndarray) -> list[bytes | None]:
+        """One bit for each of ``bits_for`` cells of some documents: whether the number of shingles in it is odd."""
+        bits = np.where(some, bits_for(self.count), 0)
+        end = np.cumsum(bits)
+        of = some[self.doc]
+        doc = self.doc[of]
+        cell = (end - bits)[doc] + (self.hash[of] & (bits[doc] - 1).astype(U64)).astype(np.int64)
+        packed = np.packbits((np.bincount(cell, minlength=int(end[-1]) if len(end) else 0) & 1).astype(np.uint8))
+        return [packed[(e - n) >> 3 : e >> 3].tobytes() if n else None for e, n in zip(end.tolist(), bits.tolist(), strict=True)]
+
+
+def bits_for(n: np.ndarray) -> np.ndarray:
+    """Cells whose parities tell sets of n apart: a power of two from 2 n to 4 n, 64 at least."""
+    return 1 << np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64)
+
 
 def _describe(docs: DataFrame, size: int, percent: int, total: int) -> DataFrame:
-    """Per document: doc_id, n_shingles, class and, unless it is alone, its prefix and cells; stored."""
+    """Per document: doc_id, n_shingles, class and, unless it is alone, its prefix, cells and parities; stored."""
     share = min(1.0, 2 * (100 - percent) / 100)
     top = U64(int(share * (2**64 - 1)))
 
@@ -107,10 +126,10 @@ def _describe(docs: DataFrame, size: int, percent: int, total: int) -> DataFrame
             h, cells, some = s.hash[chosen], s.cells(), take > 0
             prefix = [h[a:b].tobytes() if ok else None for a, b, ok in zip(cut[:-1].tolist(), cut[1:].tolist(), some.tolist(), strict=True)]
             sketch = [c.tobytes() if ok else None for c, ok in zip(cells, some.tolist(), strict=True)]
-            columns = [batch.column("doc_id"), pa.array(s.count, pa.int64()), pa.array(s.classes()), pa.array(prefix, pa.binary()), pa.array(sketch, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "prefix", "cells"])
+            columns = [batch.column("doc_id"), pa.array(s.count, pa.int64()), pa.array(s.classes()), pa.array(prefix, pa.binary()), pa.array(sketch, pa.binary()), pa.array(s.parities(some), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "prefix", "cells", "bits"])
 
-    done = stage_table(docs.mapInArrow(run, "doc_id long, n_shingles long, class long, prefix binary, cells binary"), "sets")
+    done = stage_table(docs.mapInArrow(run, "doc_id long, n_shingles long, class long, prefix binary, cells binary, bits binary"), "sets")
     twice.unpersist()
     return done
 
@@ -119,13 +138,7 @@ def _candidates(described: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Spanning links (a, b) between classes that share a list and may be alike."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
         for batch in batches:
-            # Copies have one class and one prefix, so a task sends the first of them only.
-            new = [i for i, c in enumerate(batch.column("class").to_pylist()) if not (c in sent or sent.add(c))]
-            if not new:
-                continue
-            batch = batch.take(pa.array(new))
             classes, n = (batch.column(c).to_numpy() for c in ("class", "n_shingles"))
             prefix = batch.column("prefix").to_pylist()
             counts = np.array([len(x) // 8 for x in prefix], np.int64)
@@ -179,11 +192,81 @@ def _candidates(described: DataFrame, percent: int, buckets: int) -> DataFrame:
         nothing = [np.zeros(0, np.int64)]
         return pa.table({"a": np.concatenate(a + nothing), "b": np.concatenate(b + nothing)})
 
-    dealt = described.filter("prefix IS NOT NULL").select("class", "n_shingles", "prefix", "cells")
+    # Copies have one class and one prefix: a prefix takes a tenth of what its lists take, so copies go before it is dealt.
+    dealt = described.filter("prefix IS NOT NULL").select("class", "n_shingles", "prefix", "cells").dropDuplicates(["class"])
     met = dealt.mapInArrow(deal, "bucket long, lists binary, members binary, classes binary, sizes binary, cells binary").groupBy("bucket").applyInArrow(join, "a long, b long")
     return stage_table(met, "candidates")
 
 
+def differing(bits: list[bytes]) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A function (i, others) with the number of cells whose parities differ, which is never more than the elements that do.
+
+    Sets with numbers of cells more than twice apart count as differing in none.
+    """
+    length = np.array([len(b) for b in bits], np.int64)
+    place = np.zeros(len(bits), np.int64)
+    rows, halves = {}, {}
+    for n in np.unique(length).tolist():
+        own = np.flatnonzero(length == n)
+        place[own] = np.arange(len(own))
+        rows[n] = np.frombuffer(b"".join(bits[i] for i in own.tolist()), U64).reshape(len(own), -1)
+        if n > 8:  # the two halves of the cells laid over each other
+            halves[n] = rows[n][:, : n // 16] ^ rows[n][:, n // 16 :]
+
+    def count(i: int, others: np.ndarray) -> np.ndarray:
+        out, n = np.zeros(len(others), np.int64), int(length[i])
+        for m, mine, theirs in ((n, rows, rows), (n // 2, halves, rows), (2 * n, rows, halves)):
+            if n in mine and m in theirs:
+                at = np.flatnonzero(length[others] == m)
+                out[at] = np.bitwise_count(theirs[m][place[others[at]]] ^ mine[n][place[i]]).sum(1, dtype=np.int64)
+        return out
+
+    return count
+
+
+def _narrowed(described: DataFrame, groups: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """The groups, those of more than BLOCK members cut into the components of what may be alike by its parities."""
+    groups = stage_table(groups, "wide-groups")
+    counts = groups.groupBy(F.col("component").alias("group")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
+    counts = stage_table(counts, "large-groups")
+    if counts.isEmpty():
+        return groups
+    large = groups.join(counts, F.col("component") == F.col("group")).select("node", "group", F.ceil(F.col("n") / BITS_BLOCK).cast("int").alias("blocks"))
+    known = described.filter("bits IS NOT NULL").join(large, F.col("class") == F.col("node")).select("class", "n_shingles", "bits", "group", "blocks").dropDuplicates(["class"])
+    known = known.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    # A block meets every block of its group, itself included.
+    pairs = known.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "class", "n_shingles", "bits", "group", (F.col("block") > F.col("other")).cast("int").alias("side"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+
+    def find(table: pa.Table) -> pa.Table:
+        classes, n, group, side, low, high = (table.column(c).to_numpy() for c in ("class", "n_shingles", "group", "side", "low", "high"))
+        order = np.lexsort((classes, high, low, group))
+        classes, n, group, side, low, high = (x[order] for x in (classes, n, group, side, low, high))
+        bits, order = table.column("bits").combine_chunks(), order.tolist()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        cut = heads(group, low, high)
+        for start, stop in zip(cut.tolist(), [*cut[1:].tolist(), len(group)][: len(cut)], strict=True):
+            count, sides, one = n[start:stop], side[start:stop], low[start] == high[start]
+            apart = differing([bits[i].as_py() for i in order[start:stop]])
+
+            def may(i: int, others: np.ndarray, count: np.ndarray = count, sides: np.ndarray = sides, one: bool = one, apart: Callable = apart) -> np.ndarray:
+                x, y = int(count[i]), count[others]
+                room = x + y - 2 * overlap(x, y, percent)
+                near = (np.abs(x - y) <= room) & (one | (sides[others] != sides[i]))
+                near[near] = apart(i, others[near]) <= room[near]
+                return near
+
+            x, y = linked(stop - start, may)
+            a.append(classes[start:stop][x])
+            b.append(classes[start:stop][y])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    meeting = F.pmod(F.xxhash64("group", "low", "high"), F.lit(buckets)).alias("bucket")
+    links = stage_table(pairs.select(meeting, "*").groupBy("bucket").applyInArrow(find, "a long, b long"), "narrow-links")
+    return groups.join(counts, F.col("component") == F.col("group"), "left_anti").union(components(links))
+
+
 def search(sets: list[np.ndarray], sides: np.ndarray | None, percent: int, mu: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links between sorted sets that are alike, by DivideSkip.
 
@@ -309,7 +392,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, total >> 20)  # what meets in one task at once grows with a bucket
     described = _describe(docs, size, percent, total)
-    groups = components(_candidates(described, percent, buckets))
+    groups = _narrowed(described, components(_candidates(described, percent, buckets)), percent, buckets)
     linked_classes = components(_links(docs, described, groups, size, percent, buckets))
     classes = described.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     named = classes.join(linked_classes, classes["class"] == linked_classes["node"], "left").select(
@@ -327,14 +410,18 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
     """All columns of the documents with the smallest id of their group.
 
     Rows that repeat id and text stay once; rows of one id with different texts
-    stay or go together. Rows without an id belong to no group and stay. Only the
-    rows that a bit filter says may go, or may be repeated, are shuffled.
+    stay or go together. Rows without an id belong to no group and stay. Rows that
+    a bit filter of the ids that stay does not hold go where they are; only those
+    are shuffled that may go, or may be repeated, by a second filter.
     """
     groups = stage_table(near_duplicates(docs, doc_id, text, size, percent).filter("doc_id IS NOT NULL"), "groups")
     marks = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("_goes"), F.count(F.lit(1)).alias("_n"))
-    marks = stage_table(marks.filter("_goes OR _n > 1").select(F.col("doc_id").alias("_id"), "_goes"), "marks")
+    marks = stage_table(marks.select(F.col("doc_id").alias("_id"), "_goes", "_n"), "marks")
+    stay, marks = marks.filter("NOT _goes").select("_id"), marks.filter("_goes OR _n > 1").select("_id", "_goes")
     key = lambda ids: tx.mix(ids.to_numpy(zero_copy_only=False).view(U64))
-    touched = filters.share(docs.sparkSession, filters.build(marks, lambda b: key(b.column("_id")), float(marks.count()), keep="once"))
+    touched, staying = (
+        filters.share(docs.sparkSession, filters.build(ids, lambda b: key(b.column("_id")), float(ids.count()), keep="once")) for ids in (marks, stay)
+    )
     names = docs.columns
     boxed = docs.select(F.struct(*names).alias("row"), F.col(doc_id).cast("long").alias("id"))
 
@@ -342,8 +429,9 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column("id")
-                found = touched.value.has(key(ids.fill_null(0))) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(found == hit))
+                hashes, valid = key(ids.fill_null(0)), ids.is_valid().to_numpy(zero_copy_only=False)
+                found = touched.value.has(hashes) & valid
+                yield batch.filter(pa.array(found & staying.value.has(hashes) if hit else ~found))
 
         return boxed.mapInArrow(run, boxed.schema)
 

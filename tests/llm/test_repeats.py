@@ -7,6 +7,7 @@ import string
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import components, filters, jaccard, substrings, suffixes
@@ -272,3 +273,50 @@ def test_copies_send_their_prefix_once(spark):
     assert described.filter("prefix IS NOT NULL").count() >= 460
     links = jaccard._candidates(described, 90, 4)
     assert links.select("a").union(links.select("b")).distinct().count() == 4
+
+
+def test_parities_never_show_more_than_differs():
+    draw = np.random.default_rng(5)
+    words = [[f"w{i}" for i in draw.integers(0, 400, n)] for n in (3, 40, 60, 300, 340, 700, 2000)]
+    words += [w[:-2] + ["x", "y"] for w in words] + [w + w[: len(w) // 3] for w in words]
+    s = jaccard.Sets(pa.array([" ".join(w) for w in words]), 3)
+    sets = [set(s.hash[a:b].tolist()) for a, b in zip(s.first[:-1], s.first[1:], strict=True)]
+    bits = s.parities(np.ones(len(words), bool))
+    assert [8 * len(b) for b in bits] == jaccard.bits_for(s.count).tolist() and s.parities(np.zeros(len(words), bool)) == [None] * len(words)
+    apart, everyone = jaccard.differing(bits), np.arange(len(words))
+    for i, own in enumerate(sets):
+        found = apart(i, everyone)
+        assert all(n <= len(own ^ other) for n, other in zip(found.tolist(), sets, strict=True)) and found[i] == 0
+        alike = [j for j in range(len(words)) if j != i and len(bits[j]) == len(bits[i]) and len(sets[j] ^ own) < len(own) // 8]
+        assert all(found[j] > 0 for j in alike)
+
+
+def test_long_texts_that_share_passages_do_not_meet_whole(spark, monkeypatch):
+    """Chance alone fills 64 cells of long texts alike, so all of them were one group whose whole sets met pair by pair."""
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "BITS_BLOCK", 5)
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choices(string.ascii_lowercase, k=4))
+    passages = [" ".join(word() for _ in range(50)) for _ in range(120)]
+    long = [" ".join(draw.sample(passages, 60)) for _ in range(24)]
+    texts = dict(enumerate([*long, long[3] + " one more", long[5] + " and more", long[5]]))
+    docs = table(spark, texts.values())
+    described = jaccard._describe(docs, 3, 80, 10**6)
+    groups = components.components(jaccard._candidates(described, 80, 4))
+    assert groups.groupBy("component").count().agg({"count": "max"}).first()[0] > 20
+    assert groups.join(jaccard._narrowed(described, groups, 80, 4), "node", "right").groupBy("node").count().count() == 4
+    assert by_id(jaccard.near_duplicates(docs, size=3, percent=80), "n_shingles", "component_id") == brute_components(texts, 3, 80)
+
+
+def test_copies_go_where_they_are(spark, monkeypatch):
+    """Texts that only go are not shuffled: the join with the marks sees those that may stay."""
+    texts = [f"text {i} " + " ".join(f"{i}x{j}" for j in range(30)) for i in range(40)]
+    rows_ = [(i + 100 * copy, t) for copy in range(5) for i, t in enumerate(texts)] + [(3, texts[3]), (3, "another text of this id"), (None, texts[4])]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    asked = []
+    build = filters.build
+    monkeypatch.setattr(filters, "build", lambda ids, *a, **k: asked.append({r[0] for r in ids.collect()} if "_id" in ids.columns else None) or build(ids, *a, **k))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in jaccard.keep_first(docs).collect())
+    assert got == sorted([(False, i, t) for i, t in enumerate(texts)] + [(False, 3, "another text of this id"), (True, 0, texts[4])])
+    goes, stay = (ids for ids in asked if ids is not None)
+    assert stay == set(range(40)) and goes == {i + 100 * copy for copy in range(1, 5) for i in range(40)} | {3}
