@@ -92,17 +92,24 @@ def _round(vectors: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(sums, counts, costs) of the vectors nearest to each centre, for every start."""
     starts, k, dim = centres.shape
 
+    across, own_norms = np.ascontiguousarray(centres.reshape(-1, dim).T), (centres**2).sum(2)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((starts, k * (dim + 1) + 1))
+        sums, counts, cost = np.zeros((starts * k, dim)), np.zeros(starts * k), np.zeros(starts)
         for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             x = _spread(batch, dim)
-            norms = (x * x).sum(1)
-            for s in range(starts):
-                d = norms[:, None] - 2 * (x @ centres[s].T) + (centres[s] ** 2).sum(1)
-                own = d.argmin(1)
-                member = np.zeros((len(x), k))
-                member[np.arange(len(x)), own] = 1
-                total[s] += np.concatenate([(member.T @ x).ravel(), member.sum(0), [np.maximum(d.min(1, initial=np.inf), 0).sum()]])
+            # One product for the centres of all starts, another for the sums of all their clusters.
+            d = (x @ across).reshape(-1, starts, k)
+            d *= -2
+            d += own_norms
+            own = d.argmin(2)
+            near = np.take_along_axis(d, own[..., None], 2)[..., 0] + np.einsum("ij,ij->i", x, x)[:, None]
+            member = np.zeros((len(x), starts * k))
+            member[np.arange(len(x))[:, None], own + np.arange(starts) * k] = 1
+            sums += member.T @ x
+            counts += member.sum(0)
+            cost += np.maximum(near, 0).sum(0)
+        total = np.concatenate([sums.reshape(starts, -1), counts.reshape(starts, -1), cost[:, None]], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["part"])
 
     plain = vectors.select(F.unwrap_udt("features").alias("v"))

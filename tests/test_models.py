@@ -1,10 +1,13 @@
 """Invariants of splits, models and their reports."""
 
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.feature import CountVectorizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -166,6 +169,46 @@ def test_topics_hold_neither_terms_nor_whole_vectors(spark, monkeypatch):
     assert topics.projection(assigned, ["title"]).count() == 40
 
 
+def plain_terms(texts):
+    """Counts of words of two letters or more but stop words, and of pairs of neighbours."""
+    stop = set(StopWordsRemover.loadDefaultStopWords("english"))
+    kept = [[w for w in re.findall(r"\w\w+", t.lower()) if w not in stop] for t in texts]
+    words, pairs = Counter(w for ws in kept for w in ws), Counter(f"{a} {b}" for ws in kept for a, b in zip(ws, ws[1:]))
+    ranked = sorted([(-n, False, w) for w, n in words.items()] + [(-n, True, w) for w, n in pairs.items()])
+    return [(w, -n) for n, _, w in ranked]
+
+
+@pytest.mark.parametrize("terms", [5, 23, 60, 10_000])
+def test_vocabulary_equals_plain_counts(spark, terms, monkeypatch):
+    """Pairs are counted only where both words are frequent enough; the estimator that counts them all is not fitted."""
+    monkeypatch.setattr(CountVectorizer, "_fit", lambda *_: pytest.fail("every pair of words is shuffled"))
+    draw = np.random.default_rng(terms)
+    words = [*(f"wort{i}" for i in range(30)), "the", "and", "x", "Éa", "it's", "naïve", "__this__", "二つ", "selects", "null"]
+    weights = 1 / np.arange(1, len(words) + 1)
+    texts = [" ".join(draw.choice(words, n, p=weights / weights.sum())) for n in draw.integers(0, 40, 60)] + ["", "ha ha ha ha", "only-once here"]
+    rows = spark.createDataFrame([(t,) for t in texts], "body string")
+    want = plain_terms(texts)[:terms]
+    assert topics.most_frequent(rows, terms) == [w for w, _ in want]
+    articles = rows.selectExpr("body AS title", "CAST(NULL AS string) AS description")
+    text, _ = topics.fit(articles, k=2, starts=1, terms=terms)
+    found = text.transform(topics.with_body(articles)).select(vector_to_array("counts").alias("c")).collect()
+    assert np.sum([r.c for r in found], axis=0).tolist() == [n for _, n in want]
+    with pytest.raises(ValueError, match="no article"):
+        topics.fit(articles.select(F.lit("the x").alias("title"), "description"), k=2)
+
+
+def test_a_round_of_all_starts_equals_plain_sums(spark):
+    draw = np.random.default_rng(8)
+    points, centres = draw.normal(size=(2500, 5)), draw.normal(size=(3, 4, 5))
+    rows = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in points], ["features"])
+    sums, counts, costs = simple._round(rows, centres)
+    for s, c in enumerate(centres):
+        far = ((points[:, None] - c) ** 2).sum(2)
+        own = far.argmin(1)
+        assert counts[s].tolist() == np.bincount(own, minlength=4).tolist()
+        assert np.allclose(sums[s], [points[own == i].sum(0) for i in range(4)]) and np.isclose(costs[s], far.min(1).sum())
+
+
 def test_sparse_and_dense_vectors_cluster_alike(spark):
     draw = np.random.default_rng(3)
     points = draw.normal(size=(3000, 6)) * (draw.random((3000, 6)) < 0.4) + np.repeat(np.eye(3, 6) * 9, 1000, axis=0)
